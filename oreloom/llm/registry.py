@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, near_duplicates
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": decontaminate.op1_decontaminate}
+    return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
+        "op9_near_duplicates": near_duplicates.op9_near_duplicates,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
