@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
@@ -27,11 +28,29 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/oreloom/{kind}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch while intermediate tables are made: what a Python worker and its JVM task hold at a time.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Bounded Arrow batches for what is run inside; the session's own settings come back afterwards."""
+    before = {k: spark.conf.get(k) for k in BATCH}
+    try:
+        for k, v in BATCH.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def written(df: DataFrame, kind: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, kind)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

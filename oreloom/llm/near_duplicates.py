@@ -6,10 +6,11 @@
    that agree in ``need`` of ``coords`` coordinates share one of the ``coords - need + 1`` rarest pairs of each (prefix
    rule, with one global order by frequency), so only those are kept, and classes with fewer than ``need`` shared pairs
    are skipped altogether.
-3. Inside a posting list the collisions of whole signatures are counted; lists are cut into blocks of ``LIST`` classes
-   and met block against block, so no list has to fit one task and no pair becomes a row: what leaves a task is a
-   spanning forest of the pairs above the match threshold.
-4. The components of that forest contain every link. Within each of them, again block against block, all pairs are
+3. Classes that agree in a whole band of ``BAND`` coordinates are joined into clusters beforehand (a star for each band
+   value). Inside a posting list the collisions of whole signatures are counted, skipping pairs of one cluster; lists
+   are cut into blocks of ``LIST`` classes and met block against block, so no list has to fit one task and no pair
+   becomes a row: what leaves a task is a spanning forest, between clusters, of the pairs above the match threshold.
+4. The components of stars and forest contain every link. Within each of them, again block against block, all pairs are
    confirmed on their full shingle sets, and the components of the confirmed links are the result.
 
 ``need`` lies ``Z`` standard deviations below the matches expected at the similarity threshold.
@@ -29,7 +30,7 @@ from . import _io
 from ._graph import EDGES, Forest, components, edge_batch
 from ._text import NONSPACE, Words, mix, parts
 
-COORDS, Z = 64, 5.0
+COORDS, BAND, Z = 64, 16, 5.0
 #: Classes of a posting list, and documents and shingles of a candidate component, that meet in one task from either side.
 LIST, BLOCK, BLOCK_SHINGLES = 256, 256, 1 << 20
 #: Member ids up to this number are broadcast to the scan of the texts (16 MB); beyond it the join shuffles.
@@ -118,7 +119,7 @@ def _bounds(batch: pa.RecordBatch, keys: int) -> np.ndarray:
 
 
 def _count_collisions(batches: Iterator[pa.RecordBatch], need: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Columns: token, i, j, own (the row's block), id, n, sig. Puts out stars of the pairs with ``need`` collisions."""
+    """Columns: token, i, j, own (the row's block), id (of the cluster), n, sig. Puts out stars of clusters that hold a pair with ``need`` collisions."""
     for batch in _groups(batches, 3):
         at = _bounds(batch, 3)
         i, j, own, ids, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3, 4, 5))
@@ -132,7 +133,7 @@ def _count_collisions(batches: Iterator[pa.RecordBatch], need: int, percent: int
                 for y in range(x + 1, m):
                     p, q = first + x, first + y
                     fits = 100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])
-                    fits &= (i[p] == j[p]) | (own[p] != own[q])
+                    fits &= ((i[p] == j[p]) | (own[p] != own[q])) & (ids[p] != ids[q])
                     p, q = p[fits], q[fits]
                     for lo in range(0, len(p), 8192):
                         a, b = p[lo : lo + 8192], q[lo : lo + 8192]
@@ -143,16 +144,12 @@ def _count_collisions(batches: Iterator[pa.RecordBatch], need: int, percent: int
             within = i[lo] == j[lo]
             left = np.arange(lo, hi) if within else lo + np.flatnonzero(own[lo:hi] == i[lo])
             right = left if within else lo + np.flatnonzero(own[lo:hi] == j[lo])
-            root = {}
             for a in left.tolist():
                 r = right[right > a] if within else right
-                # skip what is joined already: the forest would not change
-                mine = forest.find(int(ids[a]))
-                r = r[np.fromiter((forest.find(int(x)) != mine for x in ids[r]), bool, len(r))] if len(root) else r
+                r = r[ids[r] != ids[a]]  # skip what one cluster holds already
                 fits = r[100 * np.minimum(n[a], n[r]) >= percent * np.maximum(n[a], n[r])]
                 for b in fits[(sig[fits] == sig[a]).sum(axis=1) >= need].tolist():
-                    if forest.join(int(ids[a]), int(ids[b])):
-                        root[a] = True
+                    forest.join(int(ids[a]), int(ids[b]))
         yield edge_batch(forest.stars())
 
 
@@ -241,6 +238,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     sketch = _io.written(base.mapInArrow(lambda b: _sketch(b, shingle, coords), "id long, n long, key binary, sig array<int>"), "sketch")
     classes = _io.written(sketch.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
 
+    bands = F.array(*(F.xxhash64(F.lit(b), F.slice("sig", b + 1, BAND)) for b in range(0, coords, BAND)))
+    bands = classes.select("rep", F.explode(bands).alias("band"))
+    tops = bands.groupBy("band").agg(F.min("rep").alias("top"), F.count("*").alias("m")).where("m > 1").select("band", "top")
+    stars = _io.written(bands.join(tops, "band").where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct(), "stars")
+    quick = _io.written(components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "quick")
+
     posted = classes.select("rep", F.posexplode("sig").alias("c", "value")).select("rep", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("token"))
     often = posted.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
     rarest = F.array_sort(F.collect_list(F.struct("times", "token")))
@@ -249,8 +252,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     lists = _io.written(lists.select("rep", F.explode(prefix).alias("x")).select("rep", "x.token"), "lists")
     sizes = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / LIST).alias("blocks"))
     sigs = classes.select("rep", F.col("n"), "sig")
-    cand = lists.join(sizes, "token").join(sigs, "rep").select("token", "blocks", F.col("rep").alias("id"), "n", "sig")
-    near = components(_spread(_met(cand, "token", "blocks", "id")).mapInArrow(lambda b: _count_collisions(b, need, percent), EDGES))
+    cand = lists.join(sizes, "token").join(sigs, "rep").join(quick, "rep", "left")
+    cand = _met(cand.select("token", "blocks", "rep", F.coalesce("cluster", "rep").alias("cluster"), "n", "sig"), "token", "blocks", "rep").drop("rep")
+    found = _spread(cand).mapInArrow(lambda b: _count_collisions(b, need, percent), EDGES)
+    near = components(found.union(quick.select(F.col("rep").alias("a"), F.col("cluster").alias("b"))))
 
     near = _io.written(near, "near")
     weight = near.join(sigs.select(F.col("rep").alias("node"), "n"), "node").groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
