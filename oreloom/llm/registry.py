@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, embedding_duplicates, language_id, mixing, near_duplicates, token_files, url_rules
+from . import chat_format, decontaminate, embedding_duplicates, language_id, license_scan, mixing, near_duplicates, token_counts, token_files, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embedding_duplicates": embedding_duplicates.op2_embedding_duplicates,
         "op3_token_files": token_files.op3_token_files,
         "op4_url_rules": url_rules.op4_url_rules,
+        "op5_token_counts": token_counts.op5_token_counts,
+        "op6_license_scan": license_scan.op6_license_scan,
         "op7_mix_sources": mixing.op7_mix_sources,
         "op8_chat_format": chat_format.op8_chat_format,
         "op9_near_duplicates": near_duplicates.op9_near_duplicates,
@@ -26,6 +28,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.ORACLE,
         "op2_embedding_duplicates": embedding_duplicates.ORACLE,
+        "op5_token_counts": token_counts.op5_token_counts,
+        "op6_license_scan": license_scan.op6_license_scan,
         "op7_mix_sources": mixing.ORACLE,
         "op8_chat_format": chat_format.ORACLE,
     }
