@@ -30,6 +30,8 @@ from . import _io
 OPEN, SEP, CLOSE = "### ", ": ", " </turn>\n"
 #: Reserved ids, counted from the size of the vocabulary.
 OPEN_ID, SEP_ID, CLOSE_ID = 0, 1, 2
+#: Turns whose encodings are held at a time.
+SLICE = 256
 ROLES = {"system": "System", "user": "User", "assistant": "Assistant"}
 _NAMES = {v: k for k, v in ROLES.items()}
 _ESCAPE = re.compile(r"\\|</turn>|#(?=##)")
@@ -96,7 +98,7 @@ def _turns(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBa
     """Columns conv_id, turn, role, text -> conv_id, turn, ids, mask (1: under the loss), text (the readable turn)."""
     tok = tokenizer(file)
     base = tok.get_vocab_size(with_added_tokens=True)
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         roles = [r or "" for r in batch.column(2).to_pylist()]
         texts = [escape(t or "") for t in batch.column(3).to_pylist()]
         labels = [role_label(r) for r in roles]
