@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..rules import WORD
-from .text import compact, first_match, has, lines, match_form, quoted, strip, word_pattern
+from .text import compact, first_match, has, let, lines, match_form, quoted, strip, truncate, word_pattern
 
 # Amounts with space or dot between thousands, rouble tokens with a boundary behind them, units.
 PRICE = r"(?iU)(?<![\w])(\d{1,3}(?:[ .]\d{3})+|\d{3,})\s*(рублей|рубля|руб\.?|₽|р\.?)(?![\p{L}\p{N}])(?:\s*/\s*(шт\.?|м2|м²|пара|уп\.?))?"
@@ -26,13 +26,15 @@ def price_text(c: Column) -> Column:
 
 def price(c: Column) -> Column:
     """Struct (value, currency, unit, raw) of the first price; null without one."""
-    text = price_text(c)
-    value = F.regexp_replace(F.regexp_extract(text, PRICE, 1), "[ .]", "").try_cast("bigint")
-    unit = F.nullif(F.replace(strip(F.lower(F.regexp_extract(text, PRICE, 3)), " ."), F.lit("²"), F.lit("2")), F.lit(""))
-    raw = F.regexp_extract(text, PRICE, 0)
-    tail = F.substring(text, F.locate("\u0001", F.regexp_replace(text, f"{PRICE}[\\s\\S]*$", "\u0001")) + F.length(raw), 20)
-    pair = F.when(has(tail, r"(?iU)\bза\s+пару\b"), F.lit("пара"))
-    return F.when(has(text, PRICE), F.struct(value.alias("value"), F.lit("RUB").alias("currency"), F.coalesce(unit, pair).alias("unit"), compact(raw).alias("raw")))
+
+    def found(text):
+        value = F.regexp_replace(F.regexp_extract(text, PRICE, 1), "[ .]", "").try_cast("bigint")
+        unit = F.nullif(F.replace(strip(F.lower(F.regexp_extract(text, PRICE, 3)), " ."), F.lit("²"), F.lit("2")), F.lit(""))
+        tail = F.left(F.regexp_replace(text, f"^[\\s\\S]*?(?:{PRICE})", ""), F.lit(20))
+        pair = F.when(has(tail, r"(?iU)\bза\s+пару\b"), F.lit("пара"))
+        return F.when(has(text, PRICE), F.struct(value.alias("value"), F.lit("RUB").alias("currency"), F.coalesce(unit, pair).alias("unit"), compact(F.regexp_extract(text, PRICE, 0)).alias("raw")))
+
+    return let(price_text(c), found)
 
 
 def price_count(c: Column) -> Column:
@@ -45,28 +47,41 @@ def _vendor_pattern(aliases: tuple[str, ...]) -> str:
 
 def vendor(c: Column, vendors=rules.VENDORS) -> Column:
     """Struct (raw, normalized) of the vendor that is named first; null without one."""
-    text = F.translate(c, "ёЁ", "еЕ")
-    found = [F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("normalized"), F.regexp_extract(text, p, 0).alias("raw"))) for k, (name, aliases) in enumerate(vendors) for p in [_vendor_pattern(aliases)]]
-    first = F.array_min(F.filter(F.array(*found), lambda x: x.isNotNull()))
-    return F.when(first.isNotNull(), F.struct(compact(first["raw"]).alias("raw"), first["normalized"].alias("normalized")))
+
+    def found(text):
+        own = [F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("normalized"), F.regexp_extract(text, p, 0).alias("raw"))) for k, (name, aliases) in enumerate(vendors) for p in [_vendor_pattern(aliases)]]
+        return F.array_min(F.filter(F.array(*own), lambda x: x.isNotNull()))
+
+    named = lambda first: F.when(first.isNotNull(), F.struct(compact(first["raw"]).alias("raw"), first["normalized"].alias("normalized")))
+    return let(let(F.translate(c, "ёЁ", "еЕ"), found), named)
 
 
 def normalize_vendor(c: Column, vendors=rules.VENDORS) -> Column:
     """A vendor's name: an alias that is the whole value, else one inside it, else the value cleaned."""
-    cleaned = F.nullif(compact(strip(c, " @")), F.lit(""))
-    form = match_form(cleaned)
-    whole = [F.when(has(form, f"(?iU)^(?:{'|'.join(a)})$"), F.lit(n)) for n, a in vendors]
-    inside = [F.when(has(form, _vendor_pattern(a)), F.lit(n)) for n, a in vendors]
-    return F.coalesce(*whole, *inside, cleaned)
+
+    def named(cleaned):
+        def of(form):
+            whole = [F.when(has(form, f"(?iU)^(?:{'|'.join(a)})$"), F.lit(n)) for n, a in vendors]
+            inside = [F.when(has(form, _vendor_pattern(a)), F.lit(n)) for n, a in vendors]
+            return F.coalesce(*whole, *inside)
+
+        return F.coalesce(let(match_form(cleaned), of), cleaned)
+
+    return let(F.nullif(compact(strip(c, " @")), F.lit("")), named)
 
 
 def article(c: Column) -> Column:
     """Struct (article_id, raw, vendor_raw, vendor_normalized, marketplace) of the first article number."""
-    raw_vendor = first_match(c, ARTICLE, 1)
-    other = vendor(c)
-    name = F.coalesce(F.when(raw_vendor.isNotNull(), normalize_vendor(raw_vendor)), other["normalized"])
-    marketplace = F.when(name.isin(*rules.MARKETPLACES), name)
-    return F.when(has(c, ARTICLE), F.struct(F.regexp_extract(c, ARTICLE, 2).alias("article_id"), compact(F.regexp_extract(c, ARTICLE, 0)).alias("raw"), F.coalesce(compact(raw_vendor), other["raw"]).alias("vendor_raw"), name.alias("vendor_normalized"), marketplace.alias("marketplace")))
+
+    def found(raw_vendor):
+        own = F.struct(raw_vendor.alias("raw"), F.when(raw_vendor.isNotNull(), normalize_vendor(raw_vendor)).alias("normalized"))
+        return F.when(has(c, ARTICLE), let(F.when(raw_vendor.isNotNull(), own).otherwise(vendor(c)), parts))
+
+    def parts(v):
+        marketplace = F.when(v["normalized"].isin(*rules.MARKETPLACES), v["normalized"])
+        return F.struct(F.regexp_extract(c, ARTICLE, 2).alias("article_id"), compact(F.regexp_extract(c, ARTICLE, 0)).alias("raw"), compact(v["raw"]).alias("vendor_raw"), v["normalized"].alias("vendor_normalized"), marketplace.alias("marketplace"))
+
+    return let(first_match(c, ARTICLE, 1), found)
 
 
 def promo_code(c: Column) -> Column:
@@ -87,27 +102,31 @@ _NAME_END = r"(?iU)\b(кухня|фартук|стол|диван|цвет\s+с
 
 def trim_project_name(c: Column) -> Column:
     """A project's name cut at the first item; null for numbered lines, items and names under 3 characters."""
-    own = compact(strip(c, " -:;,."))
-    own = strip(F.regexp_replace(own, _NAME_END, ""), " -:;,.")
-    item = has(own, f"(?iU)\\b({rules.ITEM_START})\\b") & ~F.startswith(F.lower(own), F.lit("жк "))
-    own = F.when(F.length(own) > 90, F.regexp_replace(F.left(own, F.lit(90)), r"[ \-:;,.]+$", "")).otherwise(own)
-    return F.when((F.length(own) >= 3) & ~has(own, r"^\d+[.)]?\s") & ~item, own)
+
+    def checked(own):
+        item = has(own, f"(?iU)\\b({rules.ITEM_START})\\b") & ~F.startswith(F.lower(own), F.lit("жк "))
+        name = F.when(F.length(own) > 90, F.regexp_replace(F.left(own, F.lit(90)), r"[ \-:;,.]+$", "")).otherwise(own)
+        return F.when((F.length(own) >= 3) & ~has(own, r"^\d+[.)]?\s") & ~item, name)
+
+    return let(strip(F.regexp_replace(compact(strip(c, " -:;,.")), _NAME_END, ""), " -:;,."), checked)
 
 
 def project_name(c: Column) -> Column:
     """From the first 8 lines that are not blank: behind the heading of a project's articles or on the line after it,
     else a housing complex by name."""
-    own = F.filter(F.transform(lines(c), compact), lambda x: x != "")
-    head = F.slice(own, 1, 8)
 
-    def named(x, i):
-        rest = strip(F.regexp_replace(x, r"(?iU)^.*?артикулы\s+проекта", ""), " :-")
-        after = F.coalesce(trim_project_name(F.nullif(rest, F.lit(""))), trim_project_name(F.get(own, i + 1)))
-        return F.when(F.contains(match_form(x), F.lit("артикулы проекта")), after)
+    def of(own):
+        def named(x, i):
+            rest = strip(F.regexp_replace(x, r"(?iU)^.*?артикулы\s+проекта", ""), " :-")
+            after = F.coalesce(trim_project_name(F.nullif(rest, F.lit(""))), trim_project_name(F.get(own, i + 1)))
+            return F.when(F.contains(match_form(x), F.lit("артикулы проекта")), after)
+
+        head = F.slice(own, 1, 8)
+        heading = F.get(F.filter(F.transform(head, named), lambda x: x.isNotNull()), F.lit(0))
+        complex_name = first_match(F.array_join(head, "\n"), rf"(?iU)\bЖК\s+[{WORD} .,-]{{3,80}}", 0)
+        return F.coalesce(heading, trim_project_name(complex_name))
 
-    heading = F.get(F.filter(F.transform(head, named), lambda x: x.isNotNull()), F.lit(0))
-    complex_name = first_match(F.array_join(head, "\n"), rf"(?iU)\bЖК\s+[{WORD} .,-]{{3,80}}", 0)
-    return F.coalesce(heading, trim_project_name(complex_name))
+    return let(F.filter(F.transform(lines(c), compact), lambda x: x != ""), of)
 
 
 def color_codes(c: Column) -> Column:
@@ -153,20 +172,26 @@ def _keyword(k: str) -> str:
     return r"\s+".join(quoted(p) for p in k.split()).replace("\\-", r"[-\s]?")
 
 
-def descriptor(c: Column, keywords: tuple[str, ...], owner: str = "") -> Column:
-    """What a block says of an item behind the first of its keywords, on one line; null if nothing or a cut word is left."""
-    own = remove_parsed(without_promo_lines(c, owner))
-    named = vendor(own)
-    own = F.when(named.isNotNull(), F.regexp_replace(own, F.concat(F.lit("(?iU)\\Q"), F.coalesce(named["raw"], F.lit("")), F.lit("\\E")), F.lit(" "))).otherwise(own)
-    # the earliest keyword; of several that begin there, the one given first
+def descriptor_text(c: Column, owner: str = "") -> Column:
+    """A block without what the parsers read: promo lines, prices, article numbers and the vendor."""
+    without = lambda own, v: F.when(v.isNotNull(), F.regexp_replace(own, F.concat(F.lit("(?iU)\\Q"), F.coalesce(v["raw"], F.lit("")), F.lit("\\E")), F.lit(" "))).otherwise(own)
+    return let(remove_parsed(without_promo_lines(c, owner)), lambda own: let(vendor(own), lambda v: without(own, v)))
+
+
+def descriptor(text: Column, keywords: tuple[str, ...]) -> Column:
+    """What descriptor_text() says of an item behind the first of its keywords, on one line; null if nothing or a cut
+    word is left. Of several keywords that begin at one place, the one given first counts."""
     any_keyword = word_pattern("|".join(_keyword(k) for k in keywords))
-    own = F.when(has(own, any_keyword), F.regexp_replace(own, f"^[\\s\\S]*?{any_keyword}", "")).otherwise(own)
-    segments = F.filter(F.transform(lines(own), lambda x: strip(x, " -:;,.+")), lambda x: x != "")
-    own = F.coalesce(F.get(segments, F.lit(0)), F.lit(""))
-    own = F.regexp_replace(own, r"^\s*\d+[.)]\s*", "")
-    own = F.regexp_replace(own, word_pattern("ozon|wb|вб|ям"), " ")
-    own = compact(strip(own, " -:;,.+"))
-    return F.when(~cut_word(own), F.nullif(own, F.lit("")))
+
+    def behind(own):
+        return F.when(has(own, any_keyword), F.regexp_replace(own, f"^[\\s\\S]*?{any_keyword}", "")).otherwise(own)
+
+    def line(own):
+        segments = F.filter(F.transform(lines(own), lambda x: strip(x, " -:;,.+")), lambda x: x != "")
+        first = F.regexp_replace(F.coalesce(F.get(segments, F.lit(0)), F.lit("")), r"^\s*\d+[.)]\s*", "")
+        return compact(strip(F.regexp_replace(first, word_pattern("ozon|wb|вб|ям"), " "), " -:;,.+"))
+
+    return let(line(let(text, behind)), lambda own: F.when(~cut_word(own), F.nullif(own, F.lit(""))))
 
 
 def cut_word(c: Column) -> Column:
@@ -176,20 +201,25 @@ def cut_word(c: Column) -> Column:
 
 def model_material_color(c: Column) -> Column:
     """Struct (model, material, color) of a descriptor, split at the first material, else at the first colour."""
-    tokens = F.regexp_extract_all(c, F.lit(f"([{WORD}.-]+)"), F.lit(1))
-    forms = F.transform(tokens, match_form)
-    place = lambda words: F.array_min(F.filter(F.transform(forms, lambda x, i: F.when(x.isin(*words), i)), lambda i: i.isNotNull()))
-    m, k, n = place(rules.MATERIALS), place(rules.COLORS), F.size(tokens)
-    join = lambda a, length: F.nullif(F.array_join(F.slice(tokens, a, length), " "), F.lit(""))
-    by_material = F.struct(join(F.lit(1), m).alias("model"), F.get(tokens, m).alias("material"), join(m + 2, F.lit(2)).alias("color"))
-    by_color = F.struct(join(F.lit(1), k).alias("model"), F.lit(None).cast("string").alias("material"), join(k + 1, n).alias("color"))
-    whole = F.struct(F.when(n <= 5, F.array_join(tokens, " ")).otherwise(c).alias("model"), F.lit(None).cast("string").alias("material"), F.lit(None).cast("string").alias("color"))
-    return F.when(n > 0, F.when(m.isNotNull(), by_material).when(k.isNotNull(), by_color).otherwise(whole))
+
+    def places(tokens):
+        at = lambda forms, words: F.array_min(F.filter(F.transform(forms, lambda x, i: F.when(x.isin(*words), i)), lambda i: i.isNotNull()))
+        return let(F.transform(tokens, match_form), lambda forms: F.struct(tokens.alias("t"), at(forms, rules.MATERIALS).alias("m"), at(forms, rules.COLORS).alias("k"), F.size(tokens).alias("n")))
+
+    def split(x):
+        t, m, k, n = (x[f] for f in "tmkn")
+        join = lambda a, length: F.nullif(F.array_join(F.slice(t, a, length), " "), F.lit(""))
+        none = F.lit(None).cast("string")
+        by_material = F.struct(join(F.lit(1), m).alias("model"), F.get(t, m).alias("material"), join(m + 2, F.lit(2)).alias("color"))
+        by_color = F.struct(join(F.lit(1), k).alias("model"), none.alias("material"), join(k + 1, n).alias("color"))
+        whole = F.struct(F.when(n <= 5, F.array_join(t, " ")).otherwise(c).alias("model"), none.alias("material"), none.alias("color"))
+        return F.when(n > 0, F.when(m.isNotNull(), by_material).when(k.isNotNull(), by_color).otherwise(whole))
+
+    return let(let(F.regexp_extract_all(c, F.lit(f"([{WORD}.-]+)"), F.lit(1)), places), split)
 
 
 def evidence_quote(c: Column, owner: str = "") -> Column:
-    own = compact(without_promo_lines(c, owner))
-    return F.when(F.length(own) <= 260, own).otherwise(F.concat(F.regexp_replace(F.left(own, F.lit(257)), r"(?U)\s+$", ""), F.lit("...")))
+    return let(compact(without_promo_lines(c, owner)), lambda own: truncate(own, 260))
 
 
 def quote_of(c: Column, token: Column, owner: str = "") -> Column:

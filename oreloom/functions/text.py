@@ -13,6 +13,11 @@ from ..rules import WORD
 _SPECIAL = re.compile(r"([\\.^$|?*+()\[\]{}\-])")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def quoted(text: str) -> str:
     """text as a Java pattern that matches itself."""
     return _SPECIAL.sub(r"\\\1", text)
@@ -60,9 +65,11 @@ def matched_names(c: Column, named: Iterable[tuple[str, str]]) -> Column:
 
 def ordered_distinct(values: Column, key=lambda x: x) -> Column:
     """The first of each group of values with the same key, in order; nulls and blanks go."""
-    kept = F.filter(values, lambda x: x.isNotNull() & (F.trim(x) != ""))
-    keys = F.transform(kept, key)
-    return F.filter(kept, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+
+    def among(kept):
+        return let(F.transform(kept, key), lambda keys: F.filter(kept, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1))
+
+    return let(F.filter(values, lambda x: x.isNotNull() & (F.trim(x) != "")), among)
 
 
 def excerpt(c: Column, terms: Sequence[str] = (), patterns: Sequence[str] = (), matched: Column | None = None, width: int = 500) -> Column:
@@ -70,16 +77,24 @@ def excerpt(c: Column, terms: Sequence[str] = (), patterns: Sequence[str] = (),
 
     ``matched``: an array of names; only terms and patterns named there are looked up.
     """
-    text, form = compact(c), match_form(c)
-    among = lambda name, at: at if matched is None else F.when(F.array_contains(matched, name), at)
-    places = [among(t, F.locate(match_form_of(t), form)) for t in terms] + [among(p, F.when(form.rlike(f"(?iU){p}"), F.regexp_instr(form, F.lit(f"(?iU){p}"))).otherwise(F.lit(0))) for p in patterns]
-    first = F.array_min(F.filter(F.array(F.lit(None).cast("int"), *places), lambda x: x > 0)) - 1
-    size = F.length(text)
-    begin = F.greatest(F.lit(0), first - width // 2)
-    end = F.least(size, begin + width)
-    begin = F.greatest(F.lit(0), end - width)
-    window = F.concat(F.when(begin > 0, F.lit("...")).otherwise(F.lit("")), F.trim(F.substring(text, begin + 1, end - begin)), F.when(end < size, F.lit("...")).otherwise(F.lit("")))
-    return F.when(first.isNull(), truncate(text, width)).otherwise(window)
+
+    def places(form):
+        among = lambda name, at: at if matched is None else F.when(F.array_contains(matched, name), at)
+        own = [among(t, F.locate(match_form_of(t), form)) for t in terms] + [among(p, F.when(form.rlike(f"(?iU){p}"), F.regexp_instr(form, F.lit(f"(?iU){p}"))).otherwise(F.lit(0))) for p in patterns]
+        return F.array_min(F.filter(F.array(F.lit(None).cast("int"), *own), lambda x: x > 0)) - 1
+
+    def window(at):
+        text, first = at["text"], at["first"]
+        end = F.least(F.length(text), F.greatest(F.lit(0), first - width // 2) + width)
+        return let(F.struct(text.alias("text"), end.alias("end"), F.greatest(F.lit(0), end - width).alias("begin")), cut)
+
+    def cut(w):
+        return F.concat(F.when(w["begin"] > 0, F.lit("...")).otherwise(F.lit("")), F.trim(F.substring(w["text"], w["begin"] + 1, w["end"] - w["begin"])), F.when(w["end"] < F.length(w["text"]), F.lit("...")).otherwise(F.lit("")))
+
+    def whole(text):
+        return let(F.struct(text.alias("text"), let(match_form(text), places).alias("first")), lambda at: F.when(at["first"].isNull(), truncate(at["text"], width)).otherwise(window(at)))
+
+    return let(compact(c), whole)
 
 
 def lines(c: Column) -> Column:
