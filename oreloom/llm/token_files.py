@@ -38,7 +38,7 @@ FRAME_BYTES = 1 << 18
 END_ID = 1
 NO_ID = -(1 << 63)  # stands for a null id in a shard
 #: Bytes of text encoded at a time, and distinct runs whose ids a worker keeps.
-PART_BYTES, _CACHE_WORDS = 4 << 20, 500_000
+PART_BYTES, _CACHE_WORDS = 1 << 20, 200_000
 _TOKENIZERS: dict[str, tuple] = {}
 
 #: Of bytes: 0 part of a non-ASCII character or a control, 1 white space, 2 letter or digit, 3 apostrophe, 4 other punctuation.
