@@ -66,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
     are partial aggregates written before they are joined, so a node with very many neighbours is split by AQE.
     Rows with a null end are ignored. No edges: an empty table.
     """
-    own = edges.where("a is not null and b is not null and a <> b").select("a", "b").mapInArrow(_contract, EDGES)
+    own = edges.where("a is not null and b is not null and a <> b").select("a", "b").transform(_io.arrow(_contract, EDGES))
     now = _io.written(own.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
     while True:
         ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("v", F.lit(0), F.lit(1)))

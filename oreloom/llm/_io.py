@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import math
+import re
 import tempfile
 import uuid
 
@@ -28,29 +28,49 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/oreloom/{kind}-{uuid.uuid4().hex}"
 
 
-#: Bytes of an Arrow batch while intermediate tables are made: what a Python worker and its JVM task hold at a time.
-BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+#: Bounds of an Arrow batch: what a Python worker and its JVM task hold of the input at a time.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 4000
 
 
-@contextlib.contextmanager
-def small_batches(spark: SparkSession):
-    """Bounded Arrow batches for what is run inside; the session's own settings come back afterwards."""
-    before = {k: spark.conf.get(k) for k in BATCH}
+def bound_batches(spark: SparkSession) -> None:
+    """Lower, never raise, the session's bounds of Arrow batches: texts of any length pass through Python workers."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
+def arrow(run, schema):
+    """For DataFrame.transform: mapInArrow with bounded batches, whose workers give memory back when a task ends."""
+
+    def apply(df: DataFrame) -> DataFrame:
+        bound_batches(df.sparkSession)
+        return df.mapInArrow(lambda batches: _released(run(batches)), schema)
+
+    return apply
+
+
+def _released(out):
     try:
-        for k, v in BATCH.items():
-            spark.conf.set(k, v)
-        yield
+        yield from out
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, kind)
-    with small_batches(spark):
-        df.write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -126,7 +126,7 @@ def format_turns(conversations: DataFrame, file: str, conv_id: str = "conv_id",
     rows = conversations.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).alias("text"))
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
     laid = rows.repartition(_io.parallelism(conversations.sparkSession), "conv_id").sortWithinPartitions(*order)
-    return laid.mapInArrow(lambda b: _turns(b, file), "conv_id long, turn long, ids array<int>, mask array<byte>, text string")
+    return laid.transform(_io.arrow(lambda b: _turns(b, file), "conv_id long, turn long, ids array<int>, mask array<byte>, text string"))
 
 
 def read_turn(ids: np.ndarray, mask: np.ndarray, tok) -> tuple[str, str, str]:
@@ -176,7 +176,7 @@ def _digest(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordB
 def read_conversations(turns: DataFrame, file: str) -> DataFrame:
     """Digests of each conversation, read back from format_turns(): its ids, masks and readable turns must agree."""
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_ids long, loss_ids long"
-    return turns.mapInArrow(lambda b: _digest(b, file), schema)
+    return turns.transform(_io.arrow(lambda b: _digest(b, file), schema))
 
 
 def default_tokenizer() -> str:

@@ -149,7 +149,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     for b in range(n):
         own = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) if n > 1 else items
         sent = spark.sparkContext.broadcast(Index([(r.i, r.t) for r in own.collect()], window, k))  # at most about block_bytes of text
-        out = out.mapInArrow(lambda batches, sent=sent: _find(batches, sent.value, text), schema)
+        out = out.transform(_io.arrow(lambda batches, sent=sent: _find(batches, sent.value, text), schema))
     return out
 
 
@@ -174,7 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of docs: id_col, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = find_spans(docs.select(id_col, text), benchmark, text, **how).select(id_col, F.col("_words").alias("n_words"), "_spans")
     schema = _io.schema_with(found.drop("_spans"), "n_hit bigint", "n_items bigint", "items_sha256 string")
-    return found.mapInArrow(_digest, schema).withColumn("contaminated", F.col("n_hit") > 0)
+    return found.transform(_io.arrow(_digest, schema)).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:

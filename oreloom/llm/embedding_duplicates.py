@@ -71,7 +71,7 @@ def _moments(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.Record
 
 def _axes(classes: DataFrame, kind: str) -> dict[int, np.ndarray]:
     """By vector length: the principal axes as columns, the one of largest second moment first."""
-    parts = classes.select("dim", "raw").mapInArrow(lambda b: _moments(b, kind), "dim int, k long, v double")
+    parts = classes.select("dim", "raw").transform(_io.arrow(lambda b: _moments(b, kind), "dim int, k long, v double"))
     by: dict[int, np.ndarray] = {}
     for r in parts.groupBy("dim", "k").agg(F.sum("v").alias("v")).collect():  # d * d rows
         by.setdefault(r.dim, np.zeros(r.dim * r.dim))[r.k] = r.v
@@ -169,15 +169,15 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec: str =
     spark = vectors.sparkSession
     kind = "f4" if "float" in dict(vectors.dtypes)[vec] else "f8"
     base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vec).cast("array<float>" if kind == "f4" else "array<double>").alias("vec"))
-    rows = _io.written(base.mapInArrow(_valid, "id long, label string, dim int, key binary, raw binary"), "vectors")
+    rows = _io.written(base.transform(_io.arrow(_valid, "id long, label string, dim int, key binary, raw binary")), "vectors")
     valid = rows.where("key is not null")
     classes = _io.written(valid.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("raw").alias("raw")), "classes")
     axes = spark.sparkContext.broadcast(_axes(classes, kind))  # d * d numbers for each vector length
 
-    lead = classes.mapInArrow(lambda b: _lead(b, axes, kind), _io.schema_with(classes, "first double"))
+    lead = classes.transform(_io.arrow(lambda b: _lead(b, axes, kind), _io.schema_with(classes, "first double")))
     n = _io.parallelism(spark)
     laid = lead.repartitionByRange(n, "label", "dim", "first").sortWithinPartitions("label", "dim", "first")
-    tiles = _io.written(laid.select("label", "dim", "id", "times", "raw").mapInArrow(lambda b: _tiles(b, axes, kind, tile), "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, times binary, raw binary"), "tiles")
+    tiles = _io.written(laid.select("label", "dim", "id", "times", "raw").transform(_io.arrow(lambda b: _tiles(b, axes, kind, tile), "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, times binary, raw binary")), "tiles")
 
     box = tiles.select("label", "dim", "tile", "lo", "hi")
     other = box.select("label", "dim", F.col("tile").alias("tile2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
@@ -188,7 +188,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec: str =
     parts = pairs.select("a", "b", F.col("a").alias("tile")).union(pairs.where("a <> b").select("a", "b", "b"))
     met = parts.join(tiles.select("tile", "dim", "ids", "times", "raw"), "tile").select("a", "b", "tile", "dim", "ids", "times", "raw")
     met = met.repartition(n, "a", "b").sortWithinPartitions("a", "b", "tile")
-    found = _io.written(met.mapInArrow(lambda b: _meet(b, axes, kind, threshold), "a long, b long, links long"), "links")
+    found = _io.written(met.transform(_io.arrow(lambda b: _meet(b, axes, kind, threshold), "a long, b long, links long")), "links")
     comp = components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     per_class = classes.select("key", F.col("id").alias("rep"), "times").join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")

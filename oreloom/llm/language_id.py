@@ -63,7 +63,7 @@ def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
     return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _compressors(model: tuple[tuple[str, bytes], ...]) -> list[tuple[str, list, list]]:
     quiet = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
     long_text = zstandard.ZstdCompressionParameters.from_level(3, min_match=3, strategy=zstandard.STRATEGY_GREEDY, **quiet)
@@ -108,7 +108,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text", margi
             keep = [i for i, n in enumerate(batch.schema.names) if n not in names]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], names=[*(batch.schema.names[i] for i in keep), *names])
 
-    out = docs.mapInArrow(run, _io.schema_with(docs, "lang_pred string", "score double"))
+    out = docs.transform(_io.arrow(run, _io.schema_with(docs, "lang_pred string", "score double")))
     return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < margin))
 
 

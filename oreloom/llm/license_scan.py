@@ -129,7 +129,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(many, pa.int64()), pa.array(names, pa.string()), pa.array(exact, pa.int64()), pa.array(rows, kind)], names=[id_col, "n_blocks", "licenses", "n_exact", "matches"])
 
     own = docs.select(F.col(id_col), F.col(text))
-    return own.mapInArrow(run, _io.schema_with(own.select(id_col), "n_blocks bigint", "licenses string", "n_exact bigint", "matches array<struct<license:string,kind:string,saved:double,differences:int,block:string>>"))
+    return own.transform(_io.arrow(run, _io.schema_with(own.select(id_col), "n_blocks bigint", "licenses string", "n_exact bigint", "matches array<struct<license:string,kind:string,saved:double,differences:int,block:string>>")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

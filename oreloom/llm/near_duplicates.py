@@ -235,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     need = need_of(percent, coords)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    sketch = _io.written(base.mapInArrow(lambda b: _sketch(b, shingle, coords), "id long, n long, key binary, sig array<int>"), "sketch")
+    sketch = _io.written(base.transform(_io.arrow(lambda b: _sketch(b, shingle, coords), "id long, n long, key binary, sig array<int>")), "sketch")
     classes = _io.written(sketch.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
 
     bands = F.array(*(F.xxhash64(F.lit(b), F.slice("sig", b + 1, BAND)) for b in range(0, coords, BAND)))
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     sigs = classes.select("rep", F.col("n"), "sig")
     cand = lists.join(sizes, "token").join(sigs, "rep").join(quick, "rep", "left")
     cand = _met(cand.select("token", "blocks", "rep", F.coalesce("cluster", "rep").alias("cluster"), "n", "sig"), "token", "blocks", "rep").drop("rep")
-    found = _spread(cand).mapInArrow(lambda b: _count_collisions(b, need, percent), EDGES)
+    found = _spread(cand).transform(_io.arrow(lambda b: _count_collisions(b, need, percent), EDGES))
     near = components(found.union(quick.select(F.col("rep").alias("a"), F.col("cluster").alias("b"))))
 
     near = _io.written(near, "near")
@@ -262,8 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     weight = weight.select(F.col("component"), F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("n") / BLOCK_SHINGLES)).alias("blocks"))
     members = _io.written(near.join(weight, "component").select(F.col("component").alias("comp"), "blocks", F.col("node").alias("id")), "members")
     texts = base.join(F.broadcast(members) if members.count() <= BROADCAST_IDS else members, "id").select("comp", "blocks", "id", "text")
-    sets = texts.mapInArrow(lambda b: _sets(b, shingle), "comp long, blocks long, id long, hashes binary")
-    links = components(_spread(_met(sets, "comp", "blocks", "id")).mapInArrow(lambda b: _confirm(b, percent), EDGES))
+    sets = texts.transform(_io.arrow(lambda b: _sets(b, shingle), "comp long, blocks long, id long, hashes binary"))
+    links = components(_spread(_met(sets, "comp", "blocks", "id")).transform(_io.arrow(lambda b: _confirm(b, percent), EDGES)))
 
     found = sketch.where("key is not null and id is not null").select("id", "n", "key").join(classes.select("key", "rep"), "key")
     found = found.join(links.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))

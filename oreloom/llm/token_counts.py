@@ -190,7 +190,7 @@ def recount(docs: DataFrame, file: str, id_col: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names)))], names=[id_col, *names])
 
     own = docs.select(F.col(id_col), F.col(text), F.col(edits).cast(EDITS).alias("_edits"))
-    return own.mapInArrow(run, _io.schema_with(own.select(id_col), *(f"{n} bigint" for n in names)))
+    return own.transform(_io.arrow(run, _io.schema_with(own.select(id_col), *(f"{n} bigint" for n in names))))
 
 
 def attach_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -259,6 +259,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
                     i = j
                 docs, tokens = docs + len(counts), tokens + len(ids)
         writer.close()
+    code.clear()
     if docs:
         fs.move(draft, name)
     else:
@@ -275,7 +276,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     rows = rows.repartitionByRange(_io.parallelism(spark), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    done = _io.written(rows.mapInArrow(lambda b: _write(b, folder, tokenizer, end_id), "shard long, path string, docs long, tokens long"), "manifest")
+    done = _io.written(rows.transform(_io.arrow(lambda b: _write(b, folder, tokenizer, end_id), "shard long, path string, docs long, tokens long")), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each shard
     return done.where("docs > 0").withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
 
@@ -310,7 +311,7 @@ def read_tokens(manifest: DataFrame, id_col: str = "doc_id", wanted: list[int] |
     """
     last = "ids_crc32 long" if digest else "ids array<long>"
     n = _io.parallelism(manifest.sparkSession)
-    found = manifest.select("path", "start").repartition(n, "path").mapInArrow(lambda b: _read(b, wanted, digest), f"id long, start long, n_tokens long, {last}")
+    found = manifest.select("path", "start").repartition(n, "path").transform(_io.arrow(lambda b: _read(b, wanted, digest), f"id long, start long, n_tokens long, {last}"))
     return found.withColumnRenamed("id", id_col)
 
 
