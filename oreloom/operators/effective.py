@@ -36,21 +36,30 @@ def facade_finish(c: Column) -> Column:
     return compact(F.regexp_replace(c, r"\s*\+\s*", " + "))
 
 
-def supported(value: Column, evidence: Column) -> Column:
-    """The evidence says the value: literally, as a colour code in another spelling, or as a vendor by an alias."""
-    said = F.contains(evidence_form(evidence), evidence_form(value)) & (evidence_form(value) != "")
-    codes = F.transform(F.regexp_extract_all(evidence, F.lit(r"(?i)\b(G\s*\d{3}|\d{2}\s*[A-Z]{2}\s*\d{2}/\d{3})\b"), F.lit(1)), wall_code)
-    code = let(wall_code(value), lambda v: has(v, r"^(G\d{3}|\d{2}[A-Z]{2} \d{2}/\d{3})$") & F.array_contains(codes, v))
-    return F.coalesce(said | code | vendor_supported(normalize_vendor(value), evidence), F.lit(False))
+_CODES = r"(?i)\b(G\s*\d{3}|\d{2}\s*[A-Z]{2}\s*\d{2}/\d{3})\b"
 
 
-def vendor_supported(vendor: Column, evidence: Column) -> Column:
-    """One of the vendor's aliases stands in the evidence; a vendor without aliases by its own name."""
-    out = F.contains(evidence_form(evidence), F.lower(vendor))
-    for name, aliases in reversed(rules.VENDORS):
-        p = rf"(?iU)(?<![\w.])(?:{'|'.join(aliases)})(?![\w.])"
-        out = F.when(vendor == name, has(evidence, p) | has(evidence_form(evidence), p)).otherwise(out)
-    return F.coalesce(out, F.lit(False))
+def _vendors_named(c: Column, form: Column) -> Column:
+    """Vendors with an alias in a text or in its evidence form."""
+    own = [F.when(has(c, p) | has(form, p), F.lit(n)) for n, aliases in rules.VENDORS for p in [rf"(?iU)(?<![\w.])(?:{'|'.join(aliases)})(?![\w.])"]]
+    return F.filter(F.array(*own), lambda x: x.isNotNull())
+
+
+def evidence_facts(evidence: Column) -> dict[str, Column]:
+    """What supported() looks up, to be computed once for each row: form, colour codes and vendors of the evidence."""
+    codes = F.transform(F.regexp_extract_all(evidence, F.lit(_CODES), F.lit(1)), wall_code)
+    return {"_ev_form": evidence_form(evidence), "_ev_codes": codes, "_ev_vendors": _vendors_named(evidence, evidence_form(evidence))}
+
+
+def supported(value: Column) -> Column:
+    """The evidence says the value: literally, as a colour code in another spelling, or as a vendor by an alias. Reads
+    the columns of evidence_facts()."""
+
+    def of(form):
+        said = F.contains(F.col("_ev_form"), form) & (form != "")
+        return said | F.array_contains("_ev_codes", wall_code(value)) | F.arrays_overlap(_vendors_named(value, form), F.col("_ev_vendors"))
+
+    return F.coalesce(F.when(value.isNotNull(), let(evidence_form(value), of)), F.lit(False))
 
 
 def number_supported(value: Column, evidence: Column) -> Column:
@@ -90,6 +99,7 @@ def build(facts: DataFrame, reviews: DataFrame, min_confidence: str = "medium",
     fix = lambda n: clean_optional(F.col(f"_r.corrected.{n}"), " ")
     term = lambda n: clean_optional(F.col(f"_r.normalized_terms.{n}"), " ")
     evidence = F.col("evidence_quote")
+    own = own.withColumns(evidence_facts(evidence))
     own = own.withColumns({"reviewed": F.col("_r").isNotNull(), "decision": r("decision"), "_c_category": fix("category"), "_c_type": fix("item_type"), "_c_vendor": F.coalesce(fix("vendor_normalized"), term("vendor")), "_essay": essay()})
     known = lambda c: F.coalesce(c.isin(*rules.STRICT), F.lit(False))
     target = F.when(F.col("_c_category").isNotNull() & ((r("decision") == "fix") | r("category_correct")), F.col("_c_category")).otherwise(F.col("category"))
@@ -104,44 +114,46 @@ def build(facts: DataFrame, reviews: DataFrame, min_confidence: str = "medium",
         ("corrected_category_outside", F.col("_c_category").isNotNull() & ~known(F.col("_c_category"))), ("outside_categories", ~known(F.col("_target"))), ("review_category_conflict", ~r("category_correct") & (r("decision") != "fix")),
         ("review_item_type_conflict", ~r("item_type_correct") & F.col("_c_type").isNull()), ("review_rationale_conflict", F.lit(strict) & contains_any(F.lower(r("rationale_short")), CONFLICT)), ("general_or_non_concrete_evidence", F.lit(strict) & F.col("_essay")),
     )
-    own = _overlay(own, r, fix, term, evidence)
-    # a fix must not rest on corrections that the evidence does not bear out
     names = ("vendor_normalized", "model", "material", "finish", "color", "color_code", "article_id")
-    open_fields = F.filter(F.array(*(F.when(fix(n).isNotNull() & ~supported(fix(n), evidence) & ((F.lit(n) != "vendor_normalized") | ~F.coalesce(normalize_vendor(fix(n)) == "SPC", F.lit(False))), F.coalesce(F.col(f"e_{'vendor' if n == 'vendor_normalized' else n}"), F.lit(""))) for n in names)), lambda x: x.isNotNull())
+    own = own.withColumns({f"_fix_{n}": fix(n) for n in names} | {f"_term_{n}": term(n) for n in ("sofa_fabric", "sofa_color", "wall_color_code", "flooring_brand_or_collection")})
+    own = own.withColumns({f"_ok_{n}": supported(F.col(f"_fix_{n}")) for n in names} | {f"_ok_{n}": supported(F.col(f"_term_{n}")) for n in ("sofa_fabric", "sofa_color", "wall_color_code", "flooring_brand_or_collection")} | {"_ok_vendor": supported(F.col("_c_vendor"))})
+    own = _overlay(own, r, fix, evidence)
+    # a fix must not rest on corrections that the evidence does not bear out
+    open_fields = F.filter(F.array(*(F.when(F.col(f"_fix_{n}").isNotNull() & ~F.col(f"_ok_{n}") & ((F.lit(n) != "vendor_normalized") | ~F.coalesce(F.lower(F.col(f"_fix_{n}")) == "spc", F.lit(False))), F.coalesce(F.col(f"e_{'vendor' if n == 'vendor_normalized' else n}"), F.lit(""))) for n in names)), lambda x: x.isNotNull())
     price = F.col("_r.corrected.price_value")
     bad_price = price.isNotNull() & F.coalesce(r("price_correct"), F.lit(True)) & ~(plausible(price) & number_supported(price, evidence))
     incoherent = (r("decision") == "fix") & (bad_price | ((F.size(open_fields) > 0) & ~F.exists(open_fields, lambda x: x != "")))
     reason = F.when(F.col("reviewed"), F.coalesce(reviewed, F.when(F.coalesce(incoherent, F.lit(False)), "review_fix_not_coherent"))).otherwise(unreviewed)
     own = own.withColumn("exclusion_reason", reason)
-    return own.drop("_r", "_c_category", "_c_type", "_c_vendor", "_essay", "_target")
+    return own.drop(*(c for c in own.columns if c.startswith("_")))
 
 
-def _overlay(own: DataFrame, r, fix, term, evidence: Column) -> DataFrame:
+def _overlay(own: DataFrame, r, fix, evidence: Column) -> DataFrame:
     """The effective fields: a correction that the evidence bears out, else the fact's own value."""
-    stated = F.coalesce(normalize_vendor(F.coalesce("vendor_normalized", "vendor_raw")), F.lit(None))
     is_spc = lambda v: F.coalesce(F.lower(v) == "spc", F.lit(False))
-    own = own.withColumns({"_vendor": stated, "_new_vendor": normalize_vendor(F.col("_c_vendor"))})
+    own = own.withColumns({"_vendor": normalize_vendor(F.coalesce("vendor_normalized", "vendor_raw")), "_new_vendor": normalize_vendor(F.col("_c_vendor"))})
     spc = is_spc(F.col("_vendor")) | is_spc(F.col("_new_vendor"))
-    keep = lambda value, test=None: F.when(value.isNotNull() & (supported(value, evidence) if test is None else test), value)
+    keep = lambda n: F.when(F.col(f"_ok_{n}"), F.col(f"_fix_{n}" if f"_fix_{n}" in own.columns else f"_term_{n}"))
     category = F.col("_target")
-    vendor = F.coalesce(F.when(~is_spc(F.col("_new_vendor")) & (supported(F.col("_c_vendor"), evidence) | vendor_supported(F.col("_new_vendor"), evidence)), F.col("_new_vendor")), F.when(~is_spc(F.col("_vendor")), F.col("_vendor")))
-    brand = F.coalesce("brand_normalized", "brand_raw", F.when(spc & has(evidence, r"(?iU)alpine\s*floor"), F.lit("Alpine Floor")), F.when((category == "flooring") & ~F.coalesce(F.lower(term("flooring_brand_or_collection")).isin("арт", "art", "spc"), F.lit(False)), keep(term("flooring_brand_or_collection"))))
+    vendor = F.coalesce(F.when(~is_spc(F.col("_new_vendor")) & F.col("_ok_vendor"), F.col("_new_vendor")), F.when(~is_spc(F.col("_vendor")), F.col("_vendor")))
+    flooring = F.col("_term_flooring_brand_or_collection")
+    brand = F.coalesce("brand_normalized", "brand_raw", F.when(spc & has(evidence, r"(?iU)alpine\s*floor"), F.lit("Alpine Floor")), F.when((category == "flooring") & ~F.coalesce(F.lower(flooring).isin("арт", "art", "spc"), F.lit(False)), keep("flooring_brand_or_collection")))
     sofa = (F.col("category") == "sofas") | (category == "sofas")
-    material = F.coalesce(F.when(sofa, keep(term("sofa_fabric"))), keep(fix("material")), F.col("material"), F.when(spc, F.lit("SPC")))
-    parts = F.filter(F.transform(F.col("_r.normalized_terms.facade_materials"), lambda x: clean_optional(x, " ")), lambda x: x.isNotNull() & supported(x, evidence))
-    finish = F.coalesce(keep(fix("finish")), F.col("finish"), F.when(category == "kitchens", F.nullif(F.array_join(parts, " + "), F.lit(""))))
-    code = F.coalesce(keep(fix("color_code")), F.col("color_code"), keep(term("wall_color_code")))
+    material = F.coalesce(F.when(sofa, keep("sofa_fabric")), keep("material"), F.col("material"), F.when(spc, F.lit("SPC")))
+    parts = F.filter(F.transform(F.col("_r.normalized_terms.facade_materials"), lambda x: clean_optional(x, " ")), lambda x: x.isNotNull() & F.contains(F.col("_ev_form"), evidence_form(x)))
+    finish = F.coalesce(keep("finish"), F.col("finish"), F.when(category == "kitchens", F.nullif(F.array_join(parts, " + "), F.lit(""))))
+    code = F.coalesce(keep("color_code"), F.col("color_code"), keep("wall_color_code"))
     price_ok = F.coalesce(r("price_correct"), F.lit(True))
     new_price = F.col("_r.corrected.price_value")
     price = F.coalesce(F.when(price_ok & plausible(new_price) & number_supported(new_price, evidence), new_price.cast("decimal(12,2)")), F.col("price_value"))
     hide = lambda c: F.when(price_ok, c)
     own = own.withColumns({
-        "e_category": category, "e_item_type": F.coalesce("_c_type", "item_type"), "e_vendor": vendor, "e_brand": brand, "e_model": F.coalesce(keep(fix("model")), F.col("model")), "e_material": material, "e_finish": facade_finish(finish),
-        "e_color": F.coalesce(F.when(sofa, keep(term("sofa_color"))), keep(fix("color")), F.col("color")), "e_color_code": wall_code(code), "e_article_id": F.coalesce(keep(fix("article_id")), F.col("article_id")), "e_marketplace": normalize_vendor(F.col("marketplace")),
+        "e_category": category, "e_item_type": F.coalesce("_c_type", "item_type"), "e_vendor": vendor, "e_brand": brand, "e_model": F.coalesce(keep("model"), F.col("model")), "e_material": material, "e_finish": facade_finish(finish),
+        "e_color": F.coalesce(F.when(sofa, keep("sofa_color")), keep("color"), F.col("color")), "e_color_code": wall_code(code), "e_article_id": F.coalesce(keep("article_id"), F.col("article_id")), "e_marketplace": normalize_vendor(F.col("marketplace")),
         "e_price_value": hide(price), "e_price_unit": hide(F.coalesce(fix("price_unit"), F.col("price_unit"))), "e_price_currency": hide(F.col("price_currency")), "e_price_reliable": price_ok, "e_room_context": F.coalesce(fix("room_context"), F.col("room_context")),
         "e_note": F.concat_ws("; ", F.when(r("decision") == "fix", F.concat(F.lit("fix: "), F.coalesce(r("rationale_short"), F.lit("")))), F.when(~price_ok, F.lit("price hidden: marked as unreliable by review"))),
     })
-    return own.drop("_vendor", "_new_vendor")
+    return own
 
 
 def used(dataset: DataFrame) -> DataFrame:
