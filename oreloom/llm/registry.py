@@ -28,8 +28,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": decontaminate.ORACLE,
         "op2_embedding_duplicates": embedding_duplicates.ORACLE,
-        "op5_token_counts": token_counts.op5_token_counts,
-        "op6_license_scan": license_scan.op6_license_scan,
         "op7_mix_sources": mixing.ORACLE,
         "op8_chat_format": chat_format.ORACLE,
     }
