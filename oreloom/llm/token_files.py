@@ -38,7 +38,7 @@ FRAME_BYTES = 1 << 18
 END_ID = 1
 NO_ID = -(1 << 63)  # stands for a null id in a shard
 #: Bytes of text encoded at a time, and distinct runs whose ids a worker keeps.
-PART_BYTES, _CACHE_WORDS = 1 << 20, 200_000
+PART_BYTES, _CACHE_WORDS = 2 << 20, 300_000
 _TOKENIZERS: dict[str, tuple] = {}
 
 #: Of bytes: 0 part of a non-ASCII character or a control, 1 white space, 2 letter or digit, 3 apostrophe, 4 other punctuation.
@@ -49,6 +49,16 @@ KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 2
 KIND[0x27] = 3
 
 
+def _byte_letters() -> dict[int, str]:
+    """The published byte alphabet of byte-level BPE: printable bytes stand for themselves, the others for U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(0x100 + k) for k, b in enumerate(other)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Encodes texts piece by piece, each distinct piece once.
 
@@ -76,7 +86,8 @@ class WordEncoder:
         self.first = np.zeros(1 << 14, dtype=np.int64)  # the ids of run k: flat[first[k] : first[k + 1]]
 
     def _learn(self, runs: list[bytes]) -> None:
-        """Pieces of ASCII letters are one pre-token, which the model encodes directly; the others take the whole way."""
+        """Pieces of lower-case Latin letters, all below U+0250 and so stable under NFC, are one pre-token, which the
+        model encodes directly in the byte alphabet; the others take the whole way."""
         words, other, mixed, mark = [], [], [], self.mark.encode()
         flat: list[int] = []
         sizes: list[int] = []
@@ -84,7 +95,13 @@ class WordEncoder:
         for r in runs:
             w = r.rstrip()
             if w.isalpha() and w.islower():
-                ids = [t.id for t in tokenize(w.decode())]
+                text = w.decode()
+            elif not w.isascii() and (text := w.decode()).isalpha() and text.islower() and max(text) < "\u0250" and text == text.lower():
+                text = w.decode("latin-1").translate(_BYTE_LETTERS)
+            else:
+                text = ""
+            if text:
+                ids = [t.id for t in tokenize(text)]
                 words.append(r)
                 flat += ids
                 sizes.append(len(ids))
