@@ -280,3 +280,21 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **h
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_io.table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+ORACLE = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 3 THEN array_to_string(list_slice(ws, s, s + 2), ' ') ELSE array_to_string(ws, ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, CAST(greatest(len(ws) - 2, 1) AS BIGINT) + 1)) AS s FROM w WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT DISTINCT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN comp c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

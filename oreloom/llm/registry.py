@@ -30,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_duplicates": embedding_duplicates.ORACLE,
         "op7_mix_sources": mixing.ORACLE,
         "op8_chat_format": chat_format.ORACLE,
+        "op9_near_duplicates": near_duplicates.ORACLE,
     }
