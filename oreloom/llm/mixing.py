@@ -48,24 +48,23 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None], rounds:
     """cells (one column for each target, and tokens > 0) with ``weight``, raked to the targets; the weights sum to the tokens."""
     spark = cells.sparkSession
     total = F.lit(cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0)
-    goals = {}
-    for dim, shares in targets.items():
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for dim, shares in targets.items():  # every cell carries the goals of its values
         seen = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t"))
         if shares is None:
             wish = F.pow("t", F.lit(alpha))
         else:
             wish = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in shares.items() for x in kv)), F.col(dim)), F.lit(0.0)) if shares else F.lit(0.0)
         seen = seen.select(dim, wish.alias("wish"))
-        every = seen.agg(F.sum("wish").alias("every"))
-        every = F.lit(every.first()[0] or 0.0)
-        goals[dim] = _io.written(seen.select(dim, F.when(every > 0, total * F.col("wish") / every).otherwise(F.lit(0.0)).alias("goal")), "goal")
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+        every = F.lit(seen.agg(F.sum("wish")).first()[0] or 0.0)
+        now = now.join(seen.select(dim, F.when(every > 0, total * F.col("wish") / every).otherwise(F.lit(0.0)).alias(f"goal{dim}")), dim)
+    now = _io.written(now.coalesce(_few(spark)), "cells")
     for _ in range(rounds):
-        for dim, goal in goals.items():
-            have = now.groupBy(dim).agg(F.sum("weight").alias("have")).join(goal, dim).select(dim, F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(F.lit(0.0)).alias("f"))
-            now = now.join(have, dim).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
+        for dim in targets:
+            have = now.groupBy(dim).agg(F.sum("weight").alias("have"))
+            now = now.join(have, dim).withColumn("weight", F.when(F.col("have") > 0, F.col("weight") * (F.col(f"goal{dim}") / F.col("have"))).otherwise(F.lit(0.0))).drop("have")
         now = _io.written(now.coalesce(_few(spark)), "cells")
-    return now
+    return now.drop(*(f"goal{dim}" for dim in targets))
 
 
 def _few(spark: SparkSession) -> int:
