@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.parse import normalize_vendor
-from ..functions.text import clean_optional, compact, confidence_rank, contains_any, has, let
+from ..functions.text import clean_optional, compact, confidence_rank, contains_any, has, let, strip
 
 # Tokens of a rationale that contradicts its decision, and of evidence that names something concrete.
 CONFLICT = ("mismatch", "wrong category", "not a target", "false positive", "context only", "ambiguous price", "ambiguous category", "несоответ", "неоднознач", "ложнополож", "только контекст", "не целев")
@@ -24,11 +24,15 @@ def evidence_form(c: Column) -> Column:
 
 
 def wall_code(c: Column) -> Column:
-    """A wall colour code in one spelling: capitals, no space inside G codes, one space in RAL and two-letter codes."""
-    own = compact(F.upper(c))
-    own = F.regexp_replace(own, r"^G\s*(\d{3})$", "G$1")
-    own = F.regexp_replace(own, r"^RAL\s*(\d{3,4})$", "RAL $1")
-    return F.regexp_replace(own, r"^(\d{2})\s*([A-Z]{2})\s*(\d{2}/\d{3})$", "$1$2 $3")
+    """A wall colour code in one spelling: G482, RAL 7047, NCS with single spaces, 30 YY 56/060; else in capitals."""
+
+    def of(text):
+        out = F.nullif(text, F.lit(""))
+        for p, r in ((r"\b(\d{2})\s*([A-Z]{2})\s*(\d{2}/\d{3})\b", "$1 $2 $3"), (r"\bNCS\s*([A-Z0-9\s/-]+)", "NCS $1"), (r"\bRAL\s*(\d{3,4})\b", "RAL $1"), (r"\bG\s*(\d{3})\b", "G$1")):
+            out = F.when(has(text, p), compact(F.regexp_replace(F.regexp_extract(text, p, 0), p, r))).otherwise(out)
+        return out
+
+    return let(compact(strip(F.upper(c), " .,:;")), of)
 
 
 def facade_finish(c: Column) -> Column:

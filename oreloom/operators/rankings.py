@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, ordered_distinct
+from ..functions.text import first_of, match_form, ordered_distinct
 
 
 def high_confidence(mentions: DataFrame) -> DataFrame:
@@ -61,8 +61,9 @@ def merchant_counts(appliances: DataFrame) -> DataFrame:
 
 def makers(mentions: DataFrame) -> DataFrame:
     """Makers by classification: distinct messages, and of each message its richest mention."""
-    detail = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in ("person_name", "phone", "telegram", "whatsapp", "instagram", "website", "what_was_made")), F.lit(0))
-    best = mentions.withColumn("_n", F.row_number().over(Window.partitionBy("classification", "maker_name", "message_id").orderBy(detail.desc(), F.desc(F.length("evidence_quote")), "start"))).where("_n = 1")
+    contacts = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in ("phone", "telegram", "whatsapp", "instagram", "website")), F.lit(0))
+    order = [contacts.desc(), F.col("person_name").isNotNull().desc(), F.col("what_was_made").isNotNull().desc(), F.least(F.length("evidence_quote"), F.lit(500)).desc(), F.asc("start")]
+    best = mentions.withColumn("_n", F.row_number().over(Window.partitionBy("classification", "maker_name", "message_id").orderBy(*order))).where("_n = 1")
     out = best.groupBy("classification", "maker_name").agg(F.count_distinct("message_id").alias("messages"), F.slice(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("message_id")).alias("o"), "evidence_quote"))), lambda x: x["evidence_quote"]), 1, 5).alias("quotes"))
     return out.orderBy("classification", F.desc("messages"), "maker_name")
 
@@ -84,9 +85,10 @@ def best_links(links: DataFrame) -> DataFrame:
     return own.groupBy("project_key").agg(F.min_by(F.struct(*rest), F.struct(priority.alias("p"), "message_id")).alias("l")).select("project_key", "l.*")
 
 
-def wood_subfamily(text: Column) -> Column:
-    """Sub-family of a wood and neutral palette by its first token in order."""
-    from ..functions.text import first_of
+# Sub-families of wood and neutral palettes in order.
+WOOD = (("wood_cappuccino", ("капучино",)), ("wood_cashmere", ("кашемир",)), ("wood_latte", ("латте",)), ("wood_milk_offwhite", ("молоч", "меренг", "бел", "тальк", "нубук")), ("wood_light_greige", ("грейдж", "greige", "теплый сер", "светло-сер")), ("wood_beige", ("беж", "крем", "песоч")))
+
 
-    cases = (("greige_cashmere", "кашемир|greige|грейдж"), ("cappuccino_latte", "капучино|латте"), ("white_milk", "бел|молоч|тальк|меренг"), ("beige", "беж"), ("gray", "сер"), ("soft_touch", "софт|нубук"))
-    return F.coalesce(first_of(match_form(text), cases), F.lit("other"))
+def wood_subfamily(text: Column) -> Column:
+    """Sub-family of a wood and neutral palette: the first whose token the text has."""
+    return F.coalesce(first_of(match_form(text), [(n, "|".join(t)) for n, t in WOOD]), F.lit("wood_other_warm_neutral"))

@@ -5,40 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import compact, contains_any, has, let, match_form
+from ..functions.text import compact, confidence_rank, contains_any, has, let, strip
 from . import ranking
 
-# Values that say nothing, phrases of rooms and essays, and codes that may stand alone.
-BAD_VALUES = ("арт", "артикул", "код", "руб", "шт", "м2", "ozon", "wb", "вб", "ям", "кухня", "диван", "стол", "стул", "фартук", "столешница", "прихожая", "гостиная")
-ROOM_PHRASES = ("в ванной", "в спальне", "в детской", "в гостиной", "в прихожей", "на кухне", "в коридоре")
-ESSAY = ("потому что", "поэтому", "например", "важно", "если вы", "можно было")
+# Values that say nothing, fragments of essays, phrases of rooms, what a value must not be alone.
+BAD_VALUES = ("арт", "арт.", "артикул", "art", "art.", "на пол", "на полу", "в кабинете", "в гостиной", "в гостинной", "на кухне", "в прихожей", "в прихожую", "в ванной", "в ванную", "в спальне", "в спальню", "в детской", "в детскую", "для ключей", "рабочее", "рабочий", "кухонный", "кухонные", "кухонная", "2шт", "2 шт", "1шт", "1 шт", "позиции из цитат")
+ESSAY = ("задача:", "практически, как на заказ", "обратите внимание", "выбрав нужную", "сразу кажется", "который обойдется", "который обойдётся", "модель и ткань", "обязательно раскладной")
+ROOM_PHRASES = ("в прихожей", "в прихожую", "в кабинете", "в гостиной", "в гостинной", "на кухне", "в ванной", "в ванную", "в спальне", "в спальню", "в детской", "в детскую", "для ключей", "на пол", "на полу")
+WALL_CODE = r"(?iU)^(?:G\s*\d{3}|RAL\s*\d{3,4}|NCS\s*[A-Z0-9\s/\-]+|\d{2}\s*[A-Z]{2}\s*\d{2}/\d{3})$"
+ARTICLE_ONLY = r"(?iU)^(?:арт\.?\s*[\d\-/\s]+|\d[\d\s\-_/]*)$"
+PRICE_ONLY = r"(?iU)^[\d\s.,]+\s*(?:руб\.?|₽|rub)\s*(?:/?\s*(?:шт|м2|м²|м|кг|компл(?:ект)?))?\s*$"
 
 
 def display_value(value: Column, category: Column, item_type: Column) -> Column:
-    """A value that a report may show: 3 to 90 characters (facades up to 140), not a bare word, room, essay, article
-    number or price; codes of wall colours always."""
+    """A value that a report may show: wall codes, else 3 to 90 characters (facades of several parts may be longer),
+    not a bare word, room phrase, essay, article number or price."""
 
     def of(text):
-        low = match_form(text)
-        code = (category == "wall_colors") & has(text, r"(?i)^(RAL\s*\d{3,4}|G\d{3}|\d{2}[A-Z]{2} \d{2}/\d{3}|NCS.*|S \d{4}.*)$")
-        facade = item_type == "kitchen_facades"
-        fits = F.length(text).between(3, 90) | (facade & F.length(text).between(3, 140))
-        bare = low.isin(*BAD_VALUES) | low.isin(*ROOM_PHRASES) | contains_any(low, ESSAY)
-        number = has(text, r"^[\d\s.,№#-]+$") | has(low, r"^\d[\d\s.]*(руб|₽|р\.?)") | has(low, r"^(арт|артикул|код)\b")
-        return code | (fits & ~bare & ~number)
+        low = F.lower(text)
+        refused = low.isin(*BAD_VALUES) | contains_any(low, ESSAY) | contains_any(low, ROOM_PHRASES) | has(text, PRICE_ONLY)
+        fits = (F.length(text) >= 3) & ~has(text, ARTICLE_ONLY) & ((F.length(text) <= 90) | ((item_type == "kitchen_facades") & F.contains(text, F.lit(" + "))))
+        return (text != "") & ~refused & (has(text, WALL_CODE) | F.coalesce(fits, F.lit(False)))
 
     return F.coalesce(let(compact(value), of), F.lit(False))
 
 
+def _cases(c: Column, cases) -> Column:
+    """The label of the first case that the lower-cased text has a token of, else the text."""
+    text = strip(compact(c), " .,:;")
+    out = text
+    for label, tokens in reversed(cases):
+        out = F.when(contains_any(F.lower(text), tokens), F.lit(label)).otherwise(out)
+    return F.nullif(out, F.lit(""))
+
+
+# Labels of fabrics, sofa colours, flooring.
+def sofa_material(c: Column) -> Column:
+    return _cases(c, (("букле / Bucle", ("bucle", "букле")), ("велюр / velvet-like labels", ("velvet", "вельвет", "велюр")), ("рогожка", ("рогож",))))
+
+
+def sofa_color(c: Column) -> Column:
+    return _cases(c, (("olive", ("olive", "олив")), ("light", ("light", "светл", "молоч")), ("terra", ("terra", "терра")), ("серый", ("grey", "gray", "сер")), ("зелёный", ("green", "зелен", "зелён", "emerald")), ("бежевый", ("beige", "беж", "крем"))))
+
+
+def flooring_material(c: Column) -> Column:
+    return _cases(c, (("Alpine Floor", ("alpine floor",)), ("SPC / кварцвинил", ("spc", "кварц")), ("плитка / керамогранит", ("плитк", "керамогранит")), ("ламинат", ("ламинат",)), ("паркет / инженерная доска", ("паркет", "инженер"))))
+
+
 def primary(category: str = "e_category") -> Column:
     """The value of a fact that its section is about."""
     c = F.col(category)
     return (
-        F.when(c == "wall_colors", F.coalesce("e_color_code", "e_brand"))
-        .when(c == "kitchens", F.coalesce("e_finish", "e_material", "e_model"))
-        .when(c == "flooring", F.coalesce("e_brand", "e_material", "e_model"))
-        .when(c == "sofas", F.coalesce("e_model", "e_material", "e_color"))
-        .otherwise(F.coalesce("e_model", "e_material", "item_name"))
+        F.when(c == "wall_colors", F.coalesce("e_color_code", "e_color"))
+        .when(c == "kitchens", F.coalesce("e_finish", "e_model", "e_material", "e_color"))
+        .when(c == "sofas", F.coalesce(F.col("e_model"), sofa_material(F.col("e_material")), sofa_color(F.col("e_color"))))
+        .when(c == "flooring", flooring_material(F.coalesce("e_material", "e_brand", "e_finish")))
+        .otherwise(F.coalesce("e_model", "e_finish", "e_material", "e_color", "e_article_id"))
     )
 
 
@@ -71,20 +93,24 @@ def wood_and_neutral(used: DataFrame) -> DataFrame:
 
 
 def examples(used: DataFrame, category: str, k: int = 12) -> DataFrame:
-    """The best examples of a section: by shown value, price, photo, vendor, date and id."""
-    shown = display_value(primary(), F.col("e_category"), F.col("e_item_type"))
-    order = [shown.desc(), F.col("e_price_value").isNotNull().desc(), F.col("first_photo_path").isNotNull().desc(), F.col("e_vendor").isNotNull().desc(), F.coalesce("date", F.lit("")).desc(), F.desc("id")]
+    """The best examples of a section: reviewed, confidence, price, vendor, model, article, photo, date; then the smallest id."""
+    told = lambda c: F.col(c).isNotNull().desc()
+    order = [F.coalesce(F.col("decision").isin("keep", "fix"), F.lit(False)).desc(), F.coalesce(confidence_rank(F.col("confidence")), F.lit(0)).desc(), told("e_price_value"), told("e_vendor"), told("e_model"), told("e_article_id"), told("first_photo_path"), F.coalesce("date", F.lit("")).desc(), F.asc("id")]
     return used.where(F.col("e_category") == category).orderBy(*order).limit(k)
 
 
 def living_room_keep() -> Column:
-    """Living-room facts that name furniture, not lighting or decor."""
-    low = match_form(F.col("evidence_quote"))
-    return ~F.endswith("e_item_type", F.lit("_context_match")) & ~(contains_any(low, ("люстра", "светильник", "картина", "ваза")) & ~contains_any(low, ("тумб", "комод", "стеллаж", "полк", "шкаф", "консол")))
+    """Living-room facts that are furniture of that room: no hallway pieces, coffee tables, bundles, lighting or decor,
+    and something to show."""
+    kind, evidence = F.lower("e_item_type"), F.lower(F.coalesce("evidence_quote", F.lit("")))
+    other = kind.isin("coffee_table", "hallway_wardrobe", "shoe_cabinet", "hanger", "mirror", "pouf", "entry_group", "living_room_context_match", "bundle_purchase")
+    elsewhere = contains_any(evidence, ("в прихожей", "в прихожую", "в ванной", "в ванную", "для ключей", "санузел")) | (kind.isin("shelves", "shelving") & F.contains(evidence, F.lit("ключ")))
+    shown = display_value(primary(), F.col("e_category"), kind) | F.coalesce("e_vendor", "e_brand", "e_model", "e_material").isNotNull()
+    return F.coalesce(~other, F.lit(True)) & ~elsewhere & ~contains_any(evidence, ("люстра", "бра", "торшер", "постер", "плед")) & shown
 
 
 def hallway_keep() -> Column:
-    return F.col("e_item_type") != "bundle_purchase"
+    return F.coalesce(F.lower("e_item_type") != "bundle_purchase", F.lit(True))
 
 
 def value_sections(used: DataFrame) -> dict[str, DataFrame]:

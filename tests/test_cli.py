@@ -39,7 +39,7 @@ def test_all_stages(spark, tmp_path, capsys):
 
 
 def test_display_values(spark):
-    rows = [("Дуб каселла", "kitchens", "x", True), ("арт", "kitchens", "x", False), ("в ванной", "sofas", "x", False), ("1234567", "sofas", "x", False), ("RAL 7047", "wall_colors", "x", True), ("x" * 100, "sofas", "x", False), ("x" * 100, "kitchens", "kitchen_facades", True), (None, "sofas", "x", False)]
+    rows = [("Дуб каселла", "kitchens", "x", True), ("арт", "kitchens", "x", False), ("в ванной", "sofas", "x", False), ("1234567", "sofas", "x", False), ("RAL 7047", "wall_colors", "x", True), ("x" * 100, "sofas", "x", False), ("x" * 60 + " + " + "y" * 60, "kitchens", "kitchen_facades", True), ("в прихожей шкаф", "hallway", "x", False), ("14 990 ₽/шт", "sofas", "x", False), (None, "sofas", "x", False)]
     df = spark.createDataFrame(rows, "v string, c string, t string, want boolean").select("want", reporting.display_value(F.col("v"), F.col("c"), F.col("t")).alias("got"))
     assert all(r.want == r.got for r in df.collect())
 
