@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sinks
-from .operators import candidates, canonical, effective, facts, links, mentions, projects, rankings, review, sampling
+from .operators import candidates, canonical, effective, facts, links, mentions, projects, rankings, reporting, review, sampling
 from .sources import archive
 
 KITCHEN = "kitchens"
@@ -75,6 +75,7 @@ def extract(spark: SparkSession, a) -> dict:
     own = facts.with_ids(facts.deduplicate_facts(facts.extract_facts(posts, a.owner))).drop("ord")
     sinks.write_facts(own, a.out)
     written = sinks.read_facts(spark, a.out)
+    sinks.write_report(spark, f"{a.out}/facts.md", "Facts", {"Categories": reporting.fact_summary(written), "Values": reporting.top_values(written), "Reasons for review": reporting.review_signals(written)}, 200)
     return {"facts": written.count(), "clean": written.where("not needs_review").count()}
 
 
@@ -110,9 +111,7 @@ def report(spark: SparkSession, a) -> dict:
     used = effective.used(dataset)
     sinks.write_csv(used, f"{a.out}/used_csv")
     sinks.write_csv(dataset.where("exclusion_reason is not null"), f"{a.out}/excluded_csv")
-    from .operators.reporting import value_sections
-
-    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": effective.counters(dataset)} | value_sections(used), a.top)
+    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": effective.counters(dataset)} | reporting.value_sections(used), a.top)
     return {"used": used.count()}
 
 
@@ -123,7 +122,9 @@ def palette(spark: SparkSession, a) -> dict:
     sinks.write_tables({"projects": out}, a.out)
     out = spark.read.parquet(f"{a.out}/projects")
     sinks.write_csv(out, f"{a.out}/projects_csv")
-    sinks.write_report(spark, f"{a.out}/palettes.md", "Palettes", {"Selected": out.where("selected"), "Excluded": out.where("not selected").groupBy("exclusion_reason").count()})
+    copies = sinks.copy_photos(out.where("selected"), f"{a.out}/photos")
+    listed = "\n".join(f"* {p}: {', '.join(files)}" for p, files in sorted(copies.items())) or "none"
+    sinks.write_report(spark, f"{a.out}/palettes.md", "Palettes", {"Selected": out.where("selected"), "Photos": listed, "Excluded": out.where("not selected").groupBy("exclusion_reason").count()})
     return {"projects": out.count()}
 
 

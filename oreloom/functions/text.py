@@ -182,7 +182,7 @@ def confidence_label(rank: Column) -> Column:
 
 def int_or_null(c: Column) -> Column:
     """A whole number from a number or a text of digits; anything else is null."""
-    return F.expr("x").try_cast("bigint") if c is None else c.try_cast("bigint")
+    return c.try_cast("bigint")
 
 
 def meaningful(c: Column) -> Column:
@@ -192,3 +192,24 @@ def meaningful(c: Column) -> Column:
 
 def sha256(c: Column) -> Column:
     return F.sha2(c, 256)
+
+
+def format_price(value: Column, currency: Column, unit: Column) -> Column:
+    """``64 990 ₽/шт``; null without a value."""
+    whole = F.replace(F.format_number(value.cast("decimal(18,0)"), 0), F.lit(","), F.lit(" "))
+    sign = F.when(F.coalesce(currency, F.lit("RUB")) == "RUB", F.lit("₽")).otherwise(currency)
+    return F.when(value.isNotNull(), F.concat(whole, F.lit(" "), sign, F.when(unit.isNotNull(), F.concat(F.lit("/"), unit)).otherwise("")))
+
+
+def format_day(date: Column) -> Column:
+    """The day of an ISO date text."""
+    return F.nullif(F.split_part(date, F.lit("T"), F.lit(1)), F.lit(""))
+
+
+def post_url(channel: str, message_id: Column) -> Column:
+    return F.concat(F.lit(f"https://t.me/{channel}/"), message_id.cast("string"))
+
+
+def canonical_json(c: Column) -> Column:
+    """JSON text with sorted keys and no spaces; null if it is not JSON."""
+    return F.to_json(F.try_parse_json(c))

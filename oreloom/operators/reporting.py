@@ -115,3 +115,23 @@ def hallway_keep() -> Column:
 
 def value_sections(used: DataFrame) -> dict[str, DataFrame]:
     return {"Values": display_counts(used), "Suppliers": suppliers(used), "Not shown": suppressed(used)}
+
+
+def fact_summary(facts: DataFrame) -> DataFrame:
+    """By category: facts, clean ones, ones to review, and of each confidence."""
+    n = lambda c: F.count_if(c)
+    review = F.col("needs_review")
+    return facts.groupBy("category").agg(F.count("*").alias("facts"), n(~review).alias("clean"), n(review).alias("to_review"), *(n(F.col("confidence") == c).alias(c) for c in ("high", "medium", "low"))).orderBy("category")
+
+
+def top_values(facts: DataFrame, fields: tuple[str, ...] = ("item_type", "vendor_normalized", "color_code", "finish", "model", "material"), k: int = 15) -> DataFrame:
+    """Long table category, field, value, n: the k commonest values of each field; ties by value. One pass unpivots."""
+    long = facts.select("category", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("x")).select("category", "x.field", "x.value").where("value is not null")
+    return ranking.top_k(long.groupBy("category", "field", "value").agg(F.count("*").alias("n")), ["category", "field"], [F.desc("n"), F.asc("value")], k)
+
+
+def review_signals(facts: DataFrame) -> DataFrame:
+    """One row: how many notes speak of each reason for a review; a note may speak of several."""
+    text = F.lower(F.coalesce("notes", F.lit("")))
+    signals = {"bundle": ("bundle",), "non_target_room": ("non-target",), "suspicious_descriptor": ("suspicious",), "lighting_or_context": ("lighting", "context"), "several_items": ("several unrelated",), "several_prices": ("multiple prices",), "low_confidence": ("low confidence",), "nothing_parsed": ("no vendor",)}
+    return facts.where("needs_review").agg(*(F.count_if(contains_any(text, parts)).alias(n) for n, parts in signals.items()))

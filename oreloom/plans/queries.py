@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import parse as P
 from ..functions import text as T
-from ..operators import candidates, canonical, effective, facts, mentions, projects, ranking, rankings, review, sampling, spans
+from ..operators import candidates, canonical, effective, facts, mentions, projects, ranking, rankings, reporting, review, sampling, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -394,6 +394,15 @@ def top1_name(spark, sf_dir):
     return project_names(own).withColumnRenamed("message_id", "l_orderkey")
 
 
+@query("""WITH v AS (SELECT l_returnflag AS category, unnest(['mode', 'status', 'line']) AS field, unnest([CASE WHEN l_quantity > 25 THEN 'bulk' ELSE 'small' END, l_linestatus, CAST(l_linenumber AS VARCHAR)]) AS value FROM lineitem),
+c AS (SELECT category, field, value, count(*) AS n FROM v GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY category, field ORDER BY n DESC, value) AS place FROM c)
+SELECT category, field, value, n, CAST(place AS INTEGER) AS place FROM r WHERE place <= 3""")
+def top_values(spark, sf_dir):
+    """Commonest values of several fields in one pass."""
+    own = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("category"), F.when(F.col("l_quantity") > 25, "bulk").otherwise("small").alias("mode"), F.col("l_linestatus").alias("status"), F.col("l_linenumber").alias("line"))
+    return reporting.top_values(own, ("mode", "status", "line"), 3)
+
+
 @query()
 def nearest_span(spark, sf_dir):
     """Keyword spans of documents and the nearest brand word in their line."""

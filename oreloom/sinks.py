@@ -74,3 +74,49 @@ def write_report(spark: SparkSession, path: str, title: str, sections: Mapping[s
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
     out.write(bytearray("\n".join(parts), "utf-8"))
     out.close()
+
+
+def copy_photos(selected: DataFrame, folder: str, key: str = "project_id", per_project: int = 2, most: int = 100) -> dict[str, list[str]]:
+    """Copy the first photos of the selected projects of a report (at most ``most``) beside it, emptying the folder first.
+
+    Returns the copies by project. Files that are gone are left out. Report selections are a few rows by definition.
+    """
+    spark = selected.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    target = path(folder).getFileSystem(conf)
+    target.delete(path(folder), True)
+    out: dict[str, list[str]] = {}
+    for r in selected.select(key, F.slice("photo_paths", 1, per_project).alias("photos")).orderBy(key).limit(most).collect():
+        for k, photo in enumerate(r.photos or []):
+            own = path(photo)
+            source = own.getFileSystem(conf)
+            if source.exists(own):
+                copy = f"{folder}/{r[key]}-{k + 1}{photo[photo.rfind('.') :] if '.' in photo.rsplit('/', 1)[-1] else ''}"
+                jvm.org.apache.hadoop.fs.FileUtil.copy(source, own, target, path(copy), False, conf)
+                out.setdefault(str(r[key]), []).append(copy)
+    return out
+
+
+def contact_sheet(photos: list[str], path: str, cell: tuple[int, int] = (420, 315)) -> bool:
+    """One JPEG of local photos: two columns up to four of them, else three. False where no image library is installed
+    or fewer than three can be read."""
+    try:
+        from PIL import Image
+    except ImportError:
+        return False
+    images = []
+    for p in photos:
+        try:
+            images.append(Image.open(p).convert("RGB"))
+        except OSError:
+            continue
+    if len(images) < 3:
+        return False
+    columns = 2 if len(images) <= 4 else 3
+    sheet = Image.new("RGB", (cell[0] * columns, cell[1] * -(-len(images) // columns)), "white")
+    for k, image in enumerate(images):
+        image.thumbnail(cell)
+        sheet.paste(image, (k % columns * cell[0], k // columns * cell[1]))
+    sheet.save(path, "JPEG")
+    return True

@@ -50,6 +50,13 @@ def test_sinks(spark, tmp_path):
     assert {r.token for r in sinks.token_postings(spark.createDataFrame([(1, "Да и да"), (2, None)], "id long, t string"), "id", "t").collect()} == {"да", "и"}
 
 
+def test_photos(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(b"1")
+    df = spark.createDataFrame([(7, [str(tmp_path / "a.jpg"), str(tmp_path / "gone.jpg")]), (8, None)], "project_id long, photo_paths array<string>")
+    assert sinks.copy_photos(df, str(tmp_path / "out")) == {"7": [f"{tmp_path}/out/7-1.jpg"]}
+    assert (tmp_path / "out" / "7-1.jpg").read_bytes() == b"1" and not sinks.contact_sheet([], str(tmp_path / "s.jpg"))
+
+
 def test_stream(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "state")
     spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "message_id long, ord long, text string").write.parquet(source)

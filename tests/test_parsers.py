@@ -80,3 +80,9 @@ def test_categories(spark):
 def test_article_terms(spark):
     df = spark.createDataFrame([(1, "2024", "Артикулы проекта"), (2, "2024", "Купить все артикулы"), (3, "2024", "ничего"), (4, None, "Промокод HOUSE внутри"), (5, None, None)], "message_id int, date string, text string")
     assert {r.message_id: r.article_terms for r in C.article_posts(df, owner="HOUSE").collect()} == {1: ["Артикулы проекта"], 2: ["Купить все артикулы"], 4: ["промокод HOUSE"]}
+
+
+def test_formats(spark):
+    df = spark.createDataFrame([(64990.0, None, "шт", "2024-01-02T10:00", '{"b": 1, "a": [2]}'), (None, "RUB", None, None, "{")], "v double, c string, u string, d string, j string")
+    got = df.select(T.format_price(F.col("v"), F.col("c"), F.col("u")), T.format_day(F.col("d")), T.canonical_json(F.col("j")), T.post_url("home", F.lit(5))).collect()
+    assert [tuple(r) for r in got] == [("64 990 ₽/шт", "2024-01-02", '{"a":[2],"b":1}', "https://t.me/home/5"), (None, None, None, "https://t.me/home/5")]
