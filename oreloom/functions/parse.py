@@ -50,7 +50,8 @@ def vendor(c: Column, vendors=rules.VENDORS) -> Column:
 
     def found(text):
         own = [F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("normalized"), F.regexp_extract(text, p, 0).alias("raw"))) for k, (name, aliases) in enumerate(vendors) for p in [_vendor_pattern(aliases)]]
-        return F.array_min(F.filter(F.array(*own), lambda x: x.isNotNull()))
+        # one pattern for all aliases rules most texts out
+        return F.when(has(text, _vendor_pattern(tuple(a for _, aliases in vendors for a in aliases))), F.array_min(F.filter(F.array(*own), lambda x: x.isNotNull())))
 
     named = lambda first: F.when(first.isNotNull(), F.struct(compact(first["raw"]).alias("raw"), first["normalized"].alias("normalized")))
     return let(let(F.translate(c, "ёЁ", "еЕ"), found), named)
@@ -132,7 +133,7 @@ def project_name(c: Column) -> Column:
 def color_codes(c: Column) -> Column:
     """Colour codes in capitals, pattern by pattern, each once."""
     found = [F.transform(F.regexp_extract_all(c, F.lit(f"(?iU)({p})"), F.lit(1)), lambda x: compact(F.upper(x))) for p in rules.COLOR_CODES]
-    return F.array_distinct(F.concat(*found))
+    return F.when(has(c, "[0-9]{2}"), F.array_distinct(F.concat(*found))).otherwise(F.array().cast("array<string>"))
 
 
 def brand(c: Column) -> Column:
@@ -147,7 +148,8 @@ def item_triggers(c: Column) -> Column:
 
 
 def rooms(c: Column) -> Column:
-    return F.filter(F.array(*(F.when(has(c, word_pattern(p)), F.lit(n)) for n, p in rules.ROOMS)), lambda x: x.isNotNull())
+    own = F.filter(F.array(*(F.when(has(c, word_pattern(p)), F.lit(n)) for n, p in rules.ROOMS)), lambda x: x.isNotNull())
+    return F.when(has(c, word_pattern("|".join(p for _, p in rules.ROOMS))), own).otherwise(F.array().cast("array<string>"))
 
 
 def non_target_rooms(c: Column) -> Column:

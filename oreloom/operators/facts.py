@@ -53,7 +53,8 @@ def heads(text: Column) -> Column:
     for head, category, forms in rules.BUNDLE_HEADS:
         p = word_pattern(forms)
         found.append(F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(head).alias("head"), F.lit(category).alias("category"), F.regexp_count(text, F.lit(p)).alias("times"))))
-    return F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    none = F.array().cast("array<struct<at:int,head:string,category:string,times:int>>")
+    return F.when(has(text, word_pattern("|".join(p for _, _, p in rules.BUNDLE_HEADS))), F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))).otherwise(none)
 
 
 def bundle(candidate: Column) -> Column:

@@ -235,7 +235,7 @@ def evidence_blocks(spark, sf_dir):
 @query()
 def fact_extraction(spark, sf_dir):
     """Facts of posts written from orders and parts."""
-    own = table(spark, sf_dir, "orders").where("o_orderkey < 400")
+    own = table(spark, sf_dir, "orders")
     line = F.concat_ws("\n\n", F.concat(F.lit("Диван Divan.ru Слипсон Вельвет Зеленый "), F.floor("o_totalprice").cast("string"), F.lit("₽")), F.concat(F.lit("Цвет стен RAL "), (F.col("o_custkey") % 9000 + 1000).cast("string")), F.lit("Стол OZON Арт. 1550292417 14 157₽"))
     posts = own.select(F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").cast("string").alias("date"), line.alias("text"), F.lit("all_text").alias("source_scope"), F.lit(None).cast("string").alias("first_photo_path"))
     return facts.deduplicate_facts(facts.extract_facts(posts)).select("message_id", "category", "item_type", "vendor_normalized", "model", "material", "color", "color_code", "price_value", "confidence", "needs_review")
@@ -265,12 +265,13 @@ def effective_filter(spark, sf_dir):
     return effective.build(own, reviews).select(F.col("id").alias("doc_id"), "exclusion_reason")
 
 
-@query("""WITH u AS (SELECT *, 0 AS s FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT * REPLACE ('P' AS o_orderstatus), 1 AS s FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH u AS (SELECT *, 0 AS s FROM orders UNION ALL SELECT * REPLACE ('corrected' AS o_orderstatus), 1 AS s FROM orders WHERE o_totalprice > 200000)
 SELECT o_custkey, arg_max(o_orderkey, (s, o_orderkey)) AS o_orderkey, arg_max(o_orderstatus, (s, o_orderkey)) AS o_orderstatus FROM u GROUP BY o_custkey""")
 def multi_db_last_wins(spark, sf_dir):
     """Several stores: the later store, then the later row wins."""
-    own = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    every = ranking.ordered_union(own.where("o_orderkey % 3 <> 0"), own.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("P")))
+    own = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    later = own.where("o_totalprice > 200000").withColumn("o_orderstatus", F.lit("corrected"))
+    every = ranking.ordered_union(own.drop("o_totalprice"), later.drop("o_totalprice"))
     return ranking.last_wins(every, "o_custkey", [F.col("source_no"), F.col("o_orderkey")]).drop("source_no")
 
 
@@ -464,12 +465,12 @@ def total_order_ids(spark, sf_dir):
     return ranking.numbered(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")]).select("o_orderkey", "id")
 
 
-@query("SELECT token, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM documents) GROUP BY token HAVING count(DISTINCT doc_id) >= 5")
+@query("SELECT token, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM documents) GROUP BY token")
 def token_index(spark, sf_dir):
     """Posting sizes of a full-text index (K2)."""
     from ..sinks import token_postings
 
-    return token_postings(table(spark, sf_dir, "documents"), "doc_id", "text").groupBy("token").agg(F.count("*").alias("documents")).where("documents >= 5")
+    return token_postings(table(spark, sf_dir, "documents"), "doc_id", "text").groupBy("token").agg(F.count("*").alias("documents"))
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")
