@@ -357,12 +357,12 @@ def quality_tiers(spark, sf_dir):
 
 @query(f"""WITH {_TIER_SQL}, s AS (SELECT l_orderkey, 'x' AS label, 0 AS k, CASE WHEN a THEN 4 + CASE WHEN b THEN 1 ELSE 0 END END AS s FROM q UNION ALL SELECT l_orderkey, 'y', 1, CASE WHEN c THEN 5 END FROM q UNION ALL SELECT l_orderkey, 'z', 2, CASE WHEN d THEN 4 END FROM q),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY s DESC, k) AS place FROM s WHERE s IS NOT NULL)
-SELECT q.l_orderkey, max(CASE WHEN place = 1 THEN label END) AS label, CAST(max(CASE WHEN place = 1 THEN s END) AS INTEGER) AS score, coalesce(string_agg(label, ';' ORDER BY place) FILTER (place > 1), '') AS others FROM q LEFT JOIN r USING (l_orderkey) GROUP BY q.l_orderkey""")
+SELECT q.l_orderkey, max(CASE WHEN place = 1 THEN label END) AS label, CAST(coalesce(max(CASE WHEN place = 1 THEN s END), 0) AS INTEGER) AS score, coalesce(string_agg(label, ';' ORDER BY place) FILTER (place > 1), '') AS others FROM q LEFT JOIN r USING (l_orderkey) GROUP BY q.l_orderkey""")
 def argmax_label(spark, sf_dir):
     """Best scored label with a fixed order of ties, and the others."""
     own = _tiers(spark, sf_dir)
     best = projects.argmax_label([("x", F.when(F.col("a"), 4 + F.when(F.col("b"), 1).otherwise(0))), ("y", F.when(F.col("c"), 5)), ("z", F.when(F.col("d"), 4))])
-    return own.withColumn("best", best).select("l_orderkey", F.col("best.label").alias("label"), F.col("best.score").alias("score"), F.coalesce(F.array_join("best.others", ";"), F.lit("")).alias("others"))
+    return own.withColumn("best", best).select("l_orderkey", F.col("best.label").alias("label"), F.coalesce("best.score", F.lit(0)).alias("score"), F.coalesce(F.array_join("best.others", ";"), F.lit("")).alias("others"))
 
 
 @query("""WITH t AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal > 9800 THEN 'high' WHEN c_acctbal > 5000 THEN 'medium' ELSE 'low' END AS tier, c_acctbal FROM customer),
@@ -376,14 +376,14 @@ def quota_topk_fill(spark, sf_dir):
 
 @query("""WITH t AS (SELECT l_orderkey, list_sort(list_distinct(list(l_suppkey) FILTER (l_returnflag = 'R'))) AS targets FROM lineitem GROUP BY l_orderkey)
 SELECT o_orderkey, CASE WHEN len(targets) = 1 THEN 'explicit' WHEN len(targets) > 1 THEN 'ambiguous' WHEN o_custkey % 5 = 0 THEN 'mapped' WHEN o_orderstatus = 'O' THEN 'same' ELSE 'ambiguous' END AS link_method,
-  CASE WHEN len(targets) = 1 THEN targets[1] WHEN len(targets) > 1 THEN NULL WHEN o_custkey % 5 = 0 THEN o_custkey WHEN o_orderstatus = 'O' THEN o_orderkey END AS project_id FROM orders LEFT JOIN t ON o_orderkey = l_orderkey""")
+  CASE WHEN len(targets) = 1 THEN targets[1] WHEN len(targets) > 1 THEN -1 WHEN o_custkey % 5 = 0 THEN o_custkey WHEN o_orderstatus = 'O' THEN o_orderkey ELSE -1 END AS project_id FROM orders LEFT JOIN t ON o_orderkey = l_orderkey""")
 def link_cascade(spark, sf_dir):
     """The first linking method that holds, over a set of explicit targets."""
     found = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_set("l_suppkey")).alias("targets"))
     own = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus").join(found, "o_orderkey", "left")
     n = F.coalesce(F.size("targets"), F.lit(0))
     mapped, same = F.col("o_custkey") % 5 == 0, F.col("o_orderstatus") == "O"
-    return own.select("o_orderkey", F.when(n == 1, "explicit").when(n > 1, "ambiguous").when(mapped, "mapped").when(same, "same").otherwise("ambiguous").alias("link_method"), F.when(n == 1, F.get("targets", F.lit(0))).when(n > 1, None).when(mapped, F.col("o_custkey")).when(same, F.col("o_orderkey")).alias("project_id"))
+    return own.select("o_orderkey", F.when(n == 1, "explicit").when(n > 1, "ambiguous").when(mapped, "mapped").when(same, "same").otherwise("ambiguous").alias("link_method"), F.when(n == 1, F.get("targets", F.lit(0))).when(n > 1, -1).when(mapped, F.col("o_custkey")).when(same, F.col("o_orderkey")).otherwise(-1).alias("project_id"))
 
 
 @query("""WITH c AS (SELECT l_orderkey, p_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL) SELECT l_orderkey, arg_min(p_name, (-n, p_name)) AS project_name FROM c GROUP BY l_orderkey""")
