@@ -2,12 +2,15 @@
 
 Lines that speak of licensing, and what lies between such lines, are candidate blocks. A block is compressed alone and
 with each license template as a zstandard raw-content dictionary; the templates that save the largest share of its
-size are compared with the block word for word, best first, and the first one whose wording is there is confirmed with
-its differences counted.
+size, and all others whose words can be there close together, are compared with the block word for word, and the best one
+whose wording is there is confirmed with its differences counted. Its words are cut out and the rest of the block is
+matched again until nothing is confirmed, so a block has all licenses that it states. A notice whose name is joined to a confirmed one by
+``or`` or ``and`` shares the words before that one (``the MIT License or the Apache License, Version 2.0``).
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import _io
 
-#: Lines without a licensing word that a block may run over; templates compared word for word; wording that must be there.
+#: Lines without a licensing word that a block may run over; templates compared word for word wherever their words are; wording that must be there.
 GAP, RANKED, COVER = 3, 3, 0.8
 
 #: License id, name of the wording, wording. The published notices.
@@ -76,9 +79,15 @@ def _prepared(templates: tuple) -> tuple:
     return out, zstandard.ZstdCompressor(compression_params=how)
 
 
-def differences(block: list[str], template: list[str]) -> tuple[float, int]:
-    """(share of the template's words that the block has in order, words added, dropped or changed between the first and last of them)"""
-    pairs = [m for m in SequenceMatcher(None, block, template, autojunk=False).get_matching_blocks() if m.size]
+#: What a notice has before and after its name, and what may join two names.
+_AROUND, _JOINS = {"released", "licensed", "license", "under", "the", "a", "this", "work", "is"}, {"or", "and", "the", "a", "either", "both", "of", "license", "licenses"}
+
+
+def _pairs(block: list[str], template: list[str]) -> list:
+    return [m for m in SequenceMatcher(None, block, template, autojunk=False).get_matching_blocks() if m.size]
+
+
+def _differ(pairs: list, template: list[str]) -> tuple[float, int]:
     if not pairs:
         return 0.0, len(template)
     same = sum(m.size for m in pairs)
@@ -86,31 +95,121 @@ def differences(block: list[str], template: list[str]) -> tuple[float, int]:
     return same / len(template), (inside - same) + (len(template) - same)
 
 
-def match(block: str, templates: tuple = TEMPLATES) -> tuple[str, str, float, int] | None:
-    """(license, kind, share of the size saved, differing words) of the best confirmed template."""
-    own = words(block)
-    if not own:
-        return None
+def differences(block: list[str], template: list[str]) -> tuple[float, int]:
+    """(share of the template's words that the block has in order, words added, dropped or changed between the first and last of them)"""
+    return _differ(_pairs(block, template), template)
+
+
+def _best(own: list[str], templates: tuple, near: bool) -> tuple | None:
+    """(place in templates, saved, differences, matched runs of words) of the best confirmed template; ``near``: its words
+    must be within twice its length, as they must for templates that are not among the best compressed."""
     data = f" {' '.join(own)} ".encode()
     prepared, plain = _prepared(templates)
     alone = len(plain.compress(data))
     ranked = sorted(((alone - len(c.compress(data))) / alone, -k) for k, (_, _, _, c) in enumerate(prepared))[::-1]
-    found = []
-    for saved, k in ranked[:RANKED]:
-        if saved > 0:
-            lic, kind, text, _ = prepared[-k]
-            cover, differ = differences(own, text)
-            if cover >= COVER:
-                found.append((-cover, differ, -len(text), k, lic, kind, saved))
+    have = Counter(own)
+
+    def confirmed(some: list, near: bool) -> list:
+        found = []
+        for saved, k in some:
+            text = prepared[-k][2]
+            if (have & Counter(text)).total() < COVER * len(text):
+                continue
+            pairs = _pairs(own, text)
+            cover, differ = _differ(pairs, text)
+            if cover >= COVER and (not near or pairs[-1].a + pairs[-1].size - pairs[0].a <= 2 * len(text)):
+                found.append((-cover, differ, -len(text), k, saved, pairs))
+        return found
+
+    first = [r for r in ranked[:RANKED] if r[0] > 0]
+    found = confirmed(first, near) + confirmed(ranked[len(first) :], True)
     if not found:
         return None
-    _, differ, _, _, lic, kind, saved = min(found)
-    return lic, kind, saved, differ
+    _, differ, _, k, saved, pairs = min(found, key=lambda f: f[:4])
+    return -k, saved, differ, pairs
+
+
+def _one_place(pairs: list, reach: int) -> list:
+    """The runs around the longest one, none further than reach words from the next: far words may be another statement's."""
+    k = max(range(len(pairs)), key=lambda i: pairs[i].size)
+    first = last = k
+    while first > 0 and pairs[first].a - (pairs[first - 1].a + pairs[first - 1].size) <= reach:
+        first -= 1
+    while last + 1 < len(pairs) and pairs[last + 1].a - (pairs[last].a + pairs[last].size) <= reach:
+        last += 1
+    return pairs[first : last + 1]
+
+
+def _joined(own: list[str], free: set[int], spans: list, templates: tuple) -> tuple | None:
+    """(place in templates, missing words, places) of a notice whose name is joined to a confirmed match."""
+    known = {lic for lic, _, _ in spans}
+    for k, (lic, kind, text, _) in enumerate(_prepared(templates)[0]):
+        if lic in known or kind != "notice":
+            continue
+        core = [w for w in text if w not in _AROUND or w == "license"]
+        while core and core[-1] == "license":
+            core.pop()
+        for _, first, last in spans:
+            for step, at in ((1, last + 1), (-1, first - 1)):
+                between = []
+                while 0 <= at < len(own) and own[at] in _JOINS and at in free:
+                    between.append(own[at])
+                    at += step
+                at = at if step == 1 else at - len(core) + 1
+                places = list(range(at, at + len(core)))
+                if core and at >= 0 and {"or", "and"} & set(between) and own[at : at + len(core)] == core and free.issuperset(places):
+                    return k, len(text) - len(core), places
+    return None
+
+
+def matches(block: str, templates: tuple = TEMPLATES) -> list[tuple[str, str, float, int]]:
+    """(license, kind, share of the size saved, differing words) of every confirmed template, best first."""
+    own = words(block)
+    left = list(range(len(own)))
+    prepared = _prepared(templates)[0]
+    out, spans, covered = [], [], {}
+    while left:
+        rest = [own[i] for i in left]
+        best = _best(rest, templates, bool(out))
+        if best is None:
+            break
+        k, saved, differ, pairs = best
+        lic, kind, text, _ = prepared[k]
+        if differ:
+            runs = [[p for m in _one_place(pairs, len(text)) for p in range(m.a, m.a + m.size)]]
+        else:  # every repetition of an exact wording at once
+            runs, i = [], 0
+            while i <= len(rest) - len(text):
+                same = rest[i] == text[0] and rest[i : i + len(text)] == text
+                if same:
+                    runs.append(range(i, i + len(text)))
+                i += len(text) if same else 1
+        for run in runs:
+            first, last = left[run[0]], left[run[-1]]
+            # a notice and the text of its license around or beside it are one statement
+            if not any(other == lic and any(at[max(0, first - (how != kind)) : last + 1 + (how != kind)]) for (other, how), at in covered.items()):
+                out.append((lic, kind, saved, differ))
+            spans.append((lic, first, last))
+            covered.setdefault((lic, kind), bytearray(len(own)))[first : last + 1] = b"\1" * (last + 1 - first)
+        taken = {p for run in runs for p in run}
+        left = [i for p, i in enumerate(left) if p not in taken]
+    free = set(left)
+    while spans and (more := _joined(own, free, spans, templates)):
+        k, missing, places = more
+        out.append((prepared[k][0], prepared[k][1], 0.0, missing))
+        spans.append((prepared[k][0], places[0], places[-1]))
+        free -= set(places)
+    return out
+
+
+def match(block: str, templates: tuple = TEMPLATES) -> tuple[str, str, float, int] | None:
+    """The first of matches()."""
+    return next(iter(matches(block, templates)), None)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates: tuple = TEMPLATES) -> DataFrame:
     """One row per row of docs: id_col, n_blocks (candidate blocks), licenses (distinct, sorted, comma-joined), n_exact
-    (blocks with a template's exact wording), matches (array of license, kind, saved, differences, block).
+    (matches of a template's exact wording), matches (array of license, kind, saved, differences, block).
 
     A null or empty text has no block. Blocks without a confirmed template count in n_blocks only.
     """
@@ -121,7 +220,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", templates:
             many, names, exact, rows = [], [], [], []
             for t in batch.column(1):
                 own = blocks(t.as_py() or "")
-                found = [(m, b) for b in own if (m := match(b, templates))]
+                found = [(m, b) for b in own for m in matches(b, templates)]
                 many.append(len(own))
                 names.append(",".join(sorted({m[0] for m, _ in found})))
                 exact.append(sum(m[3] == 0 for m, _ in found))

@@ -168,3 +168,22 @@ def test_licenses(make_docs):
     assert rows[2].licenses == "MIT" and rows[2].n_exact == 0 and 1 <= rows[2].matches[0].differences <= 4
     assert (rows[3].n_blocks, rows[4].n_blocks, rows[5].licenses, rows[5].n_blocks) == (0, 0, "", 1)
     assert "CC-BY-NC-4.0" in rows[6].licenses or rows[6].n_blocks >= 1
+
+
+def test_several_licenses_in_a_block(make_docs):
+    mit, apache, gpl = (license_scan.TEMPLATES[k][2] for k in (2, 4, 6))
+    texts = [
+        "Licensed under CC BY-NC 4.0. " + "x " * 20000 + "Licensed under the Apache License, Version 2.0.",
+        "Released under the MIT License. One plain sentence. Licensed under CC BY-NC 4.0.",
+        "Licensed under the MIT License or the Apache License, Version 2.0.",
+        "Licensed under either of the Apache License, Version 2.0 or MIT license at your option.",
+        f"Notices\n{mit}\n{apache}\n{gpl}\nLicensed under CC BY 4.0.\nThis work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Released under the MIT License. " * 3,
+        apache.replace("obtain", "get"),
+        "Licensed under the MIT License. This is version 2.0 of it, licensed as before.",
+    ]
+    rows = {r.doc_id: r for r in license_scan.scan(make_docs(list(enumerate(texts)))).collect()}
+    want = ["Apache-2.0,CC-BY-NC-4.0", "CC-BY-NC-4.0,MIT", "Apache-2.0,MIT", "Apache-2.0,MIT", "Apache-2.0,CC-BY-4.0,CC-BY-SA-4.0,GPL-3.0,MIT", "MIT", "Apache-2.0", "MIT"]
+    assert [rows[k].licenses for k in range(len(texts))] == want
+    assert [(rows[k].n_blocks, len(rows[k].matches)) for k in range(len(texts))] == [(1, 2), (1, 2), (1, 2), (1, 2), (1, 5), (1, 3), (1, 1), (1, 1)]
+    assert rows[0].n_exact == rows[1].n_exact == 2 and rows[4].n_exact == 5 and rows[5].n_exact == 3
