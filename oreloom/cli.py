@@ -75,7 +75,7 @@ def extract(spark: SparkSession, a) -> dict:
     own = facts.with_ids(facts.deduplicate_facts(facts.extract_facts(posts, a.owner))).drop("ord")
     sinks.write_facts(own, a.out)
     written = sinks.read_facts(spark, a.out)
-    sinks.write_report(spark, f"{a.out}/facts.md", "Facts", {"Categories": reporting.fact_summary(written), "Values": reporting.top_values(written), "Reasons for review": reporting.review_signals(written)}, 200)
+    sinks.write_report(spark, f"{a.out}/facts.md", "Facts", {"Categories": reporting.fact_summary(written), "Values": reporting.top_values(written), "Reasons for review": reporting.review_signals(written)}, 2000)
     return {"facts": written.count(), "clean": written.where("not needs_review").count()}
 
 
@@ -111,7 +111,7 @@ def report(spark: SparkSession, a) -> dict:
     used = effective.used(dataset)
     sinks.write_csv(used, f"{a.out}/used_csv")
     sinks.write_csv(dataset.where("exclusion_reason is not null"), f"{a.out}/excluded_csv")
-    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": effective.counters(dataset)} | reporting.value_sections(used), a.top)
+    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": effective.counters(dataset)} | reporting.value_sections(used, a.top), 1000)
     return {"used": used.count()}
 
 

@@ -113,8 +113,9 @@ def hallway_keep() -> Column:
     return F.coalesce(F.lower("e_item_type") != "bundle_purchase", F.lit(True))
 
 
-def value_sections(used: DataFrame) -> dict[str, DataFrame]:
-    return {"Values": display_counts(used), "Suppliers": suppliers(used), "Not shown": suppressed(used)}
+def value_sections(used: DataFrame, n: int = 15) -> dict[str, DataFrame]:
+    """``n``: values shown of each category."""
+    return {"Values": display_counts(used, n).orderBy("e_category", "place"), "Suppliers": suppliers(used), "Not shown": suppressed(used)}
 
 
 def fact_summary(facts: DataFrame) -> DataFrame:

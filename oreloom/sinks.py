@@ -56,19 +56,31 @@ def token_postings(df: DataFrame, key: str, text: str) -> DataFrame:
     return own.select(F.col(key), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))).alias("token"))
 
 
-def markdown_table(df: DataFrame, limit: int) -> str:
-    """The first rows of a small report table as Markdown."""
-    rows = flat(df).limit(limit).collect()
+def markdown_table(df: DataFrame, limit: int, whole: str = "") -> str:
+    """The first rows of a report table as Markdown. A table that is longer says so, and where it is whole."""
+    rows = flat(df).limit(limit + 1).collect()
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join(cell(v) for v in r) + " |" for r in rows]) + "\n"
+    more = [f"\nOnly the first {limit} rows{f'; all are in `{whole}`' if whole else ''}."] if len(rows) > limit else []
+    return "\n".join(lines + ["| " + " | ".join(cell(v) for v in r) + " |" for r in rows[:limit]] + more) + "\n"
 
 
 def write_report(spark: SparkSession, path: str, title: str, sections: Mapping[str, DataFrame | str], limit: int = 50) -> None:
-    """A Markdown report: a heading and one table or text for each section, as one text file through Spark's file system."""
+    """A Markdown report: a heading and one table or text for each section, as one text file through Spark's file system.
+
+    The Markdown shows up to ``limit`` rows of a table; each table is written whole as parquet beside it, in a folder
+    named like the report (``report_tables`` for ``report.md``).
+    """
     parts = [f"# {title}\n"]
+    folder = path.removesuffix(".md") + "_tables"
     for name, body in sections.items():
-        parts += [f"## {name}\n", body if isinstance(body, str) else markdown_table(body, limit)]
+        parts.append(f"## {name}\n")
+        if isinstance(body, str):
+            parts.append(body)
+            continue
+        own = name.lower().replace(" ", "_")
+        write_tables({own: body}, folder)
+        parts.append(markdown_table(body, limit, f"{folder.rsplit('/', 1)[-1]}/{own}"))
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)

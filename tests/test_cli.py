@@ -50,6 +50,24 @@ def test_sinks(spark, tmp_path):
     assert {r.token for r in sinks.token_postings(spark.createDataFrame([(1, "Да и да"), (2, None)], "id long, t string"), "id", "t").collect()} == {"да", "и"}
 
 
+def test_reports_are_whole(spark, tmp_path):
+    df = spark.range(60).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    sinks.write_report(spark, str(tmp_path / "r.md"), "R", {"Some rows": df, "Few": df.limit(2)}, 50)
+    text = (tmp_path / "r.md").read_text()
+    assert text.count("| v") == 50 + 2 + 2 and text.count("Only the first 50 rows; all are in `r_tables/some_rows`") == 1
+    assert spark.read.parquet(str(tmp_path / "r_tables/some_rows")).count() == 60
+
+
+def test_report_top_is_by_category(spark, tmp_path):
+    values = ("Дуб", "Ясень", "Орех")
+    rows = [(i, c, v, 0.0) for c in ("kitchens", "sofas", "hallway") for i, v in enumerate(values)]
+    used = spark.createDataFrame(rows, "id long, e_category string, e_model string, x double")
+    used = used.select("*", *(F.lit(None).cast("string").alias(c) for c in ("e_finish", "e_material", "e_color", "e_color_code", "e_article_id", "e_brand", "e_item_type", "e_vendor", "evidence_quote")))
+    sections = reporting.value_sections(used, 2)
+    shown = sections["Values"].collect()
+    assert [(r.e_category, r.place) for r in shown] == [(c, p) for c in ("hallway", "kitchens", "sofas") for p in (1, 2)]
+
+
 def test_photos(spark, tmp_path):
     (tmp_path / "a.jpg").write_bytes(b"1")
     df = spark.createDataFrame([(7, [str(tmp_path / "a.jpg"), str(tmp_path / "gone.jpg")]), (8, None)], "project_id long, photo_paths array<string>")
