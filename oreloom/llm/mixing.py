@@ -1,8 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting. DataFrame operations only.
 
 Documents are summed to cells of (source, language, topic); only cells are raked. One round scales the cells to each
-marginal in turn; a cell's multiplier is its raked weight over its own tokens. A document is drawn with probability
-min(1, rate * multiplier) by a hash of its id, so a draw is repeatable and needs no state.
+marginal in turn; a cell's multiplier is its raked weight over its own tokens. A document is drawn by a hash of its id,
+so a draw is repeatable and needs no state.
+
+No document can be drawn more than once, so a cell gives at most its tokens. mix() rakes within these bounds: cells that
+are taken whole stay so and the others make up for them. A value with fewer tokens than its share of the drawn tokens is
+taken whole, and the values beside it share the rest by their targets; achieved() says which values these are. The query
+op7_mix_sources keeps to its SQL, which rakes without bounds and cuts at 1: min(1, rate * multiplier).
 
 Targets of a marginal are shares by value; values without a share get none. Without explicit shares they are the
 observed token shares to the power ``alpha``, which lifts small values and damps large ones. Shares are made to sum to
@@ -44,18 +49,20 @@ def _keyed(docs: DataFrame, source: str, lang: str, text: str, topic: Column | N
     return docs.withColumns({"_source": own(F.col(source)), "_lang": own(F.col(lang)), "_topic": own(kind), "_tokens": word_count(F.col(text))})
 
 
+def _wish(dim: str, shares: dict[str, float] | None, alpha: float) -> Column:
+    """The wish of a value of dim with ``t`` tokens, before wishes are made to sum to one."""
+    if shares is None:
+        return F.pow("t", F.lit(alpha))
+    return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in shares.items() for x in kv)), F.col(dim)), F.lit(0.0)) if shares else F.lit(0.0)
+
+
 def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None], rounds: int = ROUNDS, alpha: float = ALPHA) -> DataFrame:
     """cells (one column for each target, and tokens > 0) with ``weight``, raked to the targets; the weights sum to the tokens."""
     spark = cells.sparkSession
     total = F.lit(cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0)
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, shares in targets.items():  # every cell carries the goals of its values
-        seen = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t"))
-        if shares is None:
-            wish = F.pow("t", F.lit(alpha))
-        else:
-            wish = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in shares.items() for x in kv)), F.col(dim)), F.lit(0.0)) if shares else F.lit(0.0)
-        seen = seen.select(dim, wish.alias("wish"))
+        seen = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t")).select(dim, _wish(dim, shares, alpha).alias("wish"))
         every = F.lit(seen.agg(F.sum("wish")).first()[0] or 0.0)
         now = now.join(seen.select(dim, F.when(every > 0, total * F.col("wish") / every).otherwise(F.lit(0.0)).alias(f"goal{dim}")), dim)
     now = _io.written(now.coalesce(_few(spark)), "cells")
@@ -67,6 +74,46 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None], rounds:
     return now.drop(*(f"goal{dim}" for dim in targets))
 
 
+def _level(values: DataFrame, asked: float) -> float:
+    """The level at which values with ``wish`` and ``room`` that give min(room, level * wish) give ``asked`` in all."""
+    level = 0.0
+    while True:
+        full = F.col("room") <= F.lit(level) * F.col("wish")
+        taken, rest = values.agg(F.sum(F.when(full, F.col("room"))), F.sum(F.when(~full, F.col("wish")))).first()
+        higher = (asked - (taken or 0.0)) / rest if rest else level
+        if higher <= level * (1 + 1e-12):
+            return level
+        level = higher
+
+
+def rake_within(cells: DataFrame, targets: dict[str, dict[str, float] | None], rate: float = RATE, rounds: int = ROUNDS, alpha: float = ALPHA) -> DataFrame:
+    """cells (as for rake()) with ``weight`` of at most their tokens, raked to the targets; the weights sum to rate times
+    the tokens, or to all that cells of wished values have if that is less. Cells of a value that is not wished go."""
+    spark = cells.sparkSession
+    now = cells.withColumn("tokens", F.col("tokens").cast("double"))
+    for dim, shares in targets.items():
+        seen = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("t"))
+        now = now.join(seen.select(dim, _wish(dim, shares, alpha).alias(f"wish{dim}")), dim)
+    every = now.agg(F.sum("tokens")).first()[0] or 0.0
+    now = _io.written(now.where(" and ".join(f"`wish{dim}` > 0" for dim in targets)).coalesce(_few(spark)), "cells")
+    asked = min(rate * every, now.agg(F.sum("tokens")).first()[0] or 0.0)
+    open_cells = now
+    for dim in targets:  # every cell carries the goals of its values, which they have the tokens for
+        values = open_cells.groupBy(dim).agg(F.sum("tokens").alias("room"), F.max(f"wish{dim}").alias("wish"))
+        now = now.join(values.select(dim, F.least("room", F.lit(_level(values, asked)) * F.col("wish")).alias(f"goal{dim}")), dim)
+    # the wanted weight of a cell may be beyond its tokens: only multipliers of its values change it
+    now = _io.written(now.drop(*(f"wish{dim}" for dim in targets)).withColumn("want", F.col("tokens") * F.lit(float(rate))).coalesce(_few(spark)), "cells")
+    for _ in range(rounds):
+        for dim in targets:
+            whole = F.col("want") >= F.col("tokens")
+            have = now.groupBy(dim).agg(F.sum(F.when(whole, F.col("tokens")).otherwise(F.lit(0.0))).alias("whole"), F.sum(F.when(whole, F.lit(0.0)).otherwise(F.col("want"))).alias("free"))
+            goal, given = F.col(f"goal{dim}"), F.col("whole") + F.col("free")
+            by = F.when((F.col("free") > 0) & (given < goal), (goal - F.col("whole")) / F.col("free")).otherwise(goal / given)
+            now = now.join(have, dim).withColumn("want", F.least(F.col("want") * by, F.col("tokens") * F.lit(1e12))).drop("whole", "free")
+        now = _io.written(now.coalesce(_few(spark)), "cells")
+    return now.withColumn("weight", F.least("want", "tokens")).drop("want", *(f"goal{dim}" for dim in targets))
+
+
 def _few(spark: SparkSession) -> int:
     return max(1, _io.parallelism(spark) // 4)
 
@@ -77,21 +124,30 @@ def draw(id_col: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
-def with_probability(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None, targets=None, rounds: int = ROUNDS, rate: float = RATE, alpha: float = ALPHA, seed: str = SEED) -> DataFrame:
+NAMES = {"source": "_source", "lang": "_lang", "topic": "_topic"}
+
+
+def _wanted(targets) -> dict[str, dict[str, float] | None]:
+    return {NAMES[k]: v for k, v in (targets or TARGETS).items()}
+
+
+def with_probability(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None, targets=None, rounds: int = ROUNDS, rate: float = RATE, alpha: float = ALPHA, seed: str = SEED, clipped: bool = False) -> DataFrame:
     """docs with _source, _lang, _topic, _tokens, _probability and _kept.
 
-    Documents without tokens have probability 0. A null source, language or topic is the value "". Repeated rows are
+    ``clipped``: probabilities of a raking without bounds, cut at 1, which miss targets where cells are cut. Documents without tokens have probability 0. A null source, language or topic is the value "". Repeated rows are
     drawn alike. An empty table gives an empty table.
     """
     keyed = _keyed(docs, source, lang, text, topic)
-    names = {"source": "_source", "lang": "_lang", "topic": "_topic"}
-    wanted = {names[k]: v for k, v in (targets or TARGETS).items()}
+    names, wanted = NAMES, _wanted(targets)
     cells = keyed.where("_tokens > 0").groupBy(*names.values()).agg(F.sum("_tokens").alias("tokens"))
     cells = _io.written(cells, "cells")
-    raked = rake(cells, wanted, rounds, alpha).select(*names.values(), F.least(F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("tokens")).alias("_probability"))
+    if clipped:
+        raked = rake(cells, wanted, rounds, alpha).select(*names.values(), F.least(F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("tokens")).alias("_probability"))
+    else:
+        raked = rake_within(cells, wanted, rate, rounds, alpha).select(*names.values(), (F.col("weight") / F.col("tokens")).alias("_probability"))
     few = raked.count() <= BROADCAST_CELLS
     out = keyed.join(F.broadcast(raked) if few else raked, list(names.values()), "left")
-    out = out.withColumn("_probability", F.when(F.col("_tokens") > 0, F.col("_probability")).otherwise(F.lit(0.0)))
+    out = out.withColumn("_probability", F.when(F.col("_tokens") > 0, F.coalesce("_probability", F.lit(0.0))).otherwise(F.lit(0.0)))
     return out.withColumn("_kept", draw(F.col(id_col), seed) < F.col("_probability"))
 
 
@@ -100,8 +156,28 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     return with_probability(docs, **how).where("_kept").select(*docs.columns)
 
 
+def achieved(drawn: DataFrame, targets=None, rate: float = RATE, alpha: float = ALPHA) -> DataFrame:
+    """One row a value of source, lang and topic of a table of with_probability(): its tokens, and of all drawn tokens its
+    target, expected and drawn share; ``feasible`` is false if it has fewer tokens than its target asks."""
+    own = drawn.where("_tokens > 0")
+    p = F.col("_probability")
+    cells = _io.written(own.groupBy(*NAMES.values()).agg(F.sum("_tokens").cast("double").alias("tokens"), F.sum(F.when(p > 0, F.col("_tokens")).otherwise(F.lit(0))).cast("double").alias("room"), F.sum(F.col("_tokens") * p).alias("expected"), F.sum(F.when(F.col("_kept"), F.col("_tokens")).otherwise(F.lit(0))).cast("double").alias("drawn")), "cells")
+    sums = cells.agg(*(F.sum(c) for c in ("tokens", "room", "expected", "drawn"))).first()
+    tokens, room, expected, kept = (x or 0.0 for x in sums)
+    share = lambda c, n: (F.col(c) / F.lit(n) if n else F.lit(0.0)).alias(c)
+    out = None
+    for name, dim in NAMES.items():
+        shares = (targets or TARGETS).get(name)
+        values = cells.groupBy(dim).agg(*(F.sum(c).alias(c) for c in ("tokens", "room", "expected", "drawn"))).withColumn("t", F.col("tokens")).withColumn("wish", _wish(dim, shares, alpha))
+        every = values.agg(F.sum("wish")).first()[0] or 0.0
+        target = F.col("wish") / F.lit(every) if every else F.lit(0.0)
+        one = values.select(F.lit(name).alias("dimension"), F.col(dim).alias("value"), F.col("tokens").cast("long").alias("tokens"), target.alias("target"), share("expected", expected), share("drawn", kept), (target * F.lit(min(rate * tokens, room)) <= F.col("room") * F.lit(1 + 1e-9)).alias("feasible"))
+        out = one if out is None else out.union(one)
+    return out
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = with_probability(_io.table(spark, sf_dir, "documents"))
+    out = with_probability(_io.table(spark, sf_dir, "documents"), clipped=True)  # as its SQL says
     return out.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"))
 
 

@@ -140,6 +140,20 @@ def test_mixing(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
 
 
+def test_mixing_within_tokens(make_docs):
+    """Raked multipliers beyond 1 / rate: the targets that can be met are met, the others are taken whole and named."""
+    rows = [(i, "word " * 100, "es" if i % 25 == 0 else "en", "rare" if i % 10 == 0 else "s", "x") for i in range(500)] + [(1000 + i, "word " * 20, "en", "s") for i in range(3)]
+    targets = {"source": {"s": 0.7, "rare": 0.3}, "lang": {"en": 0.93, "es": 0.07}, "topic": {"prose": 0.9, "note": 0.1}}
+    out = mixing.with_probability(make_docs(rows), targets=targets, rate=0.3, rounds=30)
+    got = out.collect()
+    want, every = sum(r._probability * r._tokens for r in got), sum(r._tokens for r in got)
+    assert abs(want / every - 0.3) < 1e-6 and max(r._probability for r in got) <= 1
+    assert all(abs(r._probability - 1) < 1e-6 for r in got if r._topic == "note")
+    told = {(r.dimension, r.value): r for r in mixing.achieved(out, targets, rate=0.3).collect()}
+    assert {k for k, r in told.items() if not r.feasible} == {("topic", "note")}
+    assert all(abs(r.expected - r.target) < 1e-4 for (d, _), r in told.items() if d != "topic")
+
+
 def test_token_counts(spark, make_docs):
     own = token_counts.counter(token_counts.default_tokenizer())
     full = lambda t: len(own.tokenizer.encode(t, add_special_tokens=False))
