@@ -6,10 +6,11 @@ import zlib
 from collections import defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from oreloom.llm import decontaminate, language_id, license_scan, mixing, near_duplicates, token_counts
+from oreloom.llm import decontaminate, language_id, license_scan, mixing, near_duplicates, token_counts, token_files
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -174,6 +175,45 @@ def test_token_counts(spark, make_docs):
     assert {x.doc_id: x.tokens_after for x in scripted.collect()}[3] == full("lastt " + long)
 
 
+@pytest.mark.parametrize(("chunk", "full"), [(64, 128), (2, 4)])
+def test_token_trees(monkeypatch, chunk, full):
+    """Pre-tokens found at once are those of the pattern; edited trees are those of the edited texts, sums of ranges too."""
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    monkeypatch.setattr(token_counts, "FULL", full)
+    own = token_counts.counter(token_counts.default_tokenizer())
+    r = random.Random(11)
+    parts = [" ", "  ", "\n", "a", "'", "s", "'re", "'l", "l", "'v", "e", "1", "!", "é", "The", "\u00a0", "\t", "٣", "漢", "🙂", "\u0301", "\x1c", "\x85"]
+    make = lambda most: "".join(r.choice(parts) for _ in range(r.randrange(most)))
+    for _ in range(250):
+        texts = [make(60) for _ in range(4)]
+        raw = [t.encode() for t in texts]
+        lengths, counts, of = own.leaves(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        for t, a, b in zip(texts, of[:-1], of[1:], strict=True):
+            assert lengths[a:b].tolist() == [len(x) for x in own.scan.findall(t)]
+            assert counts[a:b].sum() == len(own.tokenizer.encode(t, add_special_tokens=False))
+    for _ in range(100):
+        tree = token_counts.TokenTree(make(200), own)
+        for _ in range(6):
+            a = r.randrange(-2, tree.length + 3)
+            tree.edit(a, a + r.choice([0, 0, 1, 5, 60, 1000]), make(r.choice([1, 2, 9, 120])))
+            text = tree.text
+            leaves = [x for c in tree.chunks for x in c]
+            assert tree.length == len(text) and tree.leaves == len(leaves) and [x for x, _ in leaves] == [len(x) for x in own.scan.findall(text)]
+            x, y = sorted((r.randrange(len(text) + 2), r.randrange(len(text) + 2)))
+            begins = [sum(n for n, _ in leaves[:k]) for k in range(len(leaves))]
+            assert tree.count_between(x, y) == sum(c for b, (_, c) in zip(begins, leaves, strict=True) if x <= b < y)
+
+
+def test_token_counts_edges(make_docs):
+    file = token_counts.default_tokenizer()
+    docs = make_docs([(1, "a b"), (1, "a b"), (None, "c")]).withColumn("edits", F.expr("array(cast(null as struct<start:int,end:int,text:string>), named_struct('start', null, 'end', null, 'text', 'x '))")).withColumn("n_tokens", F.lit("mine"))
+    rows = sorted((str(r.doc_id), r.n_tokens, r.n_edits, r.tokens_after, r.chars_after) for r in token_counts.recount(docs, file).collect())
+    assert rows == [("1", 2, 2, 3, 5), ("1", 2, 2, 3, 5), ("None", 1, 2, 2, 3)]
+    assert token_counts.recount(docs.limit(0), file).count() == 0
+    with pytest.raises(ValueError, match="byte-level"):
+        token_counts.Counter(token_files.default_tokenizer())
+
+
 def test_licenses(make_docs):
     mit = license_scan.TEMPLATES[2][2]
     docs = make_docs([(1, "prose\nReleased under the MIT License. more"), (2, "Intro line\n" + mit.replace("substantial", "important").replace(". ", ".\n")), (3, None), (4, ""), (5, "a worthless license of nothing"), (6, "Licensed under CC BY-NC 4.0. " + "x " * 20000 + "Licensed under the Apache License, Version 2.0.")])
