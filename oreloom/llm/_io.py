@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 import tempfile
 import uuid
@@ -45,14 +46,15 @@ def arrow(run, schema):
 
     def apply(df: DataFrame) -> DataFrame:
         bound_batches(df.sparkSession)
-        return df.mapInArrow(lambda batches: _released(run(batches)), schema)
+        return df.mapInArrow(lambda batches: _released(run, batches), schema)
 
     return apply
 
 
-def _released(out):
+def _released(run, batches):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     try:
-        yield from out
+        yield from run(batches)
     finally:
         import ctypes
         import gc

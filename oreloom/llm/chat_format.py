@@ -8,8 +8,9 @@ running sums give the place of every segment, hence the loss mask: the texts of
 Control strings inside texts are escaped for the readable form as well: a backslash doubles, ``</turn>`` and every
 ``###`` get a backslash before them. Dropping one backslash before any character undoes it.
 
-Turns are sorted by (conversation, turn) within their partition and handled as a stream, so a conversation of any
-length costs one turn of memory.
+Turns are formatted, and read back, where they lie; only the digests of a conversation need its turns in order. They are
+sorted by (conversation, turn) within a partition and hashed as a stream, so a conversation of any length costs one turn
+of memory, and a very long one costs its task a hash over its text and no encoding.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from . import _io
 OPEN, SEP, CLOSE = "### ", ": ", " </turn>\n"
 #: Reserved ids, counted from the size of the vocabulary.
 OPEN_ID, SEP_ID, CLOSE_ID = 0, 1, 2
-#: Turns whose encodings are held at a time.
-SLICE = 256
+#: Turns whose encodings are held at a time, and distinct role labels whose encodings are kept.
+SLICE, LABELS = 256, 10_000
 ROLES = {"system": "System", "user": "User", "assistant": "Assistant"}
 _NAMES = {v: k for k, v in ROLES.items()}
 _ESCAPE = re.compile(r"\\|</turn>|#(?=##)")
@@ -98,73 +99,106 @@ def _turns(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBa
     """Columns conv_id, turn, role, text -> conv_id, turn, ids, mask (1: under the loss), text (the readable turn)."""
     tok = tokenizer(file)
     base = tok.get_vocab_size(with_added_tokens=True)
+    label_ids: dict[str, list[int]] = {}
     for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         roles = [r or "" for r in batch.column(2).to_pylist()]
         texts = [escape(t or "") for t in batch.column(3).to_pylist()]
         labels = [role_label(r) for r in roles]
-        coded = tok.encode_batch_fast([*labels, *texts], add_special_tokens=False)
-        n = len(texts)
-        ids, masks, plain = [], [], []
-        for i in range(n):
-            segments = [[base + OPEN_ID], coded[i].ids, [base + SEP_ID], coded[n + i].ids, [base + CLOSE_ID]]
-            ends = np.cumsum([len(s) for s in segments])
-            mask = np.zeros(ends[-1], np.int8)
-            if roles[i] == "assistant":
-                mask[ends[2] : ends[3]] = 1
-            ids.append(np.concatenate([np.asarray(s, np.int32) for s in segments]))
-            masks.append(mask)
-            plain.append(f"{OPEN}{labels[i]}{SEP}{texts[i]}{CLOSE}")
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8())), pa.array(plain, pa.string())], names=["conv_id", "turn", "ids", "mask", "text"])
-
-
-def format_turns(conversations: DataFrame, file: str, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row per turn: conv_id, turn, ids, mask, text; a conversation's turns lie in one partition, in order.
+        if len(label_ids) > LABELS:
+            label_ids.clear()
+        if new := [x for x in dict.fromkeys(labels) if x not in label_ids]:
+            label_ids.update(zip(new, (e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        coded = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        # segments of a turn: opening, role, separator, text, closing; their running lengths are the places of all of them
+        segments = [s for x, own in zip(labels, coded, strict=True) for s in ([base + OPEN_ID], label_ids[x], [base + SEP_ID], own, [base + CLOSE_ID])]
+        ends = np.cumsum([0, *map(len, segments)])
+        ids = np.fromiter((i for s in segments for i in s), np.int32, int(ends[-1]))
+        edge = np.zeros(int(ends[-1]) + 1, np.int8)
+        under = np.flatnonzero([r == "assistant" for r in roles])
+        np.add.at(edge, ends[5 * under + 3], 1)
+        np.add.at(edge, ends[5 * under + 4], -1)
+        mask = np.cumsum(edge[:-1], dtype=np.int8)
+        offsets = pa.array(ends[::5], pa.int32())
+        plain = [f"{OPEN}{x}{SEP}{t}{CLOSE}" for x, t in zip(labels, texts, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(mask)), pa.array(plain, pa.string())], names=["conv_id", "turn", "ids", "mask", "text"])
+
+
+def format_turns(conversations: DataFrame, file: str, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", ordered: bool = True) -> DataFrame:
+    """One row per turn: conv_id, turn, ids, mask, text; if ``ordered``, a conversation's turns lie in one partition, in order.
 
     The ids of a conversation are those of its turns in order. Order: turn (null first), then role and text, so ties
-    and repeated rows have one place. A null role or text is empty; turns of a null conv_id are one conversation.
+    and repeated rows have one place. A null role or text is empty; turns of a null conv_id are one conversation. An empty
+    table gives an empty one; other columns of conversations are not returned, whatever their names.
     """
     rows = conversations.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).alias("text"))
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
-    laid = rows.repartition(_io.parallelism(conversations.sparkSession), "conv_id").sortWithinPartitions(*order)
-    return laid.transform(_io.arrow(lambda b: _turns(b, file), "conv_id long, turn long, ids array<int>, mask array<byte>, text string"))
+    if ordered:
+        rows = _in_order(rows)
+    return rows.transform(_io.arrow(lambda b: _turns(b, file), "conv_id long, turn long, ids array<int>, mask array<byte>, text string"))
 
 
-def read_turn(ids: np.ndarray, mask: np.ndarray, tok) -> tuple[str, str, str]:
-    """(role, text, text under the loss mask) of a turn's ids."""
-    base = tok.get_vocab_size(with_added_tokens=True)
-    marks = np.flatnonzero(ids >= base)
-    if len(marks) != 3 or (ids[marks] - base).tolist() != [OPEN_ID, SEP_ID, CLOSE_ID]:
-        raise ValueError("a turn must hold one opening, one separating and one closing id")
-    segments = [ids[: marks[1]][1:], ids[marks[1] + 1 : marks[2]], ids[mask == 1]]
-    label, text, loss = tok.decode_batch([s.tolist() for s in segments], skip_special_tokens=False)
-    return label_role(label), unescape(text), unescape(loss)
+def _in_order(rows: DataFrame) -> DataFrame:
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    return rows.repartition(_io.parallelism(rows.sparkSession), "conv_id").sortWithinPartitions(*order)
 
 
-def _digest(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
+    """What format_turns() put out -> conv_id, turn, role, text, loss (null: the whole text), formatted, n_ids, loss_ids."""
     tok = tokenizer(file)
-
-    def turns():
-        for batch in batches:
-            for conv, ids, mask, text in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
-                yield conv, np.asarray(ids.values), np.asarray(mask.values), text
-
+    base = tok.get_vocab_size(with_added_tokens=True)
+    label_of: dict[bytes, str] = {}
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+        plain = batch.column(4).to_pylist()
+        ids, mask = (batch.column(c).flatten().to_numpy() for c in (2, 3))
+        at = np.concatenate(([0], np.cumsum(batch.column(2).value_lengths().to_numpy())))
+        marks = np.flatnonzero(ids >= base)
+        if len(ids) != len(mask) or len(marks) != 3 * batch.num_rows or ((ids[marks] - base).reshape(-1, 3) != (OPEN_ID, SEP_ID, CLOSE_ID)).any():
+            raise ValueError("a turn must hold one opening, one separating and one closing id")
+        marks = marks.reshape(-1, 3)
+        if (marks[:, 0] != at[:-1]).any() or (marks[:, 2] != at[1:] - 1).any():
+            raise ValueError("a turn must begin with its opening id and end with its closing one")
+        if len(label_of) > LABELS:
+            label_of.clear()
+        keys = [ids[a + 1 : b].tobytes() for a, b, _ in marks.tolist()]
+        new = [k for k in dict.fromkeys(keys) if k not in label_of]
+        label_of.update(zip(new, tok.decode_batch([np.frombuffer(k, np.int32).tolist() for k in new], skip_special_tokens=False), strict=True))
+        said = tok.decode_batch([ids[b + 1 : c].tolist() for _, b, c in marks.tolist()], skip_special_tokens=False)
+        many = np.add.reduceat(mask, at[:-1], dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+        inside = np.array([mask[b + 1 : c].sum(dtype=np.int64) for _, b, c in marks.tolist()], np.int64)
+        whole = (many == inside) & (inside == marks[:, 2] - marks[:, 1] - 1)
+        roles, texts, loss = [], [], []
+        for i, key in enumerate(keys):
+            roles.append(label_role(label_of[key]))
+            texts.append(unescape(said[i]))
+            loss.append(None if whole[i] else unescape(tok.decode(ids[at[i] : at[i + 1]][mask[at[i] : at[i + 1]] == 1].tolist(), skip_special_tokens=False)) if many[i] else "")
+            if parse(plain[i]) != [(roles[i], texts[i])]:
+                raise ValueError("the two forms of a turn differ")
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(roles, pa.string()), pa.array(texts, pa.string()), pa.array(loss, pa.string()), pa.array(list(map(len, plain)), pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(many)], names=["conv_id", "turn", "role", "text", "loss", "formatted", "n_ids", "loss_ids"])
+
+
+def read_turns(turns: DataFrame, file: str) -> DataFrame:
+    """Turns read back from format_turns(), whose ids, masks and readable turns must agree: conv_id, turn, role, text, loss
+    (the text under the loss mask; null: the whole text), formatted (characters), n_ids, loss_ids."""
+    schema = "conv_id long, turn long, role string, text string, loss string, formatted long, n_ids long, loss_ids long"
+    return turns.transform(_io.arrow(lambda b: _read(b, file), schema))
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_ids", "loss_ids"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
     rows: list[tuple] = []
 
     def put():
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    for conv, own in groupby(turns(), key=lambda x: x[0]):
+    turns = (t for b in batches for t in zip(*(b.column(c).to_pylist() for c in (0, 2, 3, 4, 5, 6, 7)), strict=True))
+    for conv, own in groupby(turns, key=lambda x: x[0]):
         every, under = hashlib.sha256(), hashlib.sha256()
         n = chars = formatted = many = masked = 0
-        for _, ids, mask, text in own:
-            role, said, loss = read_turn(ids, mask, tok)
-            if parse(text) != [(role, said)]:
-                raise ValueError(f"the two forms of a turn of conversation {conv} differ")
+        for _, role, said, loss, size, ids, under_ids in own:
             every.update(f"{role}\n{said}\n".encode())
-            under.update(loss.encode())
-            n, chars, formatted, many, masked = n + 1, chars + len(loss), formatted + len(text), many + len(ids), masked + int(mask.sum())
+            text = said if loss is None else loss
+            under.update(text.encode())
+            n, chars, formatted, many, masked = n + 1, chars + len(text), formatted + size, many + ids, masked + under_ids
         rows.append((conv, n, every.hexdigest(), chars, under.hexdigest(), formatted, many, masked))
         if len(rows) >= 1000:
             yield put()
@@ -174,9 +208,10 @@ def _digest(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordB
 
 
 def read_conversations(turns: DataFrame, file: str) -> DataFrame:
-    """Digests of each conversation, read back from format_turns(): its ids, masks and readable turns must agree."""
+    """Digests of each conversation, read back from format_turns(): conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
+    formatted_chars, n_ids, loss_ids. The order of turns is that of format_turns(), a null role or text being empty."""
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_ids long, loss_ids long"
-    return turns.transform(_io.arrow(lambda b: _digest(b, file), schema))
+    return _in_order(read_turns(turns, file)).transform(_io.arrow(_digest, schema))
 
 
 def default_tokenizer() -> str:
@@ -192,7 +227,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = StructType([StructField("conv_id", LongType()), StructField("turn", LongType()), StructField("role", StringType()), StructField("text", StringType())])
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], kind)
     rows = _io.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
-    return read_conversations(format_turns(rows, default_tokenizer()), default_tokenizer())
+    out = read_conversations(format_turns(rows, default_tokenizer(), ordered=False), default_tokenizer())
+    return out.drop("n_ids", "loss_ids")  # what its SQL has
 
 
 _PROBE_SQL = PROBE.replace("'", "''")

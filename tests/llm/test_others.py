@@ -23,7 +23,9 @@ def test_against_sql(spark, name):
     want = c.execute(registry.oracle_sql()[name])
     columns = [d[0] for d in want.description]
     rows = sorted(map(str, want.fetchall()))
-    assert rows == sorted(str(tuple(r)) for r in registry.queries()[name](spark, SF).select(*columns).collect())
+    got = registry.queries()[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert rows == sorted(str(tuple(r)) for r in got.select(*columns).collect())
 
 
 def test_components(spark):
