@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import _io
+from ._pieces import encoder
+from ._text import bytes_of
 
 OPEN, SEP, CLOSE = "### ", ": ", " </turn>\n"
 #: Reserved ids, counted from the size of the vocabulary.
@@ -37,7 +39,6 @@ ROLES = {"system": "System", "user": "User", "assistant": "Assistant"}
 _NAMES = {v: k for k, v in ROLES.items()}
 _ESCAPE = re.compile(r"\\|</turn>|#(?=##)")
 _UNESCAPE = re.compile(r"\\(.)", re.DOTALL)
-_TOKENIZERS: dict[str, object] = {}
 
 
 def escape(text: str) -> str:
@@ -85,35 +86,27 @@ def _plain(text: str, mark: str, at: int) -> int:
         at = found + 1
 
 
-def tokenizer(file: str):
-    if file not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(file)
-        own.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZERS[file] = own
-    return _TOKENIZERS[file]
-
-
 def _turns(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
     """Columns conv_id, turn, role, text -> conv_id, turn, ids, mask (1: under the loss), text (the readable turn)."""
-    tok = tokenizer(file)
-    base = tok.get_vocab_size(with_added_tokens=True)
-    label_ids: dict[str, list[int]] = {}
+    own = encoder(file, special=False)  # strings of special tokens in a text are ordinary text
+    base = own.size
     for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         roles = [r or "" for r in batch.column(2).to_pylist()]
         texts = [escape(t or "") for t in batch.column(3).to_pylist()]
         labels = [role_label(r) for r in roles]
-        if len(label_ids) > LABELS:
-            label_ids.clear()
-        if new := [x for x in dict.fromkeys(labels) if x not in label_ids]:
-            label_ids.update(zip(new, (e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        coded = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        n = len(texts)
+        flat, counts = own.encode(*bytes_of(pa.array([s for pair in zip(labels, texts, strict=True) for s in pair], pa.large_string())))
         # segments of a turn: opening, role, separator, text, closing; their running lengths are the places of all of them
-        segments = [s for x, own in zip(labels, coded, strict=True) for s in ([base + OPEN_ID], label_ids[x], [base + SEP_ID], own, [base + CLOSE_ID])]
-        ends = np.cumsum([0, *map(len, segments)])
-        ids = np.fromiter((i for s in segments for i in s), np.int32, int(ends[-1]))
-        edge = np.zeros(int(ends[-1]) + 1, np.int8)
+        size = np.ones((n, 5), np.int64)
+        size[:, 1::2] = counts.reshape(n, 2)
+        ends = np.concatenate(([0], np.cumsum(size)))
+        ids = np.empty(int(ends[-1]), np.int32)
+        inner = np.ones(len(ids), bool)
+        for segment, mark in ((0, OPEN_ID), (2, SEP_ID), (4, CLOSE_ID)):
+            at = ends[segment:-1:5]
+            ids[at], inner[at] = base + mark, False
+        ids[inner] = flat
+        edge = np.zeros(len(ids) + 1, np.int8)
         under = np.flatnonzero([r == "assistant" for r in roles])
         np.add.at(edge, ends[5 * under + 3], 1)
         np.add.at(edge, ends[5 * under + 4], -1)
@@ -143,7 +136,7 @@ def _in_order(rows: DataFrame) -> DataFrame:
 
 def _read(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
     """What format_turns() put out -> conv_id, turn, role, text, loss (null: the whole text), formatted, n_ids, loss_ids."""
-    tok = tokenizer(file)
+    tok = encoder(file, special=False).tokenizer
     base = tok.get_vocab_size(with_added_tokens=True)
     label_of: dict[bytes, str] = {}
     for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -26,11 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _io
+from ._pieces import BYTE_LETTERS, PATTERN, ByteEncoder, code_points, kind_of, pretoken_starts
 from ._text import parts
-from .token_files import _BYTE_LETTERS
 
-#: The published pre-token pattern of byte-level BPE (fixed value).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens of a slot at first and at most.
 CHUNK, FULL = 64, 128
 #: Characters of a scan window beyond a match on which the match does not depend.
@@ -38,59 +35,6 @@ _AHEAD = 3
 _CACHE = 400_000
 _COUNTERS: dict[str, Counter] = {}
 EDITS = "array<struct<start:int,end:int,text:string>>"
-LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
-
-
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """The class of every code point, by the classes of the pattern."""
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
-    at = np.frombuffer(every.encode("utf-32-le"), np.uint32)
-    out = np.full(0x110000, OTHER, np.uint8)
-    for kind, own in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for m in regex.finditer(own, every):
-            out[at[m.start() : m.end()]] = kind
-    return out
-
-
-def pretoken_starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where the pre-tokens of some texts begin, from their code points and the place where each text begins.
-
-    What PATTERN does, at once: a run of one class is a pre-token; of a run of white space before something else the last
-    character stands apart, and a last space goes with what follows; a contraction ends where it ends.
-    """
-    n = len(code)
-    if not n:
-        return np.zeros(0, np.int64)
-    kind = _classes()[code]
-    fresh = np.zeros(n, bool)
-    fresh[first[first < n]] = True
-    begin = fresh.copy()
-    begin[1:] |= kind[1:] != kind[:-1]
-    space, blank = kind == SPACE, code == 0x20
-    turn = np.flatnonzero(space[:-1] & ~space[1:] & ~fresh[1:])  # the last white space of a run before something else
-    begin[turn] = True
-    begin[turn[blank[turn]] + 1] = False
-    mark = np.flatnonzero(code == 0x27)
-    mark = mark[begin[mark]]  # a quote that goes with what precedes begins nothing
-    if len(mark):
-        def at(k: int) -> np.ndarray:
-            p = mark + k
-            own = p < n
-            out = np.zeros(len(mark), np.uint32)
-            out[own] = code[p[own]]
-            return out
-
-        a, b = at(1), at(2)
-        cut = lambda k: (mark + k >= n) | fresh[np.minimum(mark + k, n - 1)]
-        one, two = ~cut(1), ~cut(1) & ~cut(2)
-        letter = lambda x, which: np.isin(x, np.array([ord(c) for c in which], np.uint32))
-        length = np.where(one & letter(a, "stmd"), 2, np.where(two & (((a == 0x72) | (a == 0x76)) & (b == 0x65) | (a == 0x6C) & (b == 0x6C)), 3, 0))
-        p, length = mark[length > 0], length[length > 0]
-        begin[p + 1] = False
-        stop = p + length
-        begin[stop[stop < n]] = True
-    return np.flatnonzero(begin)
 
 
 class Counter:
@@ -104,9 +48,7 @@ class Counter:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        told = json.loads(self.tokenizer.to_str())
-        cut = told.get("pre_tokenizer") or {}
-        if told.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or told["model"].get("type") != "BPE":
+        if kind_of(json.loads(self.tokenizer.to_str())) is not ByteEncoder:
             raise ValueError(f"{file} does not cut texts by the byte-level pattern")
         self.scan = regex.compile(PATTERN)
         self.known: dict[str, int] = {}
@@ -120,19 +62,14 @@ class Counter:
                 new = list(dict.fromkeys(pieces))
             tokenize = self.tokenizer.model.tokenize  # a pre-token in the byte alphabet is what the model sees
             for p in new:
-                known[p] = len(tokenize(p.encode().decode("latin-1").translate(_BYTE_LETTERS)))
+                known[p] = len(tokenize(p.encode().decode("latin-1").translate(BYTE_LETTERS)))
         return list(map(known.__getitem__, pieces))
 
     def leaves(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(characters, tokens) of every pre-token of whole UTF-8 texts, and the range of pre-tokens of each text."""
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-        if data.max() < 0x80:
-            code, chars_at, place = data, at, None
-        else:
-            code = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-            place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # the byte of each character
-            chars_at = np.searchsorted(place, at)
+        code, chars_at, place = code_points(data, at)
         starts = pretoken_starts(code, chars_at[:-1])
         edges = np.append(starts, len(code))
         cut = edges if place is None else place[edges]

@@ -30,146 +30,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import _io
-from ._text import LOWER, parts
+from ._pieces import encoder
+from ._text import parts
 
 INDEX_MAGIC, SEEK_MAGIC, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Plain bytes after which a frame ends (a longer document is a frame of its own).
 FRAME_BYTES = 1 << 18
 END_ID = 1
 NO_ID = -(1 << 63)  # stands for a null id in a shard
-#: Bytes of text encoded at a time, and distinct runs whose ids a worker keeps.
-PART_BYTES, _CACHE_WORDS = 2 << 20, 300_000
-_TOKENIZERS: dict[str, tuple] = {}
-
-#: Of bytes: 0 part of a non-ASCII character or a control, 1 white space, 2 letter or digit, 3 apostrophe, 4 other punctuation.
-KIND = np.zeros(256, dtype=np.uint8)
-KIND[0x21:0x7F] = 4
-KIND[[0x20, *range(0x09, 0x0E)]] = 1
-KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 2
-KIND[0x27] = 3
-
-
-def _byte_letters() -> dict[int, str]:
-    """The published byte alphabet of byte-level BPE: printable bytes stand for themselves, the others for U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in plain]
-    return {b: chr(0x100 + k) for k, b in enumerate(other)}
-
-
-_BYTE_LETTERS = _byte_letters()
-
-
-class WordEncoder:
-    """Encodes texts piece by piece, each distinct piece once.
-
-    Right for tokenizers that lower-case, drop white space and keep letters and other characters in separate
-    pre-tokens (contractions begin with an apostrophe). Pieces are cut behind ASCII white space, between an ASCII
-    letter or digit and ASCII punctuation, and between punctuation other than the apostrophe and a letter or digit:
-    all of these are pre-token boundaries. Texts that hold the string of a special token are cut behind white space
-    only. Pieces are encoded by the tokenizers library, many in one call with a special token between them that none
-    of them holds; the ids of up to _CACHE_WORDS distinct pieces are kept.
-    """
-
-    def __init__(self, file: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
-        self.mark, self.mark_id = special[0] if special else ("", -1)
-        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.first = np.zeros(1 << 14, dtype=np.int64)  # the ids of run k: flat[first[k] : first[k + 1]]
-
-    def _learn(self, runs: list[bytes]) -> None:
-        """Pieces of lower-case Latin letters, all below U+0250 and so stable under NFC, are one pre-token, which the
-        model encodes directly in the byte alphabet; the others take the whole way."""
-        words, other, mixed, mark = [], [], [], self.mark.encode()
-        flat: list[int] = []
-        sizes: list[int] = []
-        tokenize = self.tokenizer.model.tokenize
-        for r in runs:
-            w = r.rstrip()
-            if w.isalpha() and w.islower():
-                text = w.decode()
-            elif not w.isascii() and (text := w.decode()).isalpha() and text.islower() and max(text) < "\u0250" and text == text.lower():
-                text = w.decode("latin-1").translate(_BYTE_LETTERS)
-            else:
-                text = ""
-            if text:
-                ids = [t.id for t in tokenize(text)]
-                words.append(r)
-                flat += ids
-                sizes.append(len(ids))
-            elif mark and mark not in r:
-                other.append(r)
-            else:
-                mixed.append(r)
-        groups = [b"".join(x for r in other[i : i + 512] for x in (r, mark)).decode() for i in range(0, len(other), 512)]
-        for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
-            ids = np.array(e.ids, dtype=np.uint32)
-            at = np.flatnonzero(ids == self.mark_id)
-            sizes += (np.diff(at, prepend=-1) - 1).tolist()
-            flat += np.delete(ids, at).tolist()
-        for e in self.tokenizer.encode_batch_fast([r.decode() for r in mixed], add_special_tokens=False):
-            flat += e.ids
-            sizes.append(len(e.ids))
-        n, begin = len(self.known), int(self.first[len(self.known)])
-        ends = begin + np.cumsum(sizes)
-        for name, need in (("flat", int(ends[-1])), ("first", n + len(runs) + 1)):
-            own = getattr(self, name)
-            if need > len(own):
-                setattr(self, name, np.concatenate([own, np.zeros(max(need - len(own), len(own)), own.dtype)]))
-        self.flat[begin : int(ends[-1])] = flat
-        self.first[n + 1 : n + 1 + len(runs)] = ends
-        self.known.update(zip([*words, *other, *mixed], range(n, n + len(runs)), strict=True))
-
-    def encode(self, data: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by end_id; number of ids of each text)"""
-        low = LOWER[data]
-        kind = KIND[low]
-        begin = np.ones(len(data), dtype=bool)
-        begin[1:] = (kind[:-1] == 1) & (kind[1:] != 1)
-        raw = low.tobytes()
-        if not any(x in raw for x in self.special):
-            data = np.where(kind == 1, np.uint8(0x20), low)
-            begin[1:] |= (kind[:-1] == 2) & (kind[1:] >= 3)
-            begin[1:] |= (kind[:-1] == 4) & (kind[1:] == 2)
-        begin[at[:-1][at[:-1] < len(data)]] = True
-        starts = np.flatnonzero(begin)
-        offsets = np.append(starts, len(data)).astype(np.int64)
-        runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        distinct = runs.dictionary.to_pylist()
-        if len(self.known) > _CACHE_WORDS:
-            self.clear()
-        known = self.known
-        new = [r for r in distinct if r not in known]
-        if new:
-            self._learn(new)
-        code = np.fromiter(map(known.__getitem__, distinct), dtype=np.int64, count=len(distinct))[runs.indices.to_numpy()]
-        each = self.first[code + 1] - self.first[code]
-        # the ids of all texts, with a place for the end id behind the last run of each
-        last = np.searchsorted(starts, at[1:])
-        before = np.concatenate(([0], np.cumsum(each)))
-        stops = before[last] + np.arange(1, len(last) + 1)
-        total = int(before[-1]) + len(last)
-        ids = np.full(total, end_id, dtype=np.uint32)
-        inner = np.ones(total, dtype=bool)
-        inner[stops - 1] = False
-        step = np.repeat((self.first[code] - before[:-1]), each)
-        step += np.arange(len(step))
-        ids[inner] = self.flat[step]
-        return ids, np.diff(stops, prepend=0)
-
-
-def encoder(file: str) -> WordEncoder:
-    if file not in _TOKENIZERS:
-        _TOKENIZERS[file] = WordEncoder(file)
-    return _TOKENIZERS[file]
+#: Bytes of text encoded at a time.
+PART_BYTES = 2 << 20
 
 
 class ShardWriter:
@@ -250,6 +120,16 @@ class ShardReader:
                 yield r, ids[at : at + int(self.counts[r])]
 
 
+def _ended(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some texts with end_id behind each text."""
+    stops = np.cumsum(counts + 1)
+    out = np.full(len(ids) + len(counts), end_id, dtype=np.uint32)
+    inner = np.ones(len(out), dtype=bool)
+    inner[stops - 1] = False
+    out[inner] = ids
+    return out, counts + 1
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -266,7 +146,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
         for batch in batches:
             keys = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             for lo, data, at in parts(batch.column(1), PART_BYTES):
-                ids, counts = code.encode(data, at, end_id)
+                ids, counts = _ended(*code.encode(data, at), end_id)
                 stop = np.cumsum(counts)
                 i = 0
                 while i < len(counts):
