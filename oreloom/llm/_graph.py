@@ -66,18 +66,19 @@ def components(edges: DataFrame) -> DataFrame:
     are partial aggregates written before they are joined, so a node with very many neighbours is split by AQE.
     Rows with a null end are ignored. No edges: an empty table.
     """
-    own = edges.where("a is not null and b is not null and a <> b").select("a", "b").transform(_io.arrow(_contract, EDGES))
-    now = _io.written(own.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
-    while True:
-        ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("v", F.lit(0), F.lit(1)))
-        if ends.groupBy("n").agg(F.sum("up").alias("ups"), F.max("down").alias("downs")).where("ups > 1 or (ups = 1 and downs = 1)").isEmpty():
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
-        both = now.union(now.select("v", "u"))
-        least = _io.written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = _io.written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        lower = _io.written(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
-        small = large.join(lower, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower)
-        after = _io.written(small.distinct(), "edges")
-        for old in (now, least, large, lower):
-            _io.remove(old)
-        now = after
+    with _io.steps(edges.sparkSession):
+        own = edges.where("a is not null and b is not null and a <> b").select("a", "b").transform(_io.arrow(_contract, EDGES))
+        now = _io.written(own.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
+        while True:
+            ends = now.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("v", F.lit(0), F.lit(1)))
+            if ends.groupBy("n").agg(F.sum("up").alias("ups"), F.max("down").alias("downs")).where("ups > 1 or (ups = 1 and downs = 1)").isEmpty():
+                return _io.result(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct()), "components")
+            both = now.union(now.select("v", "u"))
+            least = _io.written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+            large = _io.written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+            lower = _io.written(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
+            small = large.join(lower, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower)
+            after = _io.written(small.distinct(), "edges")
+            for old in (now, least, large, lower):
+                _io.remove(old)
+            now = after

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 
@@ -17,16 +22,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, or one set here where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session. Where it is unset, a local
+    session (tests) gets one of its own; a cluster has no folder to guess, which is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="oreloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+#: The part of the shared folder that belongs to this driver process; what is left of it goes when the process ends.
+_RUN = uuid.uuid4().hex
+_ROOTS: set[str] = set()
+
+
 def shared_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark)}/oreloom/{kind}-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/oreloom/{_RUN}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_delete, root, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{root}/{kind}-{uuid.uuid4().hex}"
+
+
+def _delete(path: str, jvm, conf) -> None:
+    try:
+        own = jvm.org.apache.hadoop.fs.Path(path)
+        own.getFileSystem(conf).delete(own, True)
+    except (Py4JError, OSError):  # the JVM, or the folder, has gone before
+        pass
+
+
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open steps", default=())
+
+
+@contextmanager
+def steps(spark: SparkSession):
+    """Tables written inside go when the block ends, whether it ends well or not; result() keeps one of them for longer."""
+    own: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), own))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in own:
+            _delete(path, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())
 
 
 #: Bounds of an Arrow batch: what a Python worker and its JVM task hold of the input at a time.
@@ -68,32 +109,52 @@ def _released(run, batches):
             trim(0)
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, kind: str, outer: int = 0) -> DataFrame:
+    """df as a table in the shared folder: cuts the lineage and survives lost executors. It goes with the innermost steps()."""
     spark = df.sparkSession
     path = shared_path(spark, kind)
+    scopes = _OPEN.get()
+    if len(scopes) > outer:
+        scopes[-1 - outer].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(df_or_path, spark: SparkSession | None = None) -> None:
-    """Delete intermediate tables that no later step reads."""
-    if isinstance(df_or_path, DataFrame):
-        spark = df_or_path.sparkSession
-        paths = {f.rsplit("/", 1)[0] for f in df_or_path.inputFiles()}
-    else:
-        paths = {df_or_path}
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        if "/oreloom/" in p:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+def result(df: DataFrame, kind: str = "result") -> DataFrame:
+    """As written(), for what a block of steps() returns: it goes with the block around that one, or with the process."""
+    return written(df, kind, outer=1)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a written table that no later step reads."""
+    sc = table.sparkSession.sparkContext
+    for p in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if f"/oreloom/{_RUN}/" in p:
+            _delete(p, sc._jvm, sc._jsc.hadoopConfiguration())
 
 
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def parts_for(spark: SparkSession, size: float, each: float) -> int:
+    """Partitions of about ``each`` of ``size``; never fewer than the session shuffles into."""
+    return max(parallelism(spark), blocks_of(size, each))
+
+
+def packed(docs: DataFrame, **inputs) -> DataFrame:
+    """docs with its row in one struct ``row``, beside inputs by name: no name of docs can clash with those of an operator."""
+    return docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), *(c.alias(n) for n, c in inputs.items()))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    have = {c.lower() for c in docs.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def blocks_of(total: float, each: float) -> int:
     return max(1, math.ceil((total or 0) / each))
 

@@ -5,7 +5,8 @@
 2. The second moments of the unit vectors, summed on the executors, give the principal axes (one d x d matrix for each
    vector length; its size depends on the length of the vectors only).
 3. Classes are dealt by (label, length, first coordinate) into tiles of at most ``TILE`` vectors with the bounding box
-   of their leading coordinates. Two tiles whose boxes are further apart than the threshold allows never meet.
+   of their leading coordinates. Two tiles whose boxes are further apart than the threshold allows never meet; groups
+   of tiles are met first, by a band join on the first axis.
 4. For two tiles the products of the leading coordinates are summed segment by segment; what the remaining coordinates
    can add is at most the product of the suffix norms, and pairs whose bound falls below the threshold are dropped.
    Pairs within 1e-9 of the threshold are decided by the plain cosine of the unrotated vectors.
@@ -15,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,8 @@ from ._graph import Forest, components
 from .near_duplicates import _groups
 
 TILE, BOX = 2048, 4
+#: Tiles whose common box is met before their own (a power of two); bytes of vectors and tile pairs of a task.
+GROUP, TASK_BYTES, TASK_PAIRS = 64, 64 << 20, 64
 SEGMENTS = (8, 16, 32)
 
 
@@ -164,38 +168,63 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec: str =
 
     Vectors are compared only with those of the same label and length; copies link with each other. A vector that is
     null, empty, zero or holds null or non-finite components, or has no label or id, has no link, is its own component
-    and is kept. An empty table gives an empty table.
+    and is kept. Rows that share an id are one node with the links of each of its rows. An empty table gives an empty table.
     """
     spark = vectors.sparkSession
-    kind = "f4" if "float" in dict(vectors.dtypes)[vec] else "f8"
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vec).cast("array<float>" if kind == "f4" else "array<double>").alias("vec"))
-    rows = _io.written(base.transform(_io.arrow(_valid, "id long, label string, dim int, key binary, raw binary")), "vectors")
-    valid = rows.where("key is not null")
-    classes = _io.written(valid.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("raw").alias("raw")), "classes")
-    axes = spark.sparkContext.broadcast(_axes(classes, kind))  # d * d numbers for each vector length
-
-    lead = classes.transform(_io.arrow(lambda b: _lead(b, axes, kind), _io.schema_with(classes, "first double")))
-    n = _io.parallelism(spark)
-    laid = lead.repartitionByRange(n, "label", "dim", "first").sortWithinPartitions("label", "dim", "first")
-    tiles = _io.written(laid.select("label", "dim", "id", "times", "raw").transform(_io.arrow(lambda b: _tiles(b, axes, kind, tile), "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, times binary, raw binary")), "tiles")
-
-    box = tiles.select("label", "dim", "tile", "lo", "hi")
-    other = box.select("label", "dim", F.col("tile").alias("tile2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    gap = lambda k: F.pow(F.greatest(F.lit(0.0), F.col("lo")[k] - F.col("hi2")[k], F.col("lo2")[k] - F.col("hi")[k]), 2)
-    far = sum((gap(k) for k in range(1, BOX)), gap(0))
-    pairs = box.join(other, ["label", "dim"]).where(F.col("tile") <= F.col("tile2")).where(far <= 2 - 2 * threshold + 1e-9).select(F.col("tile").alias("a"), F.col("tile2").alias("b"))
-    pairs = _io.written(pairs, "pairs")
-    parts = pairs.select("a", "b", F.col("a").alias("tile")).union(pairs.where("a <> b").select("a", "b", "b"))
-    met = parts.join(tiles.select("tile", "dim", "ids", "times", "raw"), "tile").select("a", "b", "tile", "dim", "ids", "times", "raw")
-    met = met.repartition(n, "a", "b").sortWithinPartitions("a", "b", "tile")
-    found = _io.written(met.transform(_io.arrow(lambda b: _meet(b, axes, kind, threshold), "a long, b long, links long")), "links")
-    comp = components(found.where("b is not null").select("a", "b"))
-    links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    per_class = classes.select("key", F.col("id").alias("rep"), "times").join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    per_class = _io.written(per_class.select("key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "classes")
-    out = valid.select("id", "key").join(per_class, "key").select("id", "n_links", "component_id")
-    out = out.union(rows.where("key is null").select("id", F.lit(0).cast("long"), "id"))
-    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    with _io.steps(spark):
+        kind = "f4" if "float" in dict(vectors.dtypes)[vec] else "f8"
+        base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vec).cast("array<float>" if kind == "f4" else "array<double>").alias("vec"))
+        rows = _io.written(base.transform(_io.arrow(_valid, "id long, label string, dim int, key binary, raw binary")), "vectors")
+        valid = rows.where("key is not null")
+        classes = _io.written(valid.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("raw").alias("raw")), "classes")
+        axes = spark.sparkContext.broadcast(_axes(classes, kind))  # d * d numbers for each vector length
+
+        lead = classes.transform(_io.arrow(lambda b: _lead(b, axes, kind), _io.schema_with(classes, "first double")))
+        size = classes.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+        laid = lead.repartitionByRange(_io.parts_for(spark, size, TASK_BYTES), "label", "dim", "first").sortWithinPartitions("label", "dim", "first")
+        tiles = _io.written(laid.select("label", "dim", "id", "times", "raw").transform(_io.arrow(lambda b: _tiles(b, axes, kind, tile), "label string, dim int, tile long, lo array<double>, hi array<double>, ids binary, times binary, raw binary")), "tiles")
+
+        pairs = _io.written(_near_tiles(tiles.select("label", "dim", "tile", "lo", "hi"), 2 - 2 * threshold + 1e-9), "pairs")
+        parts = pairs.select("a", "b", F.col("a").alias("tile")).union(pairs.where("a <> b").select("a", "b", "b"))
+        met = parts.join(tiles.select("tile", "dim", "ids", "times", "raw"), "tile").select("a", "b", "tile", "dim", "ids", "times", "raw")
+        met = met.repartition(_io.parts_for(spark, pairs.count(), TASK_PAIRS), "a", "b").sortWithinPartitions("a", "b", "tile")
+        found = _io.written(met.transform(_io.arrow(lambda b: _meet(b, axes, kind, threshold), "a long, b long, links long")), "links")
+        comp = components(found.where("b is not null").select("a", "b"))
+        links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+        per_class = classes.select("key", F.col("id").alias("rep"), "times").join(links, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+        per_class = per_class.select("key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        out = valid.select("id", "key").join(per_class, "key").select("id", "n_links", "component_id")
+        out = out.union(rows.where("key is null").select("id", F.lit(0).cast("long"), "id"))
+        return _io.result(out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")), "groups")
+
+
+def _near_tiles(box: DataFrame, reach: float) -> DataFrame:
+    """(a, b), a <= b, of tiles of one label and length whose boxes are at most ``reach`` (squared) apart.
+
+    Boxes of GROUP tiles that lie side by side are met first, by a band join on the first axis: each box is posted in the
+    cells it covers, and in those within reach on the other side; a pair counts in the first cell that both have. Only
+    tiles of near groups are compared one by one, dealt by group.
+    """
+    def gap(k: int, a: str, b: str):
+        return F.pow(F.greatest(F.lit(0.0), F.col(f"lo{a}")[k] - F.col(f"hi{b}")[k], F.col(f"lo{b}")[k] - F.col(f"hi{a}")[k]), 2)
+
+    def near(a: str, b: str):
+        return sum((gap(k, a, b) for k in range(1, BOX)), gap(0, a, b)) <= reach
+
+    def side(df: DataFrame, n: str) -> DataFrame:
+        return df.select("label", "dim", *(F.col(c).alias(f"{c}{n}") for c in df.columns[2:]))
+
+    box = box.select("label", "dim", F.shiftright("tile", int(math.log2(GROUP))).alias("group"), "tile", "lo", "hi")
+    ends = (F.array(*(f(F.col(c)[k]) for k in range(BOX))).alias(c) for c, f in (("lo", F.min), ("hi", F.max)))
+    groups = box.groupBy("label", "dim", "group").agg(*ends)
+    width = math.sqrt(reach)
+    cell = lambda x: F.floor(x / F.lit(width)).cast("int")
+    left = side(groups, "1").withColumn("first1", cell(F.col("lo1")[0])).withColumn("cell", F.explode(F.sequence("first1", cell(F.col("hi1")[0]))))
+    first, last = cell(F.col("lo2")[0] - width), cell(F.col("hi2")[0] + width)
+    right = side(groups, "2").withColumn("first2", first).withColumn("cell", F.explode(F.sequence("first2", last)))
+    met = left.join(right, ["label", "dim", "cell"]).where((F.col("cell") == F.greatest("first1", "first2")) & (F.col("group1") <= F.col("group2")) & near("1", "2"))
+    met = met.select("label", "dim", "group1", "group2").join(side(box, "1"), ["label", "dim", "group1"]).join(side(box, "2"), ["label", "dim", "group2"])
+    return met.where((F.col("tile1") <= F.col("tile2")) & near("1", "2")).select(F.col("tile1").alias("a"), F.col("tile2").alias("b"))
 
 
 def _lead(batches: Iterator[pa.RecordBatch], axes, kind: str) -> Iterator[pa.RecordBatch]:

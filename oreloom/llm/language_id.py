@@ -3,8 +3,7 @@
 The letters of a text, lower-cased and with everything else squeezed to single spaces, are compressed with one
 zstandard raw-content dictionary for each language; the language whose dictionary gives the smallest output wins. Texts
 are compressed in blocks of ``BLOCK`` bytes, so a long text is judged by its dictionaries and not by its own
-repetitions, and all of it counts. Texts under ``SHORT`` bytes give too few bytes to compare; they are compressed with
-``SHARDS`` dictionaries of each language, whose outputs are summed.
+repetitions, and all of it counts. Texts of every length are judged alike, by the whole dictionaries.
 
 ``score`` is 1 - smallest / second smallest output, from 0 to 1. Texts without a letter are ``und``; ``reject`` also
 gives up those whose score is below a margin.
@@ -16,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 
 from . import _io
 
-#: Training sample: bytes of normalised text for each language (the bound), and characters taken from one document.
-SAMPLE_BYTES, PIECE = 2 << 20, 1000
-SHARDS, BLOCK, SHORT = 8, 8192, 512
-#: Labelled documents fetched for each language to fill the sample.
-SAMPLE_DOCS = 6000
+#: Bounds of the fit: bytes of normalised text for each language (all of them make its dictionary), characters taken from
+#: one document, labelled documents fetched for each language, and languages (the commonest).
+SAMPLE_BYTES, PIECE, SAMPLE_DOCS, LANGUAGES = 1 << 18, 1000, 2000, 256
+BLOCK = 8192
 MARGIN = 0.004
 UNKNOWN = "und"
 
@@ -43,41 +42,35 @@ def normalise(text: str | None) -> bytes:
 def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Normalised text of at most SAMPLE_BYTES for each language, from labelled docs in an order by hash.
 
-    The fetch is bounded: about SAMPLE_DOCS documents for each language, PIECE characters from each.
+    The fetch is bounded: about SAMPLE_DOCS different documents for each of the LANGUAGES commonest languages, PIECE
+    characters from each.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0)).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return {}
     share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.2 * SAMPLE_DOCS / n)))), F.col("lang"))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     picked = rows.withColumn("draw", draw).where(F.col("draw") < share * (1 << 30))
     got: dict[str, list] = {k: [] for k in counts}
-    for r in picked.select("lang", "draw", F.substring("text", 1, PIECE).alias("piece")).toLocalIterator():
+    for r in picked.select("lang", "draw", F.substring("text", 1, PIECE).alias("piece")).distinct().toLocalIterator():
         got[r.lang].append((r.draw, r.piece))
     out = {}
     for k in sorted(got, key=lambda k: (-counts[k], k)):
-        own = b"".join(normalise(piece) for _, piece in sorted(set(got[k])))[:SAMPLE_BYTES]
+        own = b"".join(normalise(piece) for _, piece in sorted(got[k]))[:SAMPLE_BYTES]
         if own:
             out[k] = own
     return out
 
 
 @lru_cache(maxsize=1)
-def _compressors(model: tuple[tuple[str, bytes], ...]) -> list[tuple[str, list, list]]:
-    quiet = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-    long_text = zstandard.ZstdCompressionParameters.from_level(3, min_match=3, strategy=zstandard.STRATEGY_GREEDY, **quiet)
-    short_text = zstandard.ZstdCompressionParameters.from_level(3, min_match=5, strategy=zstandard.STRATEGY_DFAST, **quiet)
-
-    def of(data: bytes, how):
-        own = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        own.precompute_compress(compression_params=how)
-        return zstandard.ZstdCompressor(compression_params=how, dict_data=own)
-
+def _compressors(model: tuple[tuple[str, bytes], ...]) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    how = zstandard.ZstdCompressionParameters.from_level(6, min_match=3, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
     out = []
     for lang, data in model:
-        step = max(8, -(-len(data) // SHARDS))
-        out.append((lang, of(data[:step], long_text), [of(data[k : k + step], short_text) for k in range(0, max(1, len(data) - 7), step)]))
+        own = zstandard.ZstdCompressionDict(data.rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        own.precompute_compress(compression_params=how)
+        out.append((lang, zstandard.ZstdCompressor(compression_params=how, dict_data=own)))
     return out
 
 
@@ -86,34 +79,42 @@ def classify(text: str | None, model: tuple[tuple[str, bytes], ...]) -> tuple[st
     own = normalise(text)
     if not own or not model:
         return UNKNOWN, 0.0
-    sizes = []
-    for rank, (lang, whole, shards) in enumerate(_compressors(model)):
-        if len(own) < SHORT:
-            sizes.append((sum(len(c.compress(own)) for c in shards) / len(shards), rank, lang))
-        else:
-            sizes.append((sum(len(whole.compress(own[i : i + BLOCK])) for i in range(0, len(own), BLOCK)), rank, lang))
-    sizes.sort()
+    parts = [own[i : i + BLOCK] for i in range(0, len(own), BLOCK)]
+    sizes = sorted((sum(len(c.compress(p)) for p in parts), rank, lang) for rank, (lang, c) in enumerate(_compressors(model)))
     return sizes[0][2], (1.0 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0)
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], text: str = "text", margin: float = MARGIN) -> DataFrame:
     """docs with lang_pred (a language of the model, or ``und`` for a null text, one without a letter or an empty model),
-    score (0 to 1) and rejected (``und``, or a score below margin). Columns of these names in docs are replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(model.items()))  # at most SAMPLE_BYTES for each language
-    names = ["lang_pred", "score"]
+    score (0 to 1) and rejected (``und``, or a score below margin). Columns of these names in docs are replaced; accepted()
+    returns docs as it is. Repeated rows are judged alike, ties go to the commonest language, and an empty table gives an
+    empty one."""
+    names = ["lang_pred", "score", "rejected"]
+    own = docs.select(*(docs[f"`{c}`"] for c in docs.columns if c.lower() not in names))
+    return _judged(_io.packed(own), model, text, margin).select("row.*", *names)
+
+
+def accepted(docs: DataFrame, model: dict[str, bytes], text: str = "text", lang: str = "lang", margin: float = MARGIN) -> DataFrame:
+    """The rows of docs that are not rejected, with their own columns; ``lang`` becomes the predicted language."""
+    out = _judged(_io.packed(docs), model, text, margin).where("not rejected")
+    return out.select(*(F.col("lang_pred").alias(c) if c == lang else F.col(f"row.`{c}`") for c in docs.columns))
+
+
+def _judged(packed: DataFrame, model: dict[str, bytes], text: str, margin: float) -> DataFrame:
+    """Columns row, lang_pred, score, rejected of a table of rows."""
+    sent = packed.sparkSession.sparkContext.broadcast(tuple(model.items()))  # at most SAMPLE_BYTES for each of at most LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [classify(t.as_py(), sent.value) for t in batch.column(batch.schema.get_field_index(text))]
-            keep = [i for i, n in enumerate(batch.schema.names) if n not in names]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], names=[*(batch.schema.names[i] for i in keep), *names])
+            found = [classify(t.as_py(), sent.value) for t in pc.struct_field(batch.column(0), text)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], names=["row", "lang_pred", "score"])
 
-    out = docs.transform(_io.arrow(run, _io.schema_with(docs, "lang_pred string", "score double")))
+    out = packed.transform(_io.arrow(run, _io.schema_with(packed, "lang_pred string", "score double")))
     return out.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < margin))
 
 
 def folds(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs with held_out: crc32 of the id as text, modulo 4, is 2 (null id: false)."""
+    """docs with held_out: crc32 of the id as text, modulo 4, is 2 (null id: false). A column of that name is replaced."""
     return docs.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False)))
 
 

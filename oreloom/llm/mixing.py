@@ -134,26 +134,32 @@ def _wanted(targets) -> dict[str, dict[str, float] | None]:
 def with_probability(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None, targets=None, rounds: int = ROUNDS, rate: float = RATE, alpha: float = ALPHA, seed: str = SEED, clipped: bool = False) -> DataFrame:
     """docs with _source, _lang, _topic, _tokens, _probability and _kept.
 
-    ``clipped``: probabilities of a raking without bounds, cut at 1, which miss targets where cells are cut. Documents without tokens have probability 0. A null source, language or topic is the value "". Repeated rows are
-    drawn alike. An empty table gives an empty table.
+    ``clipped``: probabilities of a raking without bounds, cut at 1, which miss targets where cells are cut. Documents
+    without tokens have probability 0. A null source, language or topic is the value "". Repeated rows are drawn alike. An
+    empty table gives an empty table. Columns of docs with these six names are replaced; mix() returns docs as it is.
     """
-    keyed = _keyed(docs, source, lang, text, topic)
+    spark = docs.sparkSession
     names, wanted = NAMES, _wanted(targets)
-    cells = keyed.where("_tokens > 0").groupBy(*names.values()).agg(F.sum("_tokens").alias("tokens"))
-    cells = _io.written(cells, "cells")
-    if clipped:
-        raked = rake(cells, wanted, rounds, alpha).select(*names.values(), F.least(F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("tokens")).alias("_probability"))
-    else:
-        raked = rake_within(cells, wanted, rate, rounds, alpha).select(*names.values(), (F.col("weight") / F.col("tokens")).alias("_probability"))
+    clash = {*names.values(), "_tokens", "_probability", "_kept"}
+    keyed = _keyed(docs.select(*(docs[f"`{c}`"] for c in docs.columns if c.lower() not in clash)), source, lang, text, topic)
+    with _io.steps(spark):
+        cells = _io.written(keyed.where("_tokens > 0").groupBy(*names.values()).agg(F.sum("_tokens").alias("tokens")), "cells")
+        if clipped:
+            raked = rake(cells, wanted, rounds, alpha).select(*names.values(), F.least(F.lit(1.0), F.lit(rate) * F.col("weight") / F.col("tokens")).alias("_probability"))
+        else:
+            raked = rake_within(cells, wanted, rate, rounds, alpha).select(*names.values(), (F.col("weight") / F.col("tokens")).alias("_probability"))
+        raked = _io.result(raked.coalesce(_few(spark)), "probabilities")
     few = raked.count() <= BROADCAST_CELLS
     out = keyed.join(F.broadcast(raked) if few else raked, list(names.values()), "left")
     out = out.withColumn("_probability", F.when(F.col("_tokens") > 0, F.coalesce("_probability", F.lit(0.0))).otherwise(F.lit(0.0)))
     return out.withColumn("_kept", draw(F.col(id_col), seed) < F.col("_probability"))
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The drawn rows of docs, with their own columns."""
-    return with_probability(docs, **how).where("_kept").select(*docs.columns)
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None, **how) -> DataFrame:
+    """The drawn rows of docs, with their own columns as they are."""
+    inputs = {"id": docs[f"`{id_col}`"], "text": docs[f"`{text}`"], "source": docs[f"`{source}`"], "lang": docs[f"`{lang}`"]}
+    own = _io.packed(docs, **inputs, **({} if topic is None else {"topic": topic}))
+    return with_probability(own, "id", topic=None if topic is None else F.col("topic"), **how).where("_kept").select("row.*")
 
 
 def achieved(drawn: DataFrame, targets=None, rate: float = RATE, alpha: float = ALPHA) -> DataFrame:

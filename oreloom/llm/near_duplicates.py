@@ -33,6 +33,8 @@ from ._text import NONSPACE, Words, mix, parts
 COORDS, BAND, Z = 64, 16, 5.0
 #: Classes of a posting list, and documents and shingles of a candidate component, that meet in one task from either side.
 LIST, BLOCK, BLOCK_SHINGLES = 256, 256, 1 << 20
+#: Tasks over which the rows of one key are dealt, and bytes that a task of block pairs reads.
+SALTS, TASK_BYTES = 32, 128 << 20
 #: Member ids up to this number are broadcast to the scan of the texts (16 MB); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -219,9 +221,18 @@ def _met(rows: DataFrame, key: str, blocks: str, id_col: str) -> DataFrame:
     return rows.withColumn("own", own).withColumn("_o", other).select(key, F.least("own", "_o").alias("i"), F.greatest("own", "_o").alias("j"), "own", *rest)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
+def _spread(rows: DataFrame, size: float) -> DataFrame:
     keys = rows.columns[:3]
-    return rows.repartition(_io.parallelism(rows.sparkSession), *keys).sortWithinPartitions(*keys)
+    return rows.repartition(_io.parts_for(rows.sparkSession, size, TASK_BYTES), *keys).sortWithinPartitions(*keys)
+
+
+def _shared(rows: DataFrame, key: str, id_col: str, **totals) -> DataFrame:
+    """rows whose key has more than one, with totals over the key. A key's rows are dealt over SALTS tasks, so one that holds
+    a third of all rows is no task of its own: the totals are partial sums first and are sent to the salts that occur."""
+    own = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+    salts = F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(_salts, s) & 1 = 1)")
+    sums = own.groupBy(key).agg(F.count("*").alias("_n"), F.expr("bit_or(shiftleft(1L, _salt))").alias("_salts"), *(t.alias(n) for n, t in totals.items())).where("_n > 1")
+    return own.join(sums.select(key, *totals, F.explode(salts).alias("_salt")), [key, "_salt"]).drop("_salt")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
@@ -233,49 +244,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     and is kept. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    need = need_of(percent, coords)
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    sketch = _io.written(base.transform(_io.arrow(lambda b: _sketch(b, shingle, coords), "id long, n long, key binary, sig array<int>")), "sketch")
-    classes = _io.written(sketch.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-
-    bands = F.array(*(F.xxhash64(F.lit(b), F.slice("sig", b + 1, BAND)) for b in range(0, coords, BAND)))
-    bands = classes.select("rep", F.explode(bands).alias("band"))
-    tops = bands.groupBy("band").agg(F.min("rep").alias("top"), F.count("*").alias("m")).where("m > 1").select("band", "top")
-    stars = _io.written(bands.join(tops, "band").where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct(), "stars")
-    quick = _io.written(components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "quick")
-
-    posted = classes.select("rep", F.posexplode("sig").alias("c", "value")).select("rep", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("token"))
-    often = posted.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
-    rarest = F.array_sort(F.collect_list(F.struct("times", "token")))
-    prefix = F.slice("shared", 1, F.lit(coords - need + 1 - coords) + F.size("shared"))
-    lists = posted.join(often, "token").groupBy("rep").agg(rarest.alias("shared")).where(F.size("shared") >= need)
-    lists = _io.written(lists.select("rep", F.explode(prefix).alias("x")).select("rep", "x.token"), "lists")
-    sizes = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / LIST).alias("blocks"))
-    sigs = classes.select("rep", F.col("n"), "sig")
-    cand = lists.join(sizes, "token").join(sigs, "rep").join(quick, "rep", "left")
-    cand = _met(cand.select("token", "blocks", "rep", F.coalesce("cluster", "rep").alias("cluster"), "n", "sig"), "token", "blocks", "rep").drop("rep")
-    found = _spread(cand).transform(_io.arrow(lambda b: _count_collisions(b, need, percent), EDGES))
-    near = components(found.union(quick.select(F.col("rep").alias("a"), F.col("cluster").alias("b"))))
-
-    near = _io.written(near, "near")
-    weight = near.join(sigs.select(F.col("rep").alias("node"), "n"), "node").groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
-    weight = weight.select(F.col("component"), F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("n") / BLOCK_SHINGLES)).alias("blocks"))
-    members = _io.written(near.join(weight, "component").select(F.col("component").alias("comp"), "blocks", F.col("node").alias("id")), "members")
-    texts = base.join(F.broadcast(members) if members.count() <= BROADCAST_IDS else members, "id").select("comp", "blocks", "id", "text")
-    sets = texts.transform(_io.arrow(lambda b: _sets(b, shingle), "comp long, blocks long, id long, hashes binary"))
-    links = components(_spread(_met(sets, "comp", "blocks", "id")).transform(_io.arrow(lambda b: _confirm(b, percent), EDGES)))
-
-    found = sketch.where("key is not null and id is not null").select("id", "n", "key").join(classes.select("key", "rep"), "key")
-    found = found.join(links.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
-    alone = sketch.where("key is null or id is null").select("id", "n", F.col("id").alias("component"))
-    out = found.union(alone)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+    with _io.steps(spark):
+        need = need_of(percent, coords)
+        base = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("text"))
+        sketch = _io.written(base.transform(_io.arrow(lambda b: _sketch(b, shingle, coords), "id long, n long, key binary, sig array<int>")), "sketch")
+        own = sketch.where("key is not null and id is not null")
+        classes = _io.written(own.groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+        sigs = classes.select("rep", "n", "sig")
+
+        bands = F.array(*(F.xxhash64(F.lit(b), F.slice("sig", b + 1, BAND)) for b in range(0, coords, BAND)))
+        stars = _shared(classes.select("rep", F.explode(bands).alias("band")), "band", "rep", top=F.min("rep"))
+        quick = components(stars.where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")).distinct()).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+
+        posted = classes.select("rep", F.posexplode("sig").alias("c", "value")).select("rep", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("token"))
+        rarest = F.array_sort(F.collect_list(F.struct("times", "token")))
+        prefix = F.slice("shared", 1, F.lit(1 - need) + F.size("shared"))
+        lists = _shared(posted, "token", "rep", times=F.count("*")).groupBy("rep").agg(rarest.alias("shared")).where(F.size("shared") >= need)
+        lists = _io.written(lists.select("rep", F.explode(prefix).alias("x")).select("rep", "x.token"), "lists")
+        cand = _shared(lists, "token", "rep", blocks=F.ceil(F.count("*") / LIST)).join(sigs, "rep").join(quick, "rep", "left")
+        cand = _met(cand.select("token", "blocks", "rep", F.coalesce("cluster", "rep").alias("cluster"), "n", "sig"), "token", "blocks", "rep").drop("rep")
+        found = _spread(cand, lists.count() * (4.0 * coords + 64)).transform(_io.arrow(lambda b: _count_collisions(b, need, percent), EDGES))
+        near = components(found.union(quick.select(F.col("rep").alias("a"), F.col("cluster").alias("b"))))
+
+        near = near.join(sigs.select(F.col("rep").alias("node"), "n"), "node")
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        members = _io.written(_shared(near, "component", "node", blocks=blocks).select(F.col("component").alias("comp"), "blocks", F.col("node").alias("id"), "n"), "members")
+        many, size = members.agg(F.count("*"), F.sum(F.col("blocks") * (8.0 * F.col("n") + 64))).first()
+        ids = members.select("comp", "blocks", "id")
+        texts = base.join(F.broadcast(ids) if many <= BROADCAST_IDS else ids, "id").select("comp", "blocks", "id", "text")
+        sets = texts.transform(_io.arrow(lambda b: _sets(b, shingle), "comp long, blocks long, id long, hashes binary"))
+        links = components(_spread(_met(sets, "comp", "blocks", "id"), size or 0).transform(_io.arrow(lambda b: _confirm(b, percent), EDGES)))
+
+        # a class of one is its own group unless it is linked; the others find their class by key, dealt over salts
+        copies = _shared(own.select("id", "n", "key"), "key", "id", rep=F.min("id")).select("id", "n", "rep")
+        alone = own.select("id", "n", "key").join(classes.select(F.col("rep").alias("id"), "key"), ["id", "key"]).select("id", "n", F.col("id").alias("rep"))
+        every = copies.where("id <> rep").union(alone)
+        every = every.join(links.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+        out = every.union(sketch.where("key is null or id is null").select("id", "n", F.col("id").alias("component")))
+        return _io.result(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")), "groups")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of docs, with their own columns, that are the smallest id of their group of near-duplicates."""
-    drop = near_duplicates(docs, id_col, text, **how).where("not kept").select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(drop, F.col(id_col).cast("long") == F.col("_drop"), "left_anti")
+    gone, own = _io.fresh(docs, "gone"), f"`{id_col}`"
+    drop = near_duplicates(docs, id_col, text, **how).where("not kept").select(F.col(own).alias(gone)).distinct()
+    return docs.join(drop, docs[own].cast("long") == F.col(gone), "left_anti")
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -38,8 +39,8 @@ INDEX_MAGIC, SEEK_MAGIC, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 18
 END_ID = 1
 NO_ID = -(1 << 63)  # stands for a null id in a shard
-#: Bytes of text encoded at a time.
-PART_BYTES = 2 << 20
+#: Bytes of text encoded at a time, and of a shard.
+PART_BYTES, SHARD_BYTES = 2 << 20, 256 << 20
 
 
 class ShardWriter:
@@ -172,7 +173,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(_io.parallelism(spark), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.repartitionByRange(_io.parts_for(spark, size, SHARD_BYTES), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
     done = _io.written(rows.transform(_io.arrow(lambda b: _write(b, folder, tokenizer, end_id), "shard long, path string, docs long, tokens long")), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each shard
     return done.where("docs > 0").withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -207,8 +209,8 @@ def read_tokens(manifest: DataFrame, id_col: str = "doc_id", wanted: list[int] |
     ``wanted``: only documents with these ids, by decompressing only the frames that hold them.
     """
     last = "ids_crc32 long" if digest else "ids array<long>"
-    n = _io.parallelism(manifest.sparkSession)
-    found = manifest.select("path", "start").repartition(n, "path").transform(_io.arrow(lambda b: _read(b, wanted, digest), f"id long, start long, n_tokens long, {last}"))
+    spark = manifest.sparkSession
+    found = manifest.select("path", "start").repartition(_io.parts_for(spark, manifest.count(), 1), "path").transform(_io.arrow(lambda b: _read(b, wanted, digest), f"id long, start long, n_tokens long, {last}"))
     return found.withColumnRenamed("id", id_col)
 
 
@@ -218,6 +220,16 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Setting that names the folder of token files; where it is unset they go with the process that wrote them.
+FOLDER = "spark.oreloom.tokens.dir"
+
+
+def written_and_read(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of docs, read back from files written into a new folder inside FOLDER."""
+    folder = spark.conf.get(FOLDER, None) or spark.sparkContext.getConf().get(FOLDER, None)
+    folder = f"{folder.rstrip('/')}/tokens-{uuid.uuid4().hex}" if folder else _io.shared_path(spark, "tokens")
+    return read_tokens(write_tokens(docs, folder, default_tokenizer()), digest=True)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = write_tokens(_io.table(spark, sf_dir, "documents"), _io.shared_path(spark, "tokens"), default_tokenizer())
-    return read_tokens(manifest, digest=True)
+    return written_and_read(spark, _io.table(spark, sf_dir, "documents"))

@@ -1,8 +1,9 @@
 """URL filtering by fixed rules and by mined association rules. DataFrame operations only.
 
 FP-growth mines combinations of URL tokens from labelled pages, with the label ``block`` as one more item. A rule
-``tokens -> block`` stays if its support and confidence reach the minimum. Rules are posted in an inverted index under
-their rarest token; a page looks up its own tokens and a posted rule matches if the page holds all its tokens.
+``tokens -> block`` stays if enough blocked pages have the tokens, and if pages with the tokens are blocked often enough, in
+itself and against the share of all labelled pages that are. Rules are posted in an inverted index under their rarest
+token; a page looks up its own tokens and a posted rule matches if the page holds all its tokens.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from . import _io
 
-#: A rule needs this share of the labelled pages, at least so many of them, and this confidence.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE = 0.002, 25, 0.75
+#: A rule needs so many blocked pages, this share of the labelled pages (which bounds the rules of very large tables), this
+#: confidence, and this multiple of the share of labelled pages that are blocked.
+MIN_PAGES, MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 5, 0.0002, 0.5, 2.0
 BLOCK, ALLOW = "block", "allow"
 _LABEL = "=block"
 #: Mined rules up to this number are broadcast to the scan of the pages; beyond it the join shuffles.
@@ -49,29 +51,38 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def tokens(host: Column, path: Column) -> Column:
-    """Distinct URL tokens: parts of the host by place and domain suffix, path parts by place, and the path's depth."""
+    """Distinct URL tokens: words of the host, its domain suffix and first label, every path part by place with digits as 0,
+    and the number of path parts."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     words = F.filter(F.split(host, r"[.\-]"), lambda x: x != "")
     steps = F.filter(F.split(path, "/"), lambda x: x != "")
-    places = F.transform(F.slice(steps, 1, 3), lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), F.regexp_replace(x, r"\d", "0")))
-    suffix = F.array(F.concat(F.lit("tld:"), F.coalesce(F.try_element_at(labels, F.lit(-1)), F.lit(""))), F.concat(F.lit("sub:"), F.coalesce(F.try_element_at(labels, F.lit(1)), F.lit(""))))
-    return F.array_distinct(F.concat(F.transform(words, lambda x: F.concat(F.lit("h:"), x)), suffix, places))
+    places = F.transform(steps, lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), F.regexp_replace(x, r"\d", "0")))
+    more = F.array(F.concat(F.lit("tld:"), F.coalesce(F.try_element_at(labels, F.lit(-1)), F.lit(""))), F.concat(F.lit("sub:"), F.coalesce(F.try_element_at(labels, F.lit(1)), F.lit(""))), F.concat(F.lit("depth:"), F.size(steps).cast("string")))
+    return F.array_distinct(F.concat(F.transform(words, lambda x: F.concat(F.lit("h:"), x)), more, places))
 
 
-def mine(labelled: DataFrame, items: str = "items", blocked: str = "blocked", min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, tokens, post, size, support, confidence) that say ``block``, from rows with an array of tokens and a flag."""
+def mine(labelled: DataFrame, items: str = "items", blocked: str = "blocked", min_pages: int = MIN_PAGES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
+    """Rules (rule_id, tokens, post, support, confidence) that say ``block``, from rows with an array of tokens and a flag.
+
+    support: the share of labelled rows that have the tokens and are blocked; post: the rarest token, among equals the
+    first by name.
+    """
     spark = labelled.sparkSession
     baskets = labelled.where(F.col(blocked).isNotNull()).select(F.when(F.col(blocked), F.array_union(F.col(items), F.array(F.lit(_LABEL)))).otherwise(F.col(items)).alias("items"))
-    empty = "rule_id long, tokens array<string>, post string, support double, confidence double"
-    n = baskets.count()
-    if n < min_pages:
-        return spark.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_pages / n), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == _LABEL)).select(F.array_sort("antecedent").alias("tokens"), "support", "confidence")
-    one = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
-    # posted under the rarest token; among equals the first by name
-    posted = rules.select("*", F.explode("tokens").alias("token")).join(one, "token").groupBy("tokens", "support", "confidence").agg(F.min(F.struct("freq", "token")).alias("rarest"))
-    return _io.written(posted.select(F.xxhash64("tokens").alias("rule_id"), "tokens", F.col("rarest.token").alias("post"), "support", "confidence"), "rules")
+    n, bad = baskets.agg(F.count("*"), F.coalesce(F.sum(F.array_contains("items", _LABEL).cast("long")), F.lit(0))).first()
+    least = max(min_pages, 1, min_support * n)
+    if bad < least:
+        return spark.createDataFrame([], "rule_id long, tokens array<string>, post string, support double, confidence double")
+    with _io.steps(spark):
+        # the smallest share that stands for ``least`` rows, whatever the rounding
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(baskets)
+        sets = _io.written(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+        both = sets.where(F.array_contains("items", _LABEL) & (F.size("items") > 1) & (F.col("freq") >= least)).select(F.array_remove("items", _LABEL).alias("tokens"), F.col("freq").alias("hits"))
+        rules = both.join(sets.select(F.col("items").alias("tokens"), F.col("freq").alias("pages")), "tokens").withColumn("confidence", F.col("hits") / F.col("pages"))
+        rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("confidence") >= F.lit(min_lift * bad / n)))
+        one = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+        posted = rules.select("tokens", "hits", "confidence", F.explode("tokens").alias("token")).join(one, "token").groupBy("tokens").agg(F.min(F.struct("freq", "token")).alias("rarest"), F.first("hits").alias("hits"), F.first("confidence").alias("confidence"))
+        return _io.result(posted.select(F.xxhash64("tokens").alias("rule_id"), "tokens", F.col("rarest.token").alias("post"), (F.col("hits") / F.lit(n)).alias("support"), "confidence"), "rules")
 
 
 def judge(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url: str = "url", rules=RULES, **how) -> DataFrame:
@@ -80,7 +91,9 @@ def judge(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url: s
 
     ``labelled`` has id_col and ``blocked``; rows with a null flag are ignored and an id that comes twice is blocked if
     either row says so. The verdict is the fixed rule's; else block if a mined rule matches, else allow. A null url or
-    one without ``://`` has an empty host and path. Nothing labelled: no mined rule.
+    one without ``://`` has an empty host and path. Nothing labelled: no mined rule. Repeated rows are judged alike, an
+    empty table gives an empty one; other columns of pages are not returned, whatever their names. Among rules of equal
+    confidence the one of more support matches, then the last by its tokens.
     """
     host, path = host_and_path(F.col(url))
     base = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).withColumn("items", tokens(F.col("host"), F.col("path")))
@@ -101,4 +114,5 @@ def judge(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url: s
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels: the rows of ``labels`` by number; toxic or low-quality ones are blocked."""
     labels = _io.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))
-    return judge(_io.table(spark, sf_dir, "pages"), labels).drop("mined_tokens", "mined_confidence")
+    out = judge(_io.table(spark, sf_dir, "pages"), labels)
+    return out.withColumn("mined_tokens", F.when(F.col("mined_tokens").isNotNull(), F.concat_ws(" ", "mined_tokens")))

@@ -4,11 +4,14 @@ import hashlib
 import math
 import os
 import random
+import re
 import zlib
 
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from oreloom.llm import _graph, _io, chat_format, embedding_duplicates, registry, token_files, url_rules
 
@@ -121,6 +124,54 @@ def test_urls(spark):
     assert url_rules.judge(pages.limit(0), labels.limit(0)).count() == 0 and url_rules.judge(pages, labels.limit(0)).where("mined_tokens is not null").count() == 0
 
 
+def plain_tokens(host, path):
+    labels, steps = [x for x in host.split(".") if x], [x for x in path.split("/") if x]
+    words = [x for x in re.split(r"[.\-]", host) if x]
+    return {*(f"h:{w}" for w in words), f"tld:{labels[-1] if labels else ''}", f"sub:{labels[0] if labels else ''}", f"depth:{len(steps)}", *(f"p{i}:{re.sub('[0-9]', '0', x)}" for i, x in enumerate(steps))}
+
+
+def plain_rules(rows, min_pages, min_confidence, min_lift):
+    """Every set of tokens, level by level from those of one token (Apriori), that says ``block`` often enough."""
+    base = sum(b for _, b in rows) / len(rows)
+    level, out = {frozenset([t]) for own, _ in rows for t in own}, {}
+    while level:
+        kept = set()
+        for c in level:
+            flags = [b for own, b in rows if c <= own]
+            if sum(flags) >= min_pages:
+                kept.add(c)
+                confidence = sum(flags) / len(flags)
+                if confidence >= min_confidence and confidence >= min_lift * base:
+                    out[c] = (sum(flags) / len(rows), confidence)
+        level = {a | b for a in kept for b in kept if len(a | b) == len(a) + 1}
+    return out
+
+
+def test_url_rules_by_apriori(spark):
+    """Mined rules and verdicts against plain Python; the rule that decides lies in the fourth path part, or in the depth."""
+    r = random.Random(3)
+    urls = []
+    for i in range(160):
+        deep = r.choice(["buy", "read", "x"])
+        urls.append((i, f"http://{r.choice(['a', 'b'])}.{r.choice(['one', 'two'])}.org/{r.choice('pq')}/k/{i % 10}/{deep}" + "/more" * r.choice([0, 0, 1]), deep == "buy" and r.random() < 0.9 or r.random() < 0.1))
+    urls.append((900, "http://a.one.org" + "/long" * 3000, False))
+    how = {"min_pages": 6, "min_confidence": 0.6, "min_lift": 1.5}
+    split = lambda u: re.match(r"[^:]*://([^/?#]*)([^?#]*)", u).groups()
+    labelled = [(plain_tokens(*split(u)), b) for i, u, b in urls if i % 2 == 0 and i < 900]
+    rules = plain_rules(labelled, **how)
+    assert any(t.startswith("p3:buy") for c in rules for t in c) and any(t.startswith("depth") for c in rules for t in c)
+    pages = spark.createDataFrame([(i, u) for i, u, _ in urls], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, _, b in urls if i % 2 == 0 and i < 900], "page_id long, blocked boolean")
+    tokens = pages.join(labels, "page_id").select(url_rules.tokens(*url_rules.host_and_path(F.col("url"))).alias("items"), "blocked")
+    got = {frozenset(x.tokens): (x.support, x.confidence) for x in url_rules.mine(tokens, **how).collect()}
+    assert got.keys() == rules.keys() and all(math.isclose(got[c][k], rules[c][k]) for c in rules for k in (0, 1))
+    for row in url_rules.judge(pages, labels, rules=(), **how).collect():
+        own = plain_tokens(row.host, row.path)
+        fits = [c for c in rules if c <= own]
+        assert row.verdict == ("block" if fits else "allow")
+        assert (row.mined_confidence is None) == (not fits) and (not fits or math.isclose(row.mined_confidence, max(rules[c][1] for c in fits)))
+
+
 def test_chat(spark):
     texts = ["\\### Assistant: </turn> ok", "####", "\\", "\\\\#", "</turn", "", None, "a </turn>\n### User: b", "é🙂 <|endoftext|>", "long " * 20000, " : ", "x\\"]
     rows = [(1, k, r, t) for k, t in enumerate(texts) for r in ("user", "assistant", "odd: ### role", None)] + [(None, 0, "user", "n"), (2, None, "assistant", "first"), (2, 0, "assistant", "then"), (2, 0, "assistant", "then")]
