@@ -7,7 +7,6 @@ result is written as Parquet in the shared folder and read again as the next sta
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from oreloom.llm import _io, decontaminate, language_id, mixing, near_duplicates, token_files
 
@@ -15,8 +14,7 @@ from oreloom.llm import _io, decontaminate, language_id, mixing, near_duplicates
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; ``lang`` becomes the predicted language. Learns from the training folds."""
     model = language_id.sample(language_id.folds(docs).where("not held_out"))
-    kept = language_id.identify(docs, model).where("not rejected")
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return language_id.accepted(docs, model)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document in frames with a seek table; the rows are read back from the files."""
-    manifest = token_files.write_tokens(docs, _io.shared_path(spark, "tokens"), token_files.default_tokenizer())
-    return token_files.read_tokens(manifest, digest=True)
+    return token_files.written_and_read(spark, docs)
 
 
 STAGES = [
@@ -54,8 +51,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _io.table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = _io.written(docs, f"stage{k}")
-    return docs
+    with _io.steps(spark):
+        for k, (_, stage) in enumerate(STAGES[:-1]):
+            before, docs = docs, _io.written(stage(spark, docs, sf_dir), f"stage{k}")
+            if k:
+                _io.remove(before)
+        return _io.result(STAGES[-1][1](spark, docs, sf_dir))
