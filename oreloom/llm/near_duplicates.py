@@ -10,8 +10,9 @@
    value). Inside a posting list the collisions of whole signatures are counted, skipping pairs of one cluster; lists
    are cut into blocks of ``LIST`` classes and met block against block, so no list has to fit one task and no pair
    becomes a row: what leaves a task is a spanning forest, between clusters, of the pairs above the match threshold.
-4. The components of stars and forest contain every link. Within each of them, again block against block, all pairs are
-   confirmed on their full shingle sets, and the components of the confirmed links are the result.
+4. The components of stars and forest contain every link. All documents of one are confirmed against its smallest on their
+   full shingle sets, once each. Pairs of documents linked to the smallest need no more; the others are confirmed among
+   themselves and against these, again block against block. The components of the confirmed links are the result.
 
 ``need`` lies ``Z`` standard deviations below the matches expected at the similarity threshold.
 """
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _io
@@ -156,12 +157,34 @@ def _count_collisions(batches: Iterator[pa.RecordBatch], need: int, percent: int
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Columns: comp, blocks, id, text. The text becomes its shingle set, as sorted 64-bit hashes."""
+    """Three columns and text. The text becomes its shingle set, as sorted 64-bit hashes."""
     for batch in batches:
         out: list[bytes] = [b""] * batch.num_rows
         for row, h in _shingles(batch.column(3), k):
             out[row] = h.tobytes()
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out, pa.binary())], names=["comp", "blocks", "id", "hashes"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(out, pa.binary())], names=[*batch.schema.names[:3], "hashes"])
+
+
+def _confirm_first(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Columns: comp, i, j, id, hashes: blocks of a group, each with the document ``comp``. Puts out its links."""
+    for batch in _groups(batches, 3):
+        at = _bounds(batch, 3)
+        comp, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 3))
+        found = []
+        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            first = np.flatnonzero(ids[lo:hi] == comp[lo])
+            if not len(first):
+                continue
+            own = np.frombuffer(batch.column(4)[lo + int(first[0])].as_buffer(), dtype=np.uint64)
+            for r in range(lo, hi):
+                if ids[r] != comp[lo]:
+                    h = np.frombuffer(batch.column(4)[r].as_buffer(), dtype=np.uint64)
+                    i = np.searchsorted(own, h)
+                    i[i == len(own)] = 0
+                    both = int((own[i] == h).sum())
+                    if 100 * both >= percent * (len(own) + len(h) - both):
+                        found.append((int(ids[r]), int(comp[lo])))
+        yield edge_batch(found)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -235,6 +258,20 @@ def _shared(rows: DataFrame, key: str, id_col: str, **totals) -> DataFrame:
     return own.join(sums.select(key, *totals, F.explode(salts).alias("_salt")), [key, "_salt"]).drop("_salt")
 
 
+def _blocks(n) -> Column:
+    """Blocks for the members of a group with ``n`` shingles each, null ones left out; one at least."""
+    n = F.col(n) if isinstance(n, str) else n
+    return F.greatest(F.lit(1), F.ceil(F.count(n) / BLOCK), F.ceil(F.sum(n) / BLOCK_SHINGLES)).cast("int")
+
+
+def _texts(base: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """ids (comp, id and one more column) with the shingle set of each document, as sorted 64-bit hashes."""
+    few = ids.count() <= BROADCAST_IDS
+    rows = base.join(F.broadcast(ids) if few else ids, "id").select(*ids.columns, "text")
+    schema = _io.schema_with(rows.drop("text"), "hashes binary")
+    return rows.transform(_io.arrow(lambda b: _sets(b, shingle), schema))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, coords: int = COORDS) -> DataFrame:
     """One row per row of docs: id_col, n_shingles, component_id (smallest id reachable by links), kept.
 
@@ -267,13 +304,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         near = components(found.union(quick.select(F.col("rep").alias("a"), F.col("cluster").alias("b"))))
 
         near = near.join(sigs.select(F.col("rep").alias("node"), "n"), "node")
-        blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-        members = _io.written(_shared(near, "component", "node", blocks=blocks).select(F.col("component").alias("comp"), "blocks", F.col("node").alias("id"), "n"), "members")
-        many, size = members.agg(F.count("*"), F.sum(F.col("blocks") * (8.0 * F.col("n") + 64))).first()
-        ids = members.select("comp", "blocks", "id")
-        texts = base.join(F.broadcast(ids) if many <= BROADCAST_IDS else ids, "id").select("comp", "blocks", "id", "text")
-        sets = texts.transform(_io.arrow(lambda b: _sets(b, shingle), "comp long, blocks long, id long, hashes binary"))
-        links = components(_spread(_met(sets, "comp", "blocks", "id"), size or 0).transform(_io.arrow(lambda b: _confirm(b, percent), EDGES)))
+        members = _io.written(_shared(near, "component", "node", blocks=_blocks("n")).select(F.col("component").alias("comp"), "blocks", F.col("node").alias("id"), "n"), "members")
+        dealt = F.when(F.col("id") == F.col("comp"), F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+        rows = _texts(base, members.select("comp", "id", dealt.alias("own")), shingle).select("comp", F.explode("own").alias("i"), F.col("i").alias("j"), "id", "hashes")
+        size = members.agg(F.sum(8.0 * F.col("n") + 64)).first()[0] or 0
+        stars = _io.written(_spread(rows, size).transform(_io.arrow(lambda b: _confirm_first(b, percent), EDGES)), "stars")
+
+        rest = members.join(stars.select(F.col("a").alias("id"), F.lit(True).alias("linked")), "id", "left").withColumn("free", F.col("linked").isNull() & (F.col("id") != F.col("comp")))
+        n = lambda c: F.when(c, F.col("n"))
+        rest = _shared(rest.select("comp", "id", "n", "free"), "comp", "id", near=_blocks(n(~F.col("free"))), far=_blocks(n(F.col("free"))), left=F.count(n(F.col("free")))).where("left > 0")
+        hashed = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+        near, far = F.col("near").cast("int"), F.col("far").cast("int")
+        place = F.when(F.col("free"), near + hashed("far")).otherwise(hashed("near"))
+        others = F.sequence(F.when(F.col("free"), F.lit(0)).otherwise(near), near + far - 1)
+        rest = _io.written(rest.select("comp", "id", "n", F.transform(others, lambda o: F.struct(F.least(place, o).alias("i"), F.greatest(place, o).alias("j"), place.alias("own"))).alias("pairs")), "rest")
+        size = rest.agg(F.sum(F.size("pairs") * (8.0 * F.col("n") + 64))).first()[0] or 0
+        rows = _texts(base, rest.select("comp", "id", "pairs"), shingle).select("comp", F.explode("pairs").alias("x"), "id", "hashes").select("comp", "x.i", "x.j", "x.own", "id", "hashes")
+        links = components(stars.union(_spread(rows, size).transform(_io.arrow(lambda b: _confirm(b, percent), EDGES))))
 
         # a class of one is its own group unless it is linked; the others find their class by key, dealt over salts
         copies = _shared(own.select("id", "n", "key"), "key", "id", rep=F.min("id")).select("id", "n", "rep")
