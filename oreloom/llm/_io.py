@@ -71,7 +71,7 @@ def steps(spark: SparkSession):
 
 
 #: Bounds of an Arrow batch: what a Python worker and its JVM task hold of the input at a time.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 4000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -102,6 +102,9 @@ def _released(run, batches):
 
         import pyarrow as pa
 
+        from . import _text
+
+        _text.forget()
         gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

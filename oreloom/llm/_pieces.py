@@ -20,7 +20,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: The published pre-token pattern of word BPE in lower case without white space (fixed value).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Distinct pieces whose ids a worker keeps.
-_CACHE_PIECES = 300_000
+_CACHE_PIECES = 200_000
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 
@@ -103,15 +103,13 @@ def code_points(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class TextEncoder:
-    """Encodes whole texts with a tokenizers file, as its library does; this class one by one, its heirs piece by piece.
+    """Encodes whole texts with a tokenizer, as its library does; this class one by one, its heirs piece by piece.
 
     ``special``: the strings of special tokens in a text become these tokens, as the library has it; else they are text.
     """
 
-    def __init__(self, file: str, special: bool = True):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
+    def __init__(self, tokenizer, special: bool = True):
+        self.tokenizer = tokenizer
         self.tokenizer.encode_special_tokens = not special
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if self.size <= 1 << 16 else 4
@@ -186,8 +184,8 @@ class WordEncoder(TextEncoder):
     in one call with a special token between them that none of them holds.
     """
 
-    def __init__(self, file: str, special: bool = True):
-        super().__init__(file, special)
+    def __init__(self, tokenizer, special: bool = True):
+        super().__init__(tokenizer, special)
         marks = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.mark, self.mark_id = marks[0] if marks else ("", -1)
 
@@ -240,11 +238,15 @@ class WordEncoder(TextEncoder):
         return self._pieces(data, np.flatnonzero(begin), at)
 
 
-def kind_of(told: dict) -> type[TextEncoder]:
-    """The class that is right for the settings of a tokenizer file."""
-    model, norm, cut = (told.get(k) or {} for k in ("model", "normalizer", "pre_tokenizer"))
-    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")) and not told.get("truncation") and not told.get("padding")
-    if plain and not norm and not model.get("end_of_word_suffix") and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True):
+def _settings(part) -> dict:
+    return json.loads(part.__getstate__()) if part is not None else {}
+
+
+def kind_of(tokenizer) -> type[TextEncoder]:
+    """The class that is right for the settings of a tokenizer."""
+    model, norm, cut = tokenizer.model, _settings(tokenizer.normalizer), _settings(tokenizer.pre_tokenizer)
+    plain = type(model).__name__ == "BPE" and not any((model.dropout, model.unk_token, model.continuing_subword_prefix, model.fuse_unk, model.byte_fallback, model.ignore_merges, tokenizer.truncation, tokenizer.padding))
+    if plain and not norm and not model.end_of_word_suffix and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True):
         return ByteEncoder
     steps, cuts = norm.get("normalizers") or [], cut.get("pretokenizers") or []
     lower = [s.get("type") for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1].get("pattern") == {"Regex": r"\s+"} and steps[1].get("content") == " "
@@ -255,8 +257,9 @@ def kind_of(told: dict) -> type[TextEncoder]:
 def encoder(file: str, special: bool = True) -> TextEncoder:
     """The encoder of a file, one for each worker."""
     if (file, special) not in _ENCODERS:
-        with open(file, encoding="utf-8") as f:
-            told = json.load(f)
-        own = kind_of(told)
-        _ENCODERS[file, special] = (TextEncoder if own is WordEncoder and not special else own)(file, special)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(file)
+        own = kind_of(tokenizer)
+        _ENCODERS[file, special] = (TextEncoder if own is WordEncoder and not special else own)(tokenizer, special)
     return _ENCODERS[file, special]

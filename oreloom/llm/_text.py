@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 _P, _Q = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -45,6 +45,11 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def forget() -> None:
+    """Drop the powers that a long text has asked for."""
+    _POW.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(30))

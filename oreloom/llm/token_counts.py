@@ -14,7 +14,6 @@ the smallest part of the tree that has room, and only that part is summed again;
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -32,7 +31,7 @@ from ._text import parts
 CHUNK, FULL = 64, 128
 #: Characters of a scan window beyond a match on which the match does not depend.
 _AHEAD = 3
-_CACHE = 400_000
+_CACHE = 200_000
 _COUNTERS: dict[str, Counter] = {}
 EDITS = "array<struct<start:int,end:int,text:string>>"
 
@@ -48,7 +47,7 @@ class Counter:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        if kind_of(json.loads(self.tokenizer.to_str())) is not ByteEncoder:
+        if kind_of(self.tokenizer) is not ByteEncoder:
             raise ValueError(f"{file} does not cut texts by the byte-level pattern")
         self.scan = regex.compile(PATTERN)
         self.known: dict[str, int] = {}

@@ -40,7 +40,7 @@ FRAME_BYTES = 1 << 18
 END_ID = 1
 NO_ID = -(1 << 63)  # stands for a null id in a shard
 #: Bytes of text encoded at a time, and of a shard.
-PART_BYTES, SHARD_BYTES = 2 << 20, 256 << 20
+PART_BYTES, SHARD_BYTES = 1 << 20, 256 << 20
 
 
 class ShardWriter:

@@ -124,7 +124,7 @@ def test_token_files_of_any_tokenizer(spark, make_docs, name, tmp_path):
     files.append(str(tmp_path / "odd.json"))
     with open(files[1], "w", encoding="utf-8") as f:
         json.dump(told, f)
-    assert _pieces.kind_of(told) is _pieces.TextEncoder
+    assert _pieces.kind_of(Tokenizer.from_file(files[1])) is _pieces.TextEncoder and _pieces.kind_of(Tokenizer.from_file(files[0])) is not _pieces.TextEncoder
     for file in files:
         own = Tokenizer.from_file(file)
         manifest = token_files.write_tokens(make_docs(list(enumerate(texts))), f"file://{tmp_path}/{len(file)}", file)
