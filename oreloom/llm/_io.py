@@ -18,7 +18,16 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, over all cores where it has fewer files and less than SPLIT bytes for each core: the work on a text costs
+    far more than moving it. Larger tables are read as they lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    few = len(df._jdf.inputFiles()) < cores and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < cores * SPLIT
+    return df.repartition(cores) if few else df
+
+
+#: Bytes of a file that a scan reads in one task anyway.
+SPLIT = 128 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
