@@ -57,9 +57,12 @@ def word_pattern(alternatives: str) -> str:
     return f"(?iU)(?<![{WORD}])(?:{alternatives})(?![{WORD}])"
 
 
-def matched_names(c: Column, named: Iterable[tuple[str, str]]) -> Column:
-    """Names of the patterns found in c, in the order given."""
-    own = [F.when(c.rlike(f"(?iU){p}"), F.lit(n)) for n, p in named]
+def matched_names(c: Column, named: Iterable[tuple[str, str]], terms: Iterable[str] = ()) -> Column:
+    """Names of the patterns found in c, in the order given. ``terms``: names that are themselves what c, in match form, must
+    hold the first part of; looking for it costs less than the pattern."""
+    plain = set(terms)
+    test = lambda n, p: F.contains(c, F.lit(match_form_of(n).split(" ")[0])) & c.rlike(f"(?iU){p}") if n in plain else c.rlike(f"(?iU){p}")
+    own = [F.when(test(n, p), F.lit(n)) for n, p in named]
     return F.filter(F.array(*own), lambda x: x.isNotNull()) if own else F.array().cast("array<string>")
 
 

@@ -17,7 +17,7 @@ def _form(pattern: str) -> str:
 def article_terms(form: Column, owner: str = "", terms=rules.ARTICLE_TERMS, patterns=rules.ARTICLE_PATTERNS) -> Column:
     """Names of the article terms and patterns in a text in match form. ``owner``: the owner's promo code."""
     own = (*terms, *([f"промокод {owner}"] if owner else []))
-    return F.array_distinct(matched_names(form, [*((t, keyword_pattern(t)) for t in own), *((p, _form(p)) for p in patterns)]))
+    return F.array_distinct(matched_names(form, [*((t, keyword_pattern(t)) for t in own), *((p, _form(p)) for p in patterns)], own))
 
 
 def scored(category: Category, form: Column, is_article: Column, photos: Column) -> Column:
@@ -26,8 +26,8 @@ def scored(category: Category, form: Column, is_article: Column, photos: Column)
     The score adds terms and patterns, the article and photo bonus, less the negative patterns. Order of tests:
     suppression, score above zero, confidence by score, cap.
     """
-    strong = matched_names(form, [(t, keyword_pattern(t)) for t in category.strong])
-    weak = matched_names(form, [(t, keyword_pattern(t)) for t in category.weak])
+    strong = matched_names(form, [(t, keyword_pattern(t)) for t in category.strong], category.strong)
+    weak = matched_names(form, [(t, keyword_pattern(t)) for t in category.weak], category.weak)
     patterns = matched_names(form, [(p, _form(p)) for p in category.patterns])
     negative = matched_names(form, [(p, _form(p)) for p in category.negative])
     return _assemble(category, form, is_article, photos, strong, weak, patterns, negative)
@@ -55,7 +55,7 @@ def score_posts(posts: DataFrame, categories: tuple[Category, ...] = rules.CATEG
     lists = {}
     for c in categories:
         for kind, named in (("strong", [(t, keyword_pattern(t)) for t in c.strong]), ("weak", [(t, keyword_pattern(t)) for t in c.weak]), ("patterns", [(p, _form(p)) for p in c.patterns]), ("negative", [(p, _form(p)) for p in c.negative])):
-            lists[f"_{c.name}_{kind}"] = matched_names(F.col("_form"), named)
+            lists[f"_{c.name}_{kind}"] = matched_names(F.col("_form"), named, (*c.strong, *c.weak) if kind in ("strong", "weak") else ())
     base = base.withColumns(lists)
     own = [_assemble(c, F.col("_form"), F.col("is_article"), F.lit(0) if photos is None else photos, *(F.col(f"_{c.name}_{k}") for k in ("strong", "weak", "patterns", "negative"))) for c in categories]
     hits = base.withColumn("_hit", F.explode(F.filter(F.array(*own), lambda x: x.isNotNull())))

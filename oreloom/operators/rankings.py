@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_of, match_form, ordered_distinct
+from .ranking import numbered
 
 
 def high_confidence(mentions: DataFrame) -> DataFrame:
@@ -20,7 +21,8 @@ def _examples(value: Column, order: Column, k: int = 5) -> Column:
 
 def ranked(groups: DataFrame, key: str) -> DataFrame:
     """groups with ``rank``: by distinct projects, then messages, then key."""
-    return groups.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("unique_projects"), F.desc("unique_messages"), F.asc(key))))  # one row a key
+    own = numbered(groups, [F.desc("unique_projects"), F.desc("unique_messages"), F.asc(key)], "rank")
+    return own.withColumn("rank", F.col("rank").cast("int"))
 
 
 def rank_paints(mentions: DataFrame, raw_counts: DataFrame | None = None) -> DataFrame:

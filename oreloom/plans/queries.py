@@ -32,12 +32,17 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A table; ``spread``: for work that costs more than moving the rows, over all cores where it has fewer files and is
+    small (128 MB for each core); larger tables are read as they lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    small = spread and len(df._jdf.inputFiles()) < cores and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < cores << 27
+    return df.repartition(cores) if small else df
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("message_id"), F.col("lang").alias("date"), "text")
+    return table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").alias("message_id"), F.col("lang").alias("date"), "text")
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +123,7 @@ SELECT doc_id, CASE WHEN first IS NULL THEN CASE WHEN n <= 200 THEN c ELSE rtrim
   ELSE CASE WHEN start > 0 THEN '...' ELSE '' END || trim(substr(c, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT))) || CASE WHEN stop < n THEN '...' ELSE '' END END AS excerpt FROM b""")
 def excerpt_window(spark, sf_dir):
     """Excerpt around the first match, else the beginning."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.excerpt(F.coalesce("text", F.lit("")), ["license"], width=200).alias("excerpt"))
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", T.excerpt(F.coalesce("text", F.lit("")), ["license"], width=200).alias("excerpt"))
 
 
 @query(r"""SELECT conv_id, turn, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS form, CASE WHEN length(c) <= 80 THEN c ELSE rtrim(substr(c, 1, 77)) || '...' END AS preview
@@ -201,7 +206,7 @@ def sample_priority(spark, sf_dir):
 @query("""SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS value, CASE WHEN o_orderkey % 3 = 0 THEN 'шт' WHEN o_orderkey % 3 = 1 THEN 'м2' END AS unit, CAST(o_custkey + 1000 AS VARCHAR) AS article_id, CASE o_orderkey % 4 WHEN 0 THEN 'OZON' WHEN 1 THEN 'Wildberries' WHEN 2 THEN 'HOFF' END AS vendor FROM orders""")
 def price_parse(spark, sf_dir):
     """Prices, units, article numbers and vendors parsed from lines written for them."""
-    own = table(spark, sf_dir, "orders")
+    own = table(spark, sf_dir, "orders", spread=True)
     vendor = F.when(F.col("o_orderkey") % 4 == 0, "Озон ").when(F.col("o_orderkey") % 4 == 1, "вб ").when(F.col("o_orderkey") % 4 == 2, "Хофф ").otherwise("")
     unit = F.when(F.col("o_orderkey") % 3 == 0, "/шт.").when(F.col("o_orderkey") % 3 == 1, " / м²").otherwise("")
     line = F.concat(F.lit("Стол "), vendor, F.lit("Арт. "), (F.col("o_custkey") + 1000).cast("string"), F.lit(", цена "), F.floor("o_totalprice").cast("string"), F.lit("₽"), unit)
@@ -228,14 +233,14 @@ def block_split(spark, sf_dir):
 @query()
 def evidence_blocks(spark, sf_dir):
     """Paragraphs and line windows of documents."""
-    own = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(facts.evidence_blocks(F.col("text"))).alias("block_no", "block"))
+    own = table(spark, sf_dir, "documents", spread=True).select("doc_id", F.posexplode(facts.evidence_blocks(F.col("text"))).alias("block_no", "block"))
     return own.select("doc_id", "block_no", F.length("block").alias("chars"))
 
 
 @query()
 def fact_extraction(spark, sf_dir):
     """Facts of posts written from orders and parts."""
-    own = table(spark, sf_dir, "orders")
+    own = table(spark, sf_dir, "orders", spread=True)
     line = F.concat_ws("\n\n", F.concat(F.lit("Диван Divan.ru Слипсон Вельвет Зеленый "), F.floor("o_totalprice").cast("string"), F.lit("₽")), F.concat(F.lit("Цвет стен RAL "), (F.col("o_custkey") % 9000 + 1000).cast("string")), F.lit("Стол OZON Арт. 1550292417 14 157₽"))
     posts = own.select(F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").cast("string").alias("date"), line.alias("text"), F.lit("all_text").alias("source_scope"), F.lit(None).cast("string").alias("first_photo_path"))
     return facts.deduplicate_facts(facts.extract_facts(posts)).select("message_id", "category", "item_type", "vendor_normalized", "model", "material", "color", "color_code", "price_value", "confidence", "needs_review")
@@ -256,7 +261,7 @@ def fact_confidence(spark, sf_dir):
   ELSE CASE WHEN d.lang NOT IN ('en', 'de') THEN 'outside_categories' WHEN d.n_chars < 200 THEN 'below_min_confidence' END END AS exclusion_reason FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def effective_filter(spark, sf_dir):
     """Facts under reviews: the first reason that excludes them."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     own = docs.select(F.col("doc_id").alias("id"), F.lit("2024").alias("date"), F.when(F.col("lang").isin("en", "de"), "sofas").otherwise("garden").alias("category"), F.lit("sofa").alias("item_type"), F.lit("evidence 10₽").alias("evidence_quote"), F.when(F.col("n_chars") < 200, "low").otherwise("high").alias("confidence"), F.lit(False).alias("needs_review"), *(F.lit(None).cast("decimal(12,2)" if n == "price_value" else "string").alias(n) for n in ("vendor_raw", "vendor_normalized", "brand_raw", "brand_normalized", "model", "material", "finish", "color", "color_code", "article_id", "marketplace", "price_value", "price_unit", "price_currency", "room_context")))
     decision = F.when(F.col("toxic") == 1, "discard").when(F.col("quality") == 0, "needs_human").otherwise("keep")
     corrected = F.struct(*((F.lit("sofas") if n == "category" else F.lit(None)).cast("double" if n == "price_value" else "string").alias(n) for n in review.CORRECTED))
@@ -407,7 +412,7 @@ def top_values(spark, sf_dir):
 @query()
 def nearest_span(spark, sf_dir):
     """Keyword spans of documents and the nearest brand word in their line."""
-    every = spans.annotate(table(spark, sf_dir, "documents"), [("code", "version", r"\b\d\.\d\b"), ("code", "number", r"\b\d+\b"), ("brand", "license", r"\blicensed?\b"), ("brand", "released", r"\breleased\b")], ("code",), "doc_id", "text")
+    every = spans.annotate(table(spark, sf_dir, "documents", spread=True), [("code", "version", r"\b\d\.\d\b"), ("code", "number", r"\b\d+\b"), ("brand", "license", r"\blicensed?\b"), ("brand", "released", r"\breleased\b")], ("code",), "doc_id", "text")
     unit = lambda kind: spans.inside_unit(every.where(F.col("kind") == kind), every, "line")
     return spans.nearest(unit("code"), unit("brand").select("message_id", "unit_start", "start", "end", "name"), ("message_id", "unit_start")).select("message_id", "name", "start", "end", "nearest")
 
@@ -470,7 +475,7 @@ def token_index(spark, sf_dir):
     """Posting sizes of a full-text index (K2)."""
     from ..sinks import token_postings
 
-    return token_postings(table(spark, sf_dir, "documents"), "doc_id", "text").groupBy("token").agg(F.count("*").alias("documents"))
+    return token_postings(table(spark, sf_dir, "documents", spread=True), "doc_id", "text").groupBy("token").agg(F.count("*").alias("documents"))
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY ALL")
