@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import operator_queries  # noqa: F401  its queries register themselves
 from .plans.queries import QUERIES, SQL
 
 FLAGSHIP = "rule_score_topk"
