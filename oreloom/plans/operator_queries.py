@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse as P
 from ..functions import text as T
-from ..operators import candidates, canonical, facts, links, mentions, projects, ranking, rankings, reporting, spans
+from ..operators import candidates, canonical, effective, facts, links, mentions, projects, ranking, rankings, reporting, review, sampling, spans
 from .queries import query, table
 
 def _none() -> Column:
@@ -337,3 +337,107 @@ def fact_assembly(spark, sf_dir):
     posts = own.select(F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").cast("string").alias("date"), line.alias("text"), F.lit("all_text").alias("source_scope"), _none().alias("first_photo_path"))
     out = facts.deduplicate_facts(facts.extract_facts(posts))
     return out.select("message_id", "category", "item_type", F.col("vendor_normalized").alias("vendor"), "color_code", "article_id", F.col("price_value").cast("long").alias("price"), "confidence")
+
+
+@query("""SELECT o_orderkey AS message_id, unnest(['chairs', 'flooring', 'hallway', 'kitchens', 'living_room_furniture']) AS category, unnest(['dining_chair', 'flooring_laminate', 'mirror', 'backsplash', 'chest']) AS item_type,
+  unnest([CAST(5000 + o_orderkey % 1000 AS BIGINT), NULL, 3990, 2990, 7990]) AS price, unnest([NULL, CAST(10000 + o_custkey AS VARCHAR), NULL, NULL, NULL]) AS article_id FROM orders""")
+def product_extractors(spark, sf_dir):
+    """Chairs, flooring, hallway, kitchen and living-room facts."""
+    own = table(spark, sf_dir, "orders", spread=True)
+    line = F.concat_ws("\n\n", F.concat(F.lit("Обеденный стул Loft "), (5000 + F.col("o_orderkey") % 1000).cast("string"), F.lit("₽")), F.concat(F.lit("Ламинат Север Арт. "), (10000 + F.col("o_custkey")).cast("string")), F.lit("Зеркало в прихожей 3 990₽"), F.lit("Фартук Kerama 2 990₽"), F.lit("Комод Malm 7 990₽"))
+    posts = own.select(F.col("o_orderkey").alias("message_id"), F.col("o_orderdate").cast("string").alias("date"), line.alias("text"), F.lit("all_text").alias("source_scope"), _none().alias("first_photo_path"))
+    return facts.deduplicate_facts(facts.extract_facts(posts)).select("message_id", "category", "item_type", F.col("price_value").cast("long").alias("price"), "article_id")
+
+
+@query("""SELECT o_orderkey, 'Слипсон ' || o_custkey AS model, 'Вельвет' AS material, 'Зеленый' AS color FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'Слипсон ' || o_custkey, NULL, NULL FROM orders WHERE o_orderkey % 2 = 1""")
+def descriptor_fields(spark, sf_dir):
+    """Model, material and colour of what is said behind a keyword."""
+    text = F.concat(F.lit("Диван Слипсон "), F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, " Вельвет Зеленый 10 000₽").otherwise(" Арт. 1550292417"))
+    own = table(spark, sf_dir, "orders", spread=True).select("o_orderkey", P.model_material_color(P.descriptor(P.descriptor_text(text), ("диваны", "диван"))).alias("m"))
+    return own.select("o_orderkey", "m.model", "m.material", "m.color")
+
+
+@query("""SELECT o_orderkey AS message_id, unnest(['RAL ' || (1000 + o_custkey % 9000), 'G' || (100 + o_custkey % 900)]) AS color_code, unnest(['Tikkurila', NULL]) AS manufacturer, CASE WHEN o_orderkey % 2 = 0 THEN 'high' ELSE 'low' END AS link_confidence FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT o_orderkey, 'RAL ' || (1000 + o_custkey % 9000), 'Tikkurila', CASE WHEN o_orderkey % 2 = 0 THEN 'high' ELSE 'low' END FROM orders WHERE o_orderstatus = 'F'""")
+def paint_mention_rows(spark, sf_dir):
+    """Paint codes in sentences that speak of walls, with the nearest brand and the message's link."""
+    own = table(spark, sf_dir, "orders", spread=True)
+    ral, g = F.concat(F.lit("RAL "), (1000 + F.col("o_custkey") % 9000).cast("string")), F.concat(F.lit("G"), (100 + F.col("o_custkey") % 900).cast("string"))
+    said = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Шкаф "), g, F.lit("."))).otherwise(F.concat(F.lit("Стены цвет "), g, F.lit(".")))
+    text = F.concat(F.lit("Краска Tikkurila "), ral, F.lit(".\n"), said, F.lit("\nКраска Tikkurila "), ral, F.lit("."))
+    links_ = own.select(F.col("o_orderkey").alias("message_id"), F.col("o_custkey").alias("project_id"), _key("k", "o_custkey").alias("project_key"), _none().alias("project_name"), F.lit("same_message").alias("link_method"), F.when(F.col("o_orderkey") % 2 == 0, "high").otherwise("low").alias("link_confidence"))
+    return mentions.paint_mentions(own.select(F.col("o_orderkey").alias("message_id"), text.alias("text_plain")), links_).select("message_id", "color_code", "manufacturer", "link_confidence")
+
+
+@query("""WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang) SELECT lang, CAST(least(n, 8) AS BIGINT) AS n FROM c""")
+def strata_counts(spark, sf_dir):
+    """Rows drawn of each stratum (P2): the counts are checked, the rows follow a hash."""
+    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
+    return sampling.stratified(own, F.col("lang"), 32, 42).groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CASE WHEN l_tax > 0.06 THEN 'discard' WHEN l_tax > 0.03 THEN 'fix' ELSE 'keep' END AS decision, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS category_correct, count(*) FILTER (l_linenumber > 3) AS retried, count(*) FILTER (l_linenumber % 2 = 0) AS recovered, count(*) FILTER (l_linenumber % 2 = 1) AS invalid FROM lineitem GROUP BY 1""")
+def review_summary(spark, sf_dir):
+    """Reviews by decision: flags, retries and statuses."""
+    c = F.col
+    flags = [(c("l_returnflag") == "R").alias(f) for f in review.FLAGS]
+    own = table(spark, sf_dir, "lineitem").select(F.when(c("l_tax") > 0.06, "discard").when(c("l_tax") > 0.03, "fix").otherwise("keep").alias("decision"), *flags, F.when(c("l_linenumber") > 3, 1).otherwise(0).alias("retry_count"), F.when(c("l_linenumber") % 2 == 0, "recovered").otherwise("invalid").alias("status"))
+    return review.summary(own).select("decision", "n", "category_correct", "retried", "recovered", "invalid")
+
+
+@query("""SELECT d.doc_id, CASE WHEN trim(coalesce(substr(d.text, 1, 60), '')) <> '' AND d.doc_id % 3 <> 0 THEN trim(substr(d.text, 1, 60)) ELSE 'quote ' || d.doc_id END AS excerpt, '{"category":"' || lang || '","message_id":"' || doc_id || '"}' AS fact_json FROM documents d""")
+def review_plan(spark, sf_dir):
+    """Facts with the beginning of their post, else their quote, and their JSON."""
+    own = table(spark, sf_dir, "documents")
+    facts_ = own.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("message_id"), F.col("lang").alias("category"), F.concat(F.lit("quote "), F.col("doc_id").cast("string")).alias("evidence_quote"))
+    planned = review.plan(facts_, own.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("message_id"), "text"), 60, ("category", "message_id"))
+    return planned.select(F.col("id").alias("doc_id"), "excerpt", "fact_json")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'ЖК Север ' || o_custkey WHEN 1 THEN 'ул. Мира ' || o_custkey ELSE 'Пост от 2024-01-02, message_id=' || o_orderkey END AS name, CASE o_orderkey % 3 WHEN 0 THEN 'complex' WHEN 1 THEN 'street' ELSE 'fallback_post_id' END AS source, CASE WHEN o_orderkey % 2 = 0 THEN 'Казань' END AS city FROM orders""")
+def object_names(spark, sf_dir):
+    """The object and city that a post shows."""
+    k = F.col("o_orderkey")
+    n = F.col("o_custkey").cast("string")
+    head = F.when(k % 3 == 0, F.concat(F.lit("#ЖК Север "), n, F.lit(" | 60 м²"))).when(k % 3 == 1, F.concat(F.lit("ул. Мира "), n)).otherwise("Новый пост")
+    text = F.concat(head, F.when(k % 2 == 0, "\nКазань").otherwise("\nгород"))
+    own = table(spark, sf_dir, "orders", spread=True).select(k, projects.object_name(text, F.lit("2024-01-02T10:00:00"), k).alias("o"), projects.city(text).alias("city"))
+    return own.select("o_orderkey", "o.name", "o.source", "city")
+
+
+@query("""SELECT o_orderkey, o_orderkey % 2 = 0 AS numbers, o_orderkey % 3 = 0 AS code FROM orders""")
+def evidence_support(spark, sf_dir):
+    """Whether numbers and codes stand in a quote as such."""
+    k = F.col("o_orderkey")
+    quote = F.concat(F.lit("Диван 1"), (10000 + k).cast("string"), F.when(k % 2 == 0, F.concat(F.lit(" цена "), (10000 + k).cast("string"), F.lit("₽"))).otherwise(""), F.when(k % 3 == 0, " RAL 7047").otherwise(" RAL 70471"))
+    own = table(spark, sf_dir, "orders").select(k, quote.alias("q"))
+    return own.select("o_orderkey", F.coalesce(effective.number_supported((10000 + k).cast("double"), F.col("q")), F.lit(False)).alias("numbers"), F.exists(P.color_codes(F.col("q")), lambda c: mentions.paint_code(c) == "RAL 7047").alias("code"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '64 990 ₽/шт' ELSE '5 ₽' END AS price, '1996-01-02' AS day, CASE o_orderkey % 3 WHEN 0 THEN '512 B' WHEN 1 THEN '1.5 KB' ELSE '2.0 MB' END AS size FROM orders""")
+def format_values(spark, sf_dir):
+    """Prices, days and sizes as reports write them."""
+    k = F.col("o_orderkey")
+    own = table(spark, sf_dir, "orders")
+    price = T.format_price(F.when(k % 2 == 0, F.lit(64990)).otherwise(F.lit(5)), F.lit("RUB"), F.when(k % 2 == 0, "шт"))
+    size = T.format_bytes(F.when(k % 3 == 0, F.lit(512)).when(k % 3 == 1, F.lit(1536)).otherwise(F.lit(2 << 20)))
+    return own.select("o_orderkey", price.alias("price"), T.format_day(F.lit("1996-01-02T10:00:00")).alias("day"), size.alias("size"))
+
+
+def _reviewed(spark, sf_dir) -> DataFrame:
+    own, k = table(spark, sf_dir, "orders", spread=True), F.col("o_orderkey")
+    text = {"evidence_quote": F.lit("Диван Слипсон Вельвет 14 990₽"), "category": F.lit("sofas"), "item_type": F.lit("sofa"), "model": F.when(k % 10 != 1, "Слип"), "confidence": F.when(k % 2 == 0, "high").otherwise("low")}
+    names = ("vendor_raw", "vendor_normalized", "brand_raw", "brand_normalized", "material", "finish", "color", "color_code", "article_id", "marketplace", "price_unit", "price_currency", "promo_code", "room_context", "project_name", "item_name", "notes", "first_photo_path")
+    rows = own.select(k.alias("id"), F.lit("2024").alias("date"), *(v.alias(n) for n, v in text.items()), F.lit(False).alias("needs_review"), F.lit(None).cast("decimal(12,2)").alias("price_value"), *(_none().alias(n) for n in names))
+    model = F.when(k % 5 == 0, "Слипсон").when(k % 5 == 1, "Вымысел")
+    price = F.when(k % 5 == 2, 14990.0).when(k % 5 == 3, 990.0)
+    corrected = F.struct(*(model.alias(n) if n == "model" else price.alias(n) if n == "price_value" else F.lit(None).cast("string").alias(n) for n in review.CORRECTED))
+    terms = F.struct(*(F.lit(None).cast("array<string>" if n == "facade_materials" else "string").alias(n) for n in review.TERMS))
+    reviews = own.where("o_orderkey % 5 <> 4").select(k.alias("fact_id"), F.lit("fix").alias("decision"), *(F.lit(f.endswith("_correct")).alias(f) for f in review.FLAGS), F.lit(True).alias("price_correct"), corrected.alias("corrected"), terms.alias("normalized_terms"), F.lit("ok").alias("rationale_short"), F.lit("high").alias("confidence"))
+    return effective.build(rows, reviews)
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 3 OR o_orderkey % 10 = 1 THEN 'review_fix_not_coherent' WHEN o_orderkey % 5 = 4 AND o_orderkey % 2 = 1 THEN 'below_min_confidence' END AS exclusion_reason, CASE WHEN o_orderkey % 5 = 0 THEN 'Слипсон' WHEN o_orderkey % 10 <> 1 THEN 'Слип' END AS model, CAST(CASE WHEN o_orderkey % 5 = 2 THEN 14990 END AS BIGINT) AS price FROM orders""")
+def review_overlay(spark, sf_dir):
+    """Corrections that the evidence bears out take the place of a fact's values; a fix that it does not is left out."""
+    return _reviewed(spark, sf_dir).select("id", "exclusion_reason", F.col("e_model").alias("model"), F.col("e_price_value").cast("long").alias("price"))
