@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sinks
+from . import rules, sinks
+from .functions.text import post_url
 from .operators import candidates, canonical, effective, facts, links, mentions, projects, rankings, reporting, review, sampling
 from .sources import archive
 
@@ -75,6 +76,10 @@ def extract(spark: SparkSession, a) -> dict:
     own = facts.with_ids(facts.deduplicate_facts(facts.extract_facts(posts, a.owner))).drop("ord")
     sinks.write_facts(own, a.out)
     written = sinks.read_facts(spark, a.out)
+    for folder, rows in (("all", written), ("clean", written.where("not needs_review")), ("needs_review", written.where("needs_review"))):
+        for c in rules.STRICT:
+            columns = ("id", "date", "item_type", "vendor_normalized", "model", "material", "color", "color_code", "price_value", "confidence", "notes", "evidence_quote")
+            sinks.write_markdown(spark, f"{a.out}/categories/{folder}/{c}.md", f"{c}: {folder}", {"Facts": rows.where(F.col("category") == c).orderBy("id").select(*columns)}, 200, f"facts_csv, category {c}")
     sinks.write_report(spark, f"{a.out}/facts.md", "Facts", {"Categories": reporting.fact_summary(written), "Values": reporting.top_values(written), "Reasons for review": reporting.review_signals(written)}, 2000)
     return {"facts": written.count(), "clean": written.where("not needs_review").count()}
 
@@ -92,12 +97,21 @@ def model_review(spark: SparkSession, a) -> dict:
     handler = review.mock_handler if a.provider == "mock" else review.http_handler(a.base_url, a.model, a.timeout)
     if a.provider != "mock":
         try:
-            handler("ping", "ping")
+            review.probe(a.base_url)
         except OSError as e:
             raise ConnectionError(str(e)) from e
     review.run(planned, handler, a.provider, a.model, a.strict_json).write.mode("append" if a.resume else "overwrite").parquet(f"{a.out}/reviews")
     done = spark.read.parquet(f"{a.out}/reviews")
-    sinks.write_report(spark, f"{a.out}/reviews.md", "Reviews", {"Decisions": review.summary(done)})
+    latest = review.latest(done)
+    sinks.write_report(spark, f"{a.out}/reviews.md", "Reviews", {"Decisions": review.summary(done), "Categories": review.by_category(latest, own), "Corrected fields": review.corrected_fields(latest)})
+    sinks.write_csv(done, f"{a.out}/reviews_csv")
+    sinks.write_jsonl(done, f"{a.out}/reviews_jsonl")
+    rows = latest.join(own.select(F.col("id").alias("fact_id"), "category", "item_type", "evidence_quote"), "fact_id").select("fact_id", "category", "item_type", "decision", "rationale_short", "evidence_quote")
+    for name, values in (("decision", review.DECISIONS), ("category", rules.STRICT)):
+        for v in values:
+            sinks.write_markdown(spark, f"{a.out}/by_{name}/{v}.md", v, {"Reviews": rows.where(F.col(name) == v).orderBy("fact_id")}, 200, "reviews_csv")
+    sinks.write_text(spark, f"{a.out}/prompt_templates/system.txt", review.SYSTEM_PROMPT)
+    sinks.write_text(spark, f"{a.out}/prompt_templates/user.txt", review.USER_PROMPT)
     return {"reviews": done.count()}
 
 
@@ -111,7 +125,15 @@ def report(spark: SparkSession, a) -> dict:
     used = effective.used(dataset)
     sinks.write_csv(used, f"{a.out}/used_csv")
     sinks.write_csv(dataset.where("exclusion_reason is not null"), f"{a.out}/excluded_csv")
-    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": effective.counters(dataset)} | reporting.value_sections(used, a.top), 1000)
+    counters, reliable = effective.counters(dataset), reporting.reliability(dataset)
+    sections = reporting.value_sections(used, a.top)
+    sinks.write_report(spark, f"{a.out}/report.md", "Facts in use", {"Counters": counters, "Reliability": reliable} | sections | {"To review by hand": reporting.to_review(dataset)}, 1000)
+    for c in rules.STRICT:
+        sinks.write_markdown(spark, f"{a.out}/category_sections/{c}.md", c, reporting.category_sections(used, c, a.top), 1000, "used_csv")
+    short = {"Values": reporting.display_counts(reporting.kept_in_sections(used), 5).orderBy("e_category", "place"), "Wood and neutral": sections["Wood and neutral"], "Suppliers": sections["Suppliers"].select("e_vendor", "facts", "categories")}
+    sinks.write_markdown(spark, f"{a.out}/report_short.md", "In short", short, 200, "report_tables")
+    sinks.write_markdown(spark, f"{a.out}/report_summary.md", "Summary", {"Reliability": reliable, "Counters": counters}, 200, "report_tables")
+    sinks.write_markdown(spark, f"{a.out}/quality_notes.md", "Quality notes", {"Not shown": sections["Not shown"], "To review by hand": reporting.to_review(dataset)}, 1000, "report_tables")
     return {"used": used.count()}
 
 
@@ -122,9 +144,19 @@ def palette(spark: SparkSession, a) -> dict:
     sinks.write_tables({"projects": out}, a.out)
     out = spark.read.parquet(f"{a.out}/projects")
     sinks.write_csv(out, f"{a.out}/projects_csv")
+    sinks.write_csv(out.where("selected"), f"{a.out}/selected_csv")
+    sinks.write_jsonl(out, f"{a.out}/projects_jsonl")
+    todo = out.select("project_id", F.array_join(F.transform("source_ids", lambda x: x.cast("string")), ";").alias("source_ids"), post_url(a.channel, F.col("project_id")).alias("candidate_url"), F.lit("to check").alias("status"))
+    sinks.write_csv(todo, f"{a.out}/link_todo_csv")
     copies = sinks.copy_photos(out.where("selected"), f"{a.out}/photos")
+    sheet = sinks.contact_sheet([f.removeprefix("file://") for p, files in sorted(copies.items()) for f in files], f"{a.out}/contact_sheet.jpg")
     listed = "\n".join(f"* {p}: {', '.join(files)}" for p, files in sorted(copies.items())) or "none"
-    sinks.write_report(spark, f"{a.out}/palettes.md", "Palettes", {"Selected": out.where("selected"), "Photos": listed, "Excluded": out.where("not selected").groupBy("exclusion_reason").count()})
+    sinks.write_report(spark, f"{a.out}/palettes.md", "Palettes", {"Selected": out.where("selected"), "Photos": listed, "Contact sheet": "contact_sheet.jpg" if sheet else "none", "Excluded": out.where("not selected").groupBy("exclusion_reason").count().orderBy(F.desc("count"), "exclusion_reason")})
+    families = out.where("selected and palette = 'wood_neutral'").groupBy(rankings.wood_subfamily(F.concat_ws(" ", "facade", "countertop", "backsplash")).alias("family")).count().orderBy(F.desc("count"), "family")
+    short = out.where("selected").select("palette", "project_id", "object.name", "summary_clean").orderBy("palette", "project_id")
+    sinks.write_markdown(spark, f"{a.out}/palettes_short.md", "Palettes in short", {"Selected": short, "Wood and neutral": families}, 100, "projects_csv")
+    tiers = out.groupBy("palette", "quality_tier").count().orderBy("palette", "quality_tier")
+    sinks.write_markdown(spark, f"{a.out}/quality_notes.md", "Quality notes", {"Tiers": tiers, "Excluded": out.where("not selected").groupBy("exclusion_reason", "quality_tier").count().orderBy("exclusion_reason", "quality_tier")}, 200, "projects_csv")
     return {"projects": out.count()}
 
 
@@ -153,6 +185,19 @@ def index(spark: SparkSession, a) -> dict:
         sections |= {"Merchants": rankings.merchant_counts(written["appliances"]), "Appliances": written["appliances"].groupBy("appliance_type", "evidence_class").count()}
     if "makers" in written:
         sections["Makers"] = rankings.makers(written["makers"])
+    reports = {"paints": ("Paints", "Shades"), "appliances": ("Merchants", "Appliances"), "makers": ("Makers",)}
+    order = {"paints": ("message_id", "start"), "appliances": ("message_id",), "makers": ("classification", "maker_name", "message_id")}
+    for n, t in written.items():
+        sinks.write_csv(t.orderBy(*order[n]), f"{a.out}/{n}_csv")
+        sinks.write_markdown(spark, f"{a.out}/{n}.md", n.capitalize(), {s: sections[s] for s in reports[n]}, 1000, "index_tables")
+    if "paints" in written:
+        kitchens = rankings.kitchen_paints(built.select("project_id", "date", F.col("object.name").alias("object"), "facade", "wall_color"), written["paints"], found)
+        sinks.write_tables({"kitchen_wall_colors": kitchens}, a.out)
+        kitchens = spark.read.parquet(f"{a.out}/kitchen_wall_colors")
+        sinks.write_csv(kitchens, f"{a.out}/kitchen_wall_colors_csv")
+        sinks.write_markdown(spark, f"{a.out}/kitchen_wall_colors.md", "Kitchens and wall paints", {"With paints": kitchens.where("size(paint_codes) > 0"), "Counts": kitchens.groupBy((F.size("paint_codes") > 0).alias("with_paints")).count()}, 1000, "kitchen_wall_colors")
+    checks = entities.select("message_id", "entity_type", "visible_text", "href", mentions.host(F.col("href")).alias("host"), F.lit("to check").alias("status")).where("href is not null").dropDuplicates(["message_id", "href"]).orderBy("message_id", "href")
+    sinks.write_csv(checks, f"{a.out}/link_validation_csv")
     if written:
         seen = rankings.record_types(**written)
         sinks.write_csv(found.join(seen, "message_id", "left_semi").where("link_confidence <> 'high'"), f"{a.out}/link_review_csv")

@@ -135,7 +135,7 @@ def build(facts: DataFrame, reviews: DataFrame, min_confidence: str = "medium",
 def _overlay(own: DataFrame, r, fix, evidence: Column) -> DataFrame:
     """The effective fields: a correction that the evidence bears out, else the fact's own value."""
     is_spc = lambda v: F.coalesce(F.lower(v) == "spc", F.lit(False))
-    own = own.withColumns({"_vendor": normalize_vendor(F.coalesce("vendor_normalized", "vendor_raw")), "_new_vendor": normalize_vendor(F.col("_c_vendor"))})
+    own = own.withColumns({"_vendor": normalize_vendor(F.coalesce("vendor_normalized", "vendor_raw"), rules.REPORT_VENDORS), "_new_vendor": normalize_vendor(F.col("_c_vendor"), rules.REPORT_VENDORS)})
     spc = is_spc(F.col("_vendor")) | is_spc(F.col("_new_vendor"))
     keep = lambda n: F.when(F.col(f"_ok_{n}"), F.col(f"_fix_{n}" if f"_fix_{n}" in own.columns else f"_term_{n}"))
     category = F.col("_target")
@@ -153,7 +153,7 @@ def _overlay(own: DataFrame, r, fix, evidence: Column) -> DataFrame:
     hide = lambda c: F.when(price_ok, c)
     own = own.withColumns({
         "e_category": category, "e_item_type": F.coalesce("_c_type", "item_type"), "e_vendor": vendor, "e_brand": brand, "e_model": F.coalesce(keep("model"), F.col("model")), "e_material": material, "e_finish": facade_finish(finish),
-        "e_color": F.coalesce(F.when(sofa, keep("sofa_color")), keep("color"), F.col("color")), "e_color_code": wall_code(code), "e_article_id": F.coalesce(keep("article_id"), F.col("article_id")), "e_marketplace": normalize_vendor(F.col("marketplace")),
+        "e_color": F.coalesce(F.when(sofa, keep("sofa_color")), keep("color"), F.col("color")), "e_color_code": wall_code(code), "e_article_id": F.coalesce(keep("article_id"), F.col("article_id")), "e_marketplace": normalize_vendor(F.col("marketplace"), rules.REPORT_VENDORS),
         "e_price_value": hide(price), "e_price_unit": hide(F.coalesce(fix("price_unit"), F.col("price_unit"))), "e_price_currency": hide(F.col("price_currency")), "e_price_reliable": price_ok, "e_room_context": F.coalesce(fix("room_context"), F.col("room_context")),
         "e_note": F.concat_ws("; ", F.when(r("decision") == "fix", F.concat(F.lit("fix: "), F.coalesce(r("rationale_short"), F.lit("")))), F.when(~price_ok, F.lit("price hidden: marked as unreliable by review"))),
     })

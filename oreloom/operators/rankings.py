@@ -87,6 +87,18 @@ def best_links(links: DataFrame) -> DataFrame:
     return own.groupBy("project_key").agg(F.min_by(F.struct(*rest), F.struct(priority.alias("p"), "message_id")).alias("l")).select("project_key", "l.*")
 
 
+def kitchen_paints(projects: DataFrame, paints: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Kitchen projects (project_id) with the codes, shades and messages of the paints linked to them, in order of first
+    mention; projects without one stay, with empty lists. ``links`` adds the method of a project's best link."""
+    order = F.struct("message_id", "start")
+    own = high_confidence(paints).groupBy("project_key").agg(_examples(F.coalesce("color_code", "product_line"), order, 100).alias("paint_codes"), _examples(F.when(F.col("shade_family") != "other", F.col("shade_family")), order, 100).alias("shades"), F.array_sort(F.collect_set("message_id")).alias("paint_messages"))
+    out = projects.withColumn("project_key", F.concat(F.lit("telegram:"), F.col("project_id").cast("string"))).join(own, "project_key", "left")
+    out = out.withColumns({c: F.coalesce(c, F.array().cast(k)) for c, k in (("paint_codes", "array<string>"), ("shades", "array<string>"), ("paint_messages", "array<bigint>"))})
+    if links is not None:
+        out = out.join(best_links(links.select("project_key", "message_id", "link_method")).select("project_key", F.col("link_method").alias("best_link")), "project_key", "left")
+    return out.orderBy((F.size("paint_codes") > 0).desc(), F.coalesce("date", F.lit("")).desc(), F.desc("project_id"))
+
+
 # Sub-families of wood and neutral palettes in order.
 WOOD = (("wood_cappuccino", ("капучино",)), ("wood_cashmere", ("кашемир",)), ("wood_latte", ("латте",)), ("wood_milk_offwhite", ("молоч", "меренг", "бел", "тальк", "нубук")), ("wood_light_greige", ("грейдж", "greige", "теплый сер", "светло-сер")), ("wood_beige", ("беж", "крем", "песоч")))
 

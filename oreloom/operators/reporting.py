@@ -77,12 +77,20 @@ def suppressed(used: DataFrame) -> DataFrame:
 
 
 def suppliers(used: DataFrame, k: int = 3) -> DataFrame:
-    """By vendor: facts, its k commonest categories and item types, and two quotes."""
+    """By vendor: facts, its k commonest categories and item types, two quotes, and its k commonest items: the values a
+    report may show, where it has none the item types."""
     own = used.where("e_vendor is not null")
     top = lambda c, name: ranking.top_k(own.groupBy("e_vendor", F.col(c).alias(name)).agg(F.count("*").alias("n")), ["e_vendor"], [F.desc("n"), F.asc(name)], k).groupBy("e_vendor").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", name))), lambda x: x[name]), "; ").alias(name))
     quotes = ranking.top_k(own.select("e_vendor", "id", "evidence_quote"), ["e_vendor"], [F.desc("id")], 2).groupBy("e_vendor").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "evidence_quote"))), lambda x: x["evidence_quote"]).alias("quotes"))
     total = own.groupBy("e_vendor").agg(F.count("*").alias("facts"))
-    return total.join(top("e_category", "categories"), "e_vendor").join(top("e_item_type", "item_types"), "e_vendor").join(quotes, "e_vendor").orderBy(F.desc("facts"), "e_vendor")
+    shown = own.withColumn("value", F.when(display_value(primary(), F.col("e_category"), F.col("e_item_type")), compact(primary()))).where("value is not null")
+    values = ranking.top_k(shown.groupBy("e_vendor", "value").agg(F.count("*").alias("n")), ["e_vendor"], [F.desc("n"), F.asc("value")], k).groupBy("e_vendor").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "; ").alias("_values"))
+    out = _rolled(total, top, quotes).join(values, "e_vendor", "left")
+    return out.withColumn("items", F.coalesce("_values", F.nullif("item_types", F.lit("")), "categories")).drop("_values").orderBy(F.desc("facts"), "e_vendor")
+
+
+def _rolled(total: DataFrame, top, quotes: DataFrame) -> DataFrame:
+    return total.join(top("e_category", "categories"), "e_vendor").join(top("e_item_type", "item_types"), "e_vendor").join(quotes, "e_vendor")
 
 
 def wood_and_neutral(used: DataFrame) -> DataFrame:
@@ -113,9 +121,37 @@ def hallway_keep() -> Column:
     return F.coalesce(F.lower("e_item_type") != "bundle_purchase", F.lit(True))
 
 
+def kept_in_sections(used: DataFrame) -> DataFrame:
+    """Facts in use that their section shows: living-room and hallway facts pass their section's filter."""
+    c = F.col("e_category")
+    return used.where(F.when(c == "living_room_furniture", living_room_keep()).when(c == "hallway", hallway_keep()).otherwise(F.lit(True)))
+
+
+def category_sections(used: DataFrame, category: str, n: int = 15, k: int = 12) -> dict[str, DataFrame]:
+    """The tables of one category: commonest values, vendors, and the best examples."""
+    own = kept_in_sections(used.where(F.col("e_category") == category))
+    vendors = ranking.histogram(own, F.col("e_vendor"), n)
+    return {"Values": display_counts(own, n).orderBy("place").select("place", "value", "n"), "Vendors": vendors, "Examples": examples(own, category, k).select("id", "date", "e_item_type", "e_vendor", primary().alias("value"), "e_price_value", "evidence_quote")}
+
+
+def reliability(dataset: DataFrame) -> DataFrame:
+    """One row: facts in all and in use, reviewed ones, fixes taken over, prices hidden by a review, values not shown."""
+    on = F.col("exclusion_reason").isNull()
+    shown = display_value(primary(), F.col("e_category"), F.col("e_item_type"))
+    n = F.count_if
+    return dataset.agg(F.count("*").alias("facts"), n(on).alias("used"), n(on & F.col("reviewed")).alias("used_reviewed"), n(on & (F.col("decision") == "fix")).alias("fixes"), n(on & ~F.coalesce("e_price_reliable", F.lit(True))).alias("hidden_prices"), n(on & ~shown).alias("hidden_values"))
+
+
+def to_review(dataset: DataFrame) -> DataFrame:
+    """Facts that a person has to look at: by category and reason."""
+    own = dataset.where(F.col("exclusion_reason").isin("needs_review_without_review", "review_needs_human", "review_unknown_decision", "review_fix_not_coherent"))
+    return own.groupBy("category", "exclusion_reason").agg(F.count("*").alias("n")).orderBy("category", F.desc("n"), "exclusion_reason")
+
+
 def value_sections(used: DataFrame, n: int = 15) -> dict[str, DataFrame]:
     """``n``: values shown of each category."""
-    return {"Values": display_counts(used, n).orderBy("e_category", "place"), "Suppliers": suppliers(used), "Not shown": suppressed(used)}
+    own = kept_in_sections(used)
+    return {"Values": display_counts(own, n).orderBy("e_category", "place"), "Wood and neutral": wood_and_neutral(used), "Suppliers": suppliers(used), "Not shown": suppressed(used)}
 
 
 def fact_summary(facts: DataFrame) -> DataFrame:

@@ -116,6 +116,25 @@ def mock_handler(system: str, prompt: str) -> str:
     return json.dumps({"decision": "keep", "category_correct": True, "item_type_correct": True, "price_correct": None, "is_bundle": False, "is_context_false_positive": False, "is_non_target_room": False, "corrected": {}, "normalized_terms": {}, "rationale_short": "ok", "confidence": "high"})
 
 
+class Recorder:
+    """A handler that answers like another one and keeps what it was asked, in ``calls``."""
+
+    def __init__(self, handler: Handler = mock_handler):
+        self.handler, self.calls = handler, []
+
+    def __call__(self, system: str, prompt: str) -> str:
+        self.calls.append((system, prompt))
+        return self.handler(system, prompt)
+
+
+def probe(url: str, timeout: float = 5.0) -> None:
+    """Asks an endpoint for its models; OSError if it does not answer in time."""
+    import urllib.request
+
+    with urllib.request.urlopen(f"{url.rstrip('/')}/models", timeout=timeout) as answer:
+        answer.read()
+
+
 def http_handler(url: str, model: str, timeout: float = 120.0, temperature: float = 0.0) -> Handler:
     """A handler that posts to an endpoint of the common chat-completion form."""
     import urllib.request
@@ -197,4 +216,17 @@ def summary(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("decision").agg(F.count("*").alias("n"), *(n(F.col(f)).alias(f) for f in FLAGS), n(F.col("retry_count") > 0).alias("retried"), n(F.col("status") == "recovered").alias("recovered"), n(F.col("status") == "invalid").alias("invalid"))
 
 
-__all__ = ["latest", "mock_handler", "http_handler", "parse", "payload_error", "pending", "plan", "run", "summary", "truncate", "validate"]
+def by_category(reviews: DataFrame, facts: DataFrame) -> DataFrame:
+    """Counts by category of the fact and decision."""
+    own = reviews.join(facts.select(F.col("id").alias("fact_id"), "category"), "fact_id")
+    return own.groupBy("category", "decision").agg(F.count("*").alias("n")).orderBy("category", "decision")
+
+
+def corrected_fields(reviews: DataFrame) -> DataFrame:
+    """How many reviews correct each field: by count descending, then name."""
+    given = F.array(*(F.when(F.trim(F.col(f"corrected.{n}").cast("string")) != "", F.lit(n)) for n in CORRECTED))
+    own = reviews.select(F.explode(F.filter(given, lambda x: x.isNotNull())).alias("field"))
+    return own.groupBy("field").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "field")
+
+
+__all__ = ["Recorder", "by_category", "corrected_fields", "probe", "latest", "mock_handler", "http_handler", "parse", "payload_error", "pending", "plan", "run", "summary", "truncate", "validate"]

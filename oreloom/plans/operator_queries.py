@@ -122,10 +122,20 @@ SELECT v AS vendor, (SELECT count(*) FROM j WHERE j.v = x.v) AS facts, (SELECT s
 def supplier_sections(spark, sf_dir):
     """By vendor: facts, commonest categories and item types, two quotes."""
     i = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    own = table(spark, sf_dir, "lineitem").select(_key("s", "l_suppkey").alias("e_vendor"), F.concat(F.lit("c"), (F.col("l_partkey") % 7).cast("string")).alias("e_category"), F.concat("l_returnflag", "l_linestatus").alias("e_item_type"), i.alias("id"), F.concat(F.lit("q"), i.cast("string")).alias("evidence_quote"))
+    own = _used(table(spark, sf_dir, "lineitem"), e_vendor=_key("s", "l_suppkey"), e_category=F.concat(F.lit("c"), (F.col("l_partkey") % 7).cast("string")), e_item_type=F.concat("l_returnflag", "l_linestatus"), id=i, evidence_quote=F.concat(F.lit("q"), i.cast("string")))
     return reporting.suppliers(own).select(F.col("e_vendor").alias("vendor"), "facts", "categories", "item_types", F.array_join("quotes", ";").alias("quotes"))
 
 
+@query("""WITH j AS (SELECT 's' || l_suppkey AS v, 'c' || l_partkey % 7 AS c, CASE WHEN l_suppkey % 3 <> 1 THEN l_returnflag END AS t, CASE WHEN l_suppkey % 3 = 0 THEN 'Слипсон ' || l_linenumber END AS m FROM lineitem), x AS (SELECT v, CASE WHEN m IS NOT NULL THEN m WHEN t IS NOT NULL THEN t ELSE c END AS item FROM j),
+r AS (SELECT v, item, row_number() OVER (PARTITION BY v ORDER BY count(*) DESC, item) AS k FROM x GROUP BY v, item) SELECT v AS vendor, string_agg(item, '; ' ORDER BY k) FILTER (k <= 3) AS items FROM r GROUP BY v""")
+def supplier_items(spark, sf_dir):
+    """The commonest items of a vendor: values that may be shown, else item types, else categories."""
+    k = F.col("l_suppkey") % 3
+    model = F.when(k == 0, F.concat(F.lit("Слипсон "), F.col("l_linenumber").cast("string")))
+    own = _used(table(spark, sf_dir, "lineitem"), e_vendor=_key("s", "l_suppkey"), e_category=F.concat(F.lit("c"), (F.col("l_partkey") % 7).cast("string")), e_item_type=F.when(k != 1, F.col("l_returnflag")), id=F.col("l_orderkey"), evidence_quote=F.lit("q"), e_model=model)
+    return reporting.suppliers(own).select(F.col("e_vendor").alias("vendor"), "items")
+
+
 _USED = ("e_finish", "e_material", "e_color", "e_color_code", "e_article_id", "e_brand", "e_vendor", "e_model")
 
 

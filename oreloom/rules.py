@@ -104,6 +104,22 @@ VENDORS = (
     ("HOFF", (r"hoff(?:_rus)?", r"хофф")),
     ("Moon", (r"moon(?:\s*trade)?", r"муун")),
 )
+# Vendors of reports in order of precedence, each with its aliases.
+REPORT_VENDORS = (
+    ("OZON", (r"ozon", r"озон")),
+    ("Wildberries", (r"wildberries", r"wb", r"вб", r"вайлдберриз")),
+    ("Yandex Market", (r"yandex market", r"яндекс маркет", r"ям")),
+    ("Divan.ru", (r"divan\.ru", r"диван\.ру", r"диван ру", r"official_divan\.ru")),
+    ("Mebel.in", (r"mebel\.in", r"mebel in", r"мебель ин", r"мебель inn")),
+    ("Лемана Про", (r"лемана про", r"лемана")),
+    ("Леруа Мерлен", (r"леруа мерлен", r"леруа")),
+    ("Сантехника Онлайн", (r"сантехника онлайн",)),
+    ("VERESK", (r"veresk", r"вереск")),
+    ("Stoolgroup", (r"stoolgroup", r"stool group")),
+    ("Moon", (r"moon", r"муун")),
+    ("Alpine Floor", (r"alpine floor",)),
+    ("SPC", (r"spc",)),
+)
 MARKETPLACES = ("OZON", "Wildberries", "Yandex Market")
 
 # Words that begin an item, as whole words.

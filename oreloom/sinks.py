@@ -81,10 +81,23 @@ def write_report(spark: SparkSession, path: str, title: str, sections: Mapping[s
         own = name.lower().replace(" ", "_")
         write_tables({own: body}, folder)
         parts.append(markdown_table(body, limit, f"{folder.rsplit('/', 1)[-1]}/{own}"))
+    write_text(spark, path, "\n".join(parts))
+
+
+def write_markdown(spark: SparkSession, path: str, title: str, sections: Mapping[str, DataFrame], limit: int, whole: str) -> None:
+    """A Markdown report whose tables stand whole in ``whole``, another output of the same command."""
+    parts = [f"# {title}\n"]
+    for name, body in sections.items():
+        parts += [f"## {name}\n", markdown_table(body, limit, whole)]
+    write_text(spark, path, "\n".join(parts))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One text file, through Spark's file system."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-    out.write(bytearray("\n".join(parts), "utf-8"))
+    out.write(bytearray(text, "utf-8"))
     out.close()
 
 

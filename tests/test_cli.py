@@ -34,6 +34,20 @@ def test_all_stages(spark, tmp_path, capsys):
     assert run("palettes", *db, *facts, "--channel", "home", "--out", f"{out}/palettes") == 0
     assert run("index-all", *db, *facts, "--channel", "home", "--out", f"{out}/index") == 0
     assert {r.color_code for r in spark.read.parquet(f"{out}/index/paints").collect()} == {"RAL 7047"}
+    read = lambda name: (tmp_path / "out" / name).read_text(encoding="utf-8")
+    for folder in ("all", "clean", "needs_review"):
+        assert "sofas" in read(f"facts/categories/{folder}/sofas.md") and "## Facts" in read(f"facts/categories/{folder}/kitchens.md")
+    assert "keep" in read("review/by_decision/keep.md") and "## Reviews" in read("review/by_category/sofas.md") and "{fact}" in read("review/prompt_templates/user.txt")
+    assert "## Corrected fields" in read("review/reviews.md") and "## Categories" in read("review/reviews.md")
+    assert all(h in read("report/report.md") for h in ("## Reliability", "## Wood and neutral", "## To review by hand")) and "## Suppliers" in read("report/report_short.md") and "## Not shown" in read("report/quality_notes.md")
+    assert all(h in read("report/category_sections/sofas.md") for h in ("## Values", "## Vendors", "## Examples", "Слипсон")) and "## Counters" in read("report/report_summary.md")
+    assert "## Tiers" in read("palettes/quality_notes.md") and "## Wood and neutral" in read("palettes/palettes_short.md") and "## Contact sheet" in read("palettes/palettes.md")
+    assert spark.read.option("header", True).csv(f"{out}/palettes/link_todo_csv").first().candidate_url.startswith("https://t.me/home/")
+    assert spark.read.json(f"{out}/palettes/projects_jsonl").count() == spark.read.parquet(f"{out}/palettes/projects").count()
+    kitchens = {r.project_id: r for r in spark.read.parquet(f"{out}/index/kitchen_wall_colors").collect()}
+    assert kitchens[1].paint_codes == ["RAL 7047"] and kitchens[1].paint_messages == [1]
+    assert all("#" in read(f"index/{n}.md") for n in ("paints", "appliances", "makers", "kitchen_wall_colors", "index"))
+    assert spark.read.option("header", True).csv(f"{out}/index/paints_csv").count() == 2
     assert run("stats", "--db", f"{out}/missing") == 2
     assert run("review", *db, *facts, "--out", out, "--provider", "http", "--base-url", "http://127.0.0.1:9/v1") == 3
 
@@ -85,3 +99,33 @@ def test_stream(spark, tmp_path):
     assert {r.message_id: r.text for r in ingest.read_state(spark, target).collect()} == {1: "c", 2: "b"}
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert ingest.sessions(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_vendors_of_reports(spark):
+    from oreloom import rules
+    from oreloom.functions import parse
+
+    rows = [("stool group", "Stoolgroup"), ("Лемана", "Лемана Про"), ("вайлдберриз", "Wildberries"), ("Alpine Floor", "Alpine Floor"), ("Own shop", "Own shop")]
+    df = spark.createDataFrame(rows, "v string, want string").select("want", parse.normalize_vendor(F.col("v"), rules.REPORT_VENDORS).alias("got"))
+    assert all(r.want == r.got for r in df.collect())
+
+
+def test_provider_helpers():
+    import pytest
+
+    from oreloom.operators import review
+
+    own = review.Recorder()
+    assert json.loads(own("s", "p"))["decision"] == "keep" and own.calls == [("s", "p")]
+    with pytest.raises(OSError):
+        review.probe("http://127.0.0.1:9/v1", 1.0)
+
+
+def test_kitchens_and_paints(spark):
+    from oreloom.operators import rankings
+
+    paints = spark.createDataFrame([(5, 9, "RAL 1", "telegram:1", "high", "green"), (4, 1, "RAL 2", "telegram:1", "high", "other"), (6, 1, "RAL 1", "telegram:1", "high", "blue"), (7, 1, "RAL 9", "telegram:2", "low", "blue")], "message_id long, start int, color_code string, project_key string, link_confidence string, shade_family string").withColumn("product_line", F.lit(None).cast("string"))
+    projects = spark.createDataFrame([(1, "2024"), (2, "2025"), (3, None)], "project_id long, date string")
+    links = spark.createDataFrame([("telegram:1", 4, "same_message"), ("telegram:1", 5, "explicit_project_link"), (None, 6, "same_message")], "project_key string, message_id long, link_method string")
+    rows = [(r.project_id, r.paint_codes, r.shades, r.paint_messages, r.best_link) for r in rankings.kitchen_paints(projects, paints, links).collect()]
+    assert rows == [(1, ["RAL 2", "RAL 1"], ["green", "blue"], [4, 5, 6], "explicit_project_link"), (2, [], [], [], None), (3, [], [], [], None)]
