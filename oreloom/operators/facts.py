@@ -90,7 +90,7 @@ _SURFACE = "line mentions sofa only as surrounding context"
 
 
 def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> list[Column]:
-    """A struct or null of each of the seven product extractors."""
+    """A struct or null of each of the seven product extractors. Words, kinds, methods and notes in it are fixed values."""
     none = F.lit(None)
     word = lambda forms: has(b, word_pattern(forms))
     inside = lambda *parts: contains_any(low, parts)
@@ -98,8 +98,8 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
     priced = F.when(p["price"].isNotNull() | p["article"].isNotNull(), "high").otherwise("medium")
     lit, decor = p["lighting"], p["decor"]
 
-    counter = with_(("столешница", "столешницу", "столешницы"), lambda v: _fact("kitchens", "countertop", "kitchen_countertop", item_name=v, material=v))
-    facade = with_(("кухня фасады", "кухня", "фасады", "фасад"), lambda v: _fact("kitchens", "kitchen_facades", "kitchen_facades", hint=F.when(v.isNotNull(), "high").otherwise("medium"), extra=v.isNull(), note=F.when(v.isNull(), "kitchen facades without parsed finish"), finish=v))
+    counter = with_(rules.KEYWORDS["countertop"], lambda v: _fact("kitchens", "countertop", "kitchen_countertop", item_name=v, material=v))
+    facade = with_(rules.KEYWORDS["facades"], lambda v: _fact("kitchens", "kitchen_facades", "kitchen_facades", hint=F.when(v.isNotNull(), "high").otherwise("medium"), extra=v.isNull(), note=F.when(v.isNull(), "kitchen facades without parsed finish"), finish=v))
     kitchen = (
         F.when(lit, F.when(inside("кухн"), _fact("kitchens", "kitchen_other", "kitchen_lighting_review", extra=True, note="lighting/decor kitchen context needs review")))
         .when(word(r"ручк(?:а|и|у|ой)|смесител(?:ь|и|я|ем)|мойк(?:а|и|у|ой)") & inside("кухн"), _fact("kitchens", "kitchen_accessory", "kitchen_accessory_review", extra=True, note="kitchen accessory outside current clean summary scope"))
@@ -113,7 +113,7 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
 
     head = word(r"журнальн(?:ый|ого|ому|ым)?\s+столик|обеденн(?:ый|ого|ому|ым)?\s+стол|кухонн(?:ый|ого|ому|ым)?\s+стол|рабоч(?:ий|его|ему|им)?\s+стол|подстолье|столик(?:и|а|ом|е)?|стол(?:ы|а|у)?")
     kind = F.when(inside("журналь"), "coffee_table").when(inside("обеден"), "dining_table").when(inside("кухон"), "kitchen_table").when(inside("рабоч"), "working_table").when(inside("подстоль"), "table_base").otherwise("table")
-    named = with_(("журнальный столик", "журнальный стол", "обеденный стол", "кухонный стол", "рабочий стол", "столешница", "подстолье", "столик", "стол"), lambda v: _fact("tables", kind, "table", hint=priced, item_name=v, model=v))
+    named = with_(rules.KEYWORDS["table"], lambda v: _fact("tables", kind, "table", hint=priced, item_name=v, model=v))
     table = (
         F.when(~head, F.when(word("столом|столе") & lit, _fact("tables", "table_context_match", "table_context_review", extra=True, note="lighting/decor line mentions table only as context")))
         .when(lit, _fact("tables", "table_context_match", "table_lighting_review", extra=True, note="lighting/decor line is not a clean table fact"))
@@ -125,7 +125,7 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
     bed = F.when(inside("диван-кровать", "кровать-диван"), "sofa_bed").when(inside("софа"), "couch").otherwise("sofa")
     sold = F.when(p["price"].isNotNull() | p["vendor"].isNotNull(), "high").otherwise("medium")
     whole = lambda v, m: _fact("sofas", bed, "sofa", hint=sold, extra=word_count_over(v), note=F.when(word_count_over(v), "suspiciously long sofa descriptor"), model=m["model"], material=m["material"], color=m["color"])
-    named = with_(("диван-кровать", "кровать-диван", "диваны", "диван", "софа"), lambda v: let(P.model_material_color(v), lambda m: whole(v, m)))
+    named = with_(rules.KEYWORDS["sofa"], lambda v: let(P.model_material_color(v), lambda m: whole(v, m)))
     around = _fact("sofas", "sofa_context_match", "sofa_context_review", extra=True, note=_SURFACE)
     sofa = (
         F.when(~word(r"диван(?:ы|а)?|софа|диван-кровать|кровать-диван"), F.when(word("диваном|дивана|диване") & (decor | has(b, beside + r"|с)\s+диван")), around))
@@ -136,7 +136,7 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
 
     kind = F.when(inside("бар"), "bar_chair").when(inside("рабоч", "кресл"), "working_chair").when(inside("обеден", "кухон"), "dining_chair").otherwise("chair")
     seat = lambda k, v, m: _fact("chairs", k, "chair", hint=priced, item_name=v, model=F.coalesce(m["model"], v), material=m["material"], color=m["color"])
-    chair = F.when(inside("стул", "кресл"), with_(("рабочее кресло", "кресло", "обеденные стулья", "обеденный стул", "кухонные стулья", "кухонный стул", "стулья", "стул"), lambda v, k=kind: let(P.model_material_color(v), lambda m: seat(k, v, m))))
+    chair = F.when(inside("стул", "кресл"), with_(rules.KEYWORDS["chair"], lambda v, k=kind: let(P.model_material_color(v), lambda m: seat(k, v, m))))
 
     floor = inside("плитка на полу", "плитка на пол", "плитка для пола", "на полу керамогранит", "керамогранит на полу", "напольное покрытие", "покрытие пола", "кварцвинил", "кварц винил", "spc", "ламинат", "паркет")
     floor = floor | has(low, r"(?U)(плитк|керамогранит).{0,60}(на\s+полу|на\s+пол|для\s+пола)") | has(low, r"(?U)(на\s+полу|на\s+пол|для\s+пола).{0,60}(плитк|керамогранит)")
@@ -145,19 +145,16 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
     kind = F.when(inside("кварцвинил", "кварц винил"), "flooring_quartz_vinyl").when(inside("spc", "ламинат"), "flooring_laminate").when(inside("паркет"), "flooring_parquet").when(inside("плитк", "керамогранит"), "flooring_tile").when(inside("напольн"), "flooring_material").otherwise("flooring_unclear")
     note = F.when(elsewhere, F.concat(F.lit("flooring row has non-target room context: "), F.array_join(other, ", ")))
     laid = lambda k, n, v: _fact("flooring", k, "flooring", hint=F.when(elsewhere, "medium").otherwise("high"), extra=elsewhere, note=n, item_name=v, material=v, room=F.get(other, F.lit(0)))
-    keys = ("плитка на полу", "плитка на пол", "плитка для пола", "керамогранит", "кварцвинил", "кварц винил", "spc ламинат", "ламинат", "паркет")
-    flooring = F.when(~inside("фартук") & floor & (p["price"].isNotNull() | p["article"].isNotNull() | p["vendor"].isNotNull()), with_(keys, lambda v, k=kind: laid(k, note, v)))
+    flooring = F.when(~inside("фартук") & floor & (p["price"].isNotNull() | p["article"].isNotNull() | p["vendor"].isNotNull()), with_(rules.KEYWORDS["flooring"], lambda v, k=kind: laid(k, note, v)))
 
     kind = F.when(inside("обувниц"), "shoe_cabinet").when(inside("шкаф"), "hallway_wardrobe").when(inside("консол"), "console").when(inside("пуф", "банкетк"), "pouf").when(inside("зеркал"), "mirror").when(inside("вешал"), "hanger").otherwise("entry_group")
-    keys = ("шкаф", "обувница", "консоль", "пуф", "банкетка", "зеркало", "вешалка", "входная группа")
-    hallway = F.when(inside("прихож", "коридор", "обувниц", "входная группа", "вешал"), with_(keys, lambda v, k=kind: _fact("hallway", k, "hallway", hint=priced, item_name=v, model=v, room=F.lit("hallway"))))
+    hallway = F.when(inside("прихож", "коридор", "обувниц", "входная группа", "вешал"), with_(rules.KEYWORDS["hallway"], lambda v, k=kind: _fact("hallway", k, "hallway", hint=priced, item_name=v, model=v, room=F.lit("hallway"))))
 
     kind = F.when(inside("тв тумб", "тв-тумб", "тумба под тв", "телевизор"), "tv_unit").when(inside("комод"), "chest").when(inside("стеллаж"), "shelving").when(inside("полк"), "shelves").when(inside("консол"), "console").when(inside("шкаф"), "cabinet").when(inside("журнальн"), "coffee_table").otherwise("cabinet")
-    keys = ("тв тумба", "тв-тумба", "тумба под тв", "шкаф", "комод", "стеллаж", "полки", "полка", "консоль", "журнальный столик")
     living = (
         F.when(~inside("тв тумб", "тв-тумб", "тумба под тв", "телевизор", "комод", "стеллаж", "полк", "консол", "шкаф", "журнальн"), F.when(inside("гостин") & decor, _fact("living_room_furniture", "living_room_context_match", "living_room_context_review", extra=True, note="lighting/decor line mentions living room only as context")))
         .when(decor & ~inside("полк", "стеллаж", "комод", "тумб", "шкаф", "консол"), _fact("living_room_furniture", "living_room_context_match", "living_room_decor_review", extra=True, note="lighting/decor line is not a clean living-room furniture fact"))
-        .otherwise(with_(keys, lambda v, k=kind: _fact("living_room_furniture", k, "living_room_furniture", hint=priced, item_name=v, model=v, room=F.when(inside("гостин"), "living_room"))))
+        .otherwise(with_(rules.KEYWORDS["living_room"], lambda v, k=kind: _fact("living_room_furniture", k, "living_room_furniture", hint=priced, item_name=v, model=v, room=F.when(inside("гостин"), "living_room"))))
     )
     return [kitchen, table, sofa, chair, flooring, hallway, living]
 

@@ -126,6 +126,18 @@ MARKETPLACES = ("OZON", "Wildberries", "Yandex Market")
 ITEM_START = r"кухн|фасад|фартук|столешниц|стол|диван|софа|кресл|стул|плитк|керамогранит|кварцвинил|spc|ламинат|паркет|прихож|обувниц|зеркал|вешал|пуф|банкетк|консол|тв\s*тумб|тумб|комод|стеллаж|полк|цвет\s+стен"
 LINE_START = r"кухня|фасад|фартук|стол|диван|софа|кресл|стул|плитк|керамогранит|кварцвинил|ламинат|паркет|прихож|обувниц|зеркал|вешал|пуф|банкетк|консол|тв\s*тумб|тумб|комод|стеллаж|полк|цвет\s+стен"
 
+# Keywords behind which an item is described, by extractor, in order.
+KEYWORDS = {
+    "countertop": ("столешница", "столешницу", "столешницы"),
+    "facades": ("кухня фасады", "кухня", "фасады", "фасад"),
+    "table": ("журнальный стол", "обеденный стол", "кухонный стол", "рабочий стол", "столешница", "подстолье", "журнальный столик", "столик", "стол"),
+    "sofa": ("диван-кровать", "кровать-диван", "диваны", "диван", "софа"),
+    "chair": ("рабочее кресло", "кресло", "обеденные стулья", "обеденный стул", "кухонные стулья", "кухонный стул", "стулья", "стул"),
+    "flooring": ("плитка на полу", "плитка на пол", "плитка для пола", "керамогранит", "кварцвинил", "кварц винил", "spc ламинат", "ламинат", "паркет"),
+    "hallway": ("шкаф", "обувница", "консоль", "пуф", "банкетка", "зеркало", "вешалка", "входная группа"),
+    "living_room": ("тв тумба", "тв-тумба", "тумба под тв", "шкаф", "комод", "стеллаж", "полки", "полка", "консоль", "журнальный столик"),
+}
+
 # Item heads of a bundle (head, category, forms).
 BUNDLE_HEADS = (
     ("кухня", "kitchens", r"кухн(?:я|и|ю|ей)?"),
