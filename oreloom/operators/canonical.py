@@ -36,7 +36,7 @@ def ingest(spark: SparkSession, root: str, hashes: bool = True) -> Archive:
     base = archive.local_path(root.rstrip("/"))
     rows = archive.read_exports(spark, root)
     inventory = archive.file_inventory(spark, root)
-    return merge(rows, inventory, base, archive.file_hashes(spark, root, _wanted(rows)) if hashes else None)
+    return merge(rows, inventory, base, archive.file_hashes(_wanted(rows)) if hashes else None)
 
 
 def _wanted(rows: DataFrame) -> DataFrame:

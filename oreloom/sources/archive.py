@@ -7,6 +7,7 @@ flattens texts and lists media candidates; whether a candidate exists is a join
 
 from __future__ import annotations
 
+import hashlib
 import json
 import posixpath
 from collections.abc import Iterator
@@ -149,7 +150,25 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return own.select(path.alias("path"), F.col("length").alias("length"), F.lower(F.regexp_extract(F.element_at(F.split(path, "/"), -1), r"^.+(\.[^.]+)$", 1)).alias("extension"))
 
 
-def file_hashes(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
-    """path, sha256 of the files under root whose path is in wanted(path), each read once."""
-    own = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
-    return own.join(wanted.select("path").distinct(), "path", "left_semi").select("path", F.sha2("content", 256).alias("sha256"))
+def file_hashes(wanted: DataFrame) -> DataFrame:
+    """path, sha256 of the files of wanted(path). Only these are opened, each once, and hashed a
+    megabyte at a time; files that are gone have no row."""
+    return wanted.select("path").where("path is not null").distinct().mapInArrow(_hashed, "path string, sha256 string")
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        paths, sums = [], []
+        for path in batch.column(0).to_pylist():
+            files, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+            if files.get_file_info(name).type != fs.FileType.File:
+                continue
+            own = hashlib.sha256()
+            with files.open_input_stream(name) as f:
+                while block := f.read(1 << 20):
+                    own.update(block)
+            paths.append(path)
+            sums.append(own.hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sums, pa.string())], names=["path", "sha256"])

@@ -24,26 +24,45 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours")
     return out.select("user_id", F.col("w.start").alias("begin"), F.col("w.end").alias("end"), "n")
 
 
+#: Micro-batches after which the changes are merged into one state.
+COMPACT = 16
+
+
 def merge_stream(variants: DataFrame, target: str, checkpoint: str, key: str = "message_id", order: str = "ord") -> StreamingQuery:
-    """Keep the last variant of each key in a table: each micro-batch merges with the table and replaces it.
+    """Keep the last variant of each key in a table, of equal ones that of the later micro-batch.
 
-    The new state is written to a folder of the batch before the pointer moves, so a repeated batch gives one state.
+    A micro-batch writes its own changes only; every COMPACT batches the state and the changes since then become a new
+    state. Folders are named by the batch and listed when they are whole, so a repeated batch gives one state.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = read_state(spark, target)
-        every = batch if old is None else batch.unionByName(old)
-        ranking.last_wins(every, key, [F.col(order)]).write.mode("overwrite").parquet(f"{target}/state-{number}")
-        spark.range(1).select(F.lit(number).alias("state")).coalesce(1).write.mode("append").json(f"{target}/states")
+        own = ranking.last_wins(batch, key, [F.col(order)]).withColumn("_batch", F.lit(number))
+        own.write.mode("overwrite").parquet(f"{target}/change-{number}")
+        _note(spark, target, "change", number)
+        if number % COMPACT == COMPACT - 1:
+            _current(spark, target, key, order).write.mode("overwrite").parquet(f"{target}/state-{number}")
+            _note(spark, target, "state", number)
 
     return variants.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_state(spark: SparkSession, target: str) -> DataFrame | None:
-    """The latest state of merge_stream(), or None before the first batch."""
+def _note(spark: SparkSession, target: str, kind: str, number: int) -> None:
+    spark.range(1).select(F.lit(kind).alias("kind"), F.lit(number).alias("number")).coalesce(1).write.mode("append").json(f"{target}/states")
+
+
+def _current(spark: SparkSession, target: str, key: str, order: str) -> DataFrame | None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/states")
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return None
-    last = spark.read.schema("state long").json(f"{target}/states").agg(F.max("state")).first()[0]
-    return spark.read.parquet(f"{target}/state-{last}")
+    noted = spark.read.schema("kind string, number long").json(f"{target}/states").distinct()
+    state = noted.where("kind = 'state'").agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
+    changes = sorted(r.number for r in noted.where(F.col("number") > state).where("kind = 'change'").collect())  # at most COMPACT
+    folders = [f"{target}/state-{state}"] * (state >= 0) + [f"{target}/change-{n}" for n in changes]
+    return ranking.last_wins(spark.read.parquet(*folders), key, [F.col(order), F.col("_batch")])
+
+
+def read_state(spark: SparkSession, target: str, key: str = "message_id", order: str = "ord") -> DataFrame | None:
+    """The latest state of merge_stream(), or None before the first batch."""
+    own = _current(spark, target, key, order)
+    return own if own is None else own.drop("_batch")

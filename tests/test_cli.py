@@ -97,6 +97,14 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([(1, 2, "c"), (1, 0, "z")], "message_id long, ord long, text string").write.mode("append").parquet(source)
     ingest.merge_stream(stream(), target, str(tmp_path / "cp")).awaitTermination(60)
     assert {r.message_id: r.text for r in ingest.read_state(spark, target).collect()} == {1: "c", 2: "b"}
+    assert sorted(p.name for p in (tmp_path / "state").iterdir() if p.name.startswith("change")) == ["change-0", "change-1"]
+    spark.createDataFrame([(2, 1, "later"), (3, 0, "new")], "message_id long, ord long, text string").write.mode("append").parquet(source)
+    ingest.COMPACT, before = 1, ingest.COMPACT
+    try:
+        ingest.merge_stream(stream(), target, str(tmp_path / "cp")).awaitTermination(60)
+    finally:
+        ingest.COMPACT = before
+    assert (tmp_path / "state" / "state-2").exists() and {r.message_id: r.text for r in ingest.read_state(spark, target).collect()} == {1: "c", 2: "later", 3: "new"}
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert ingest.sessions(events).agg(F.sum("n")).first()[0] == events.count()
 
