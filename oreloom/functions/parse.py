@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..rules import WORD
-from .text import compact, first_match, has, let, lines, match_form, quoted, strip, truncate, word_pattern
+from .text import compact, contains_any, first_match, folded, has, has_word, holds_stem, let, lines, match_form, quoted, strip, truncate, word_pattern
 
 # Amounts with space or dot between thousands, rouble tokens with a boundary behind them, units.
 PRICE = r"(?iU)(?<![\w])(\d{1,3}(?:[ .]\d{3})+|\d{3,})\s*(рублей|рубля|руб\.?|₽|р\.?)(?![\p{L}\p{N}])(?:\s*/\s*(шт\.?|м2|м²|пара|уп\.?))?"
 ARTICLE = rf"(?iU)(?:(ozon|озон|wb|вб|wildberries|яндекс[.\s-]*маркет|ям|сантехника\s+онлайн)\s*)?\b(?:артикул(?![\p{{L}}])|арт(?![\p{{L}}])\.?|код(?:\s+товара)?\s*:?(?![\p{{L}}]))\s*[.:]?\s*([{WORD}_-]{{3,}})"
+#: Letters that no article number goes without.
+ARTICLE_STEMS = ("арт", "код")
 PROMO = rf"(?iU)\bпромокод\s+([{WORD}_-]+)"
 PROMO_LINE = r"(?iU)\bпромо(?:код)?\b"
 #: Text of JVM regular expressions needs plain spaces for the thousands of a price.
@@ -48,13 +50,15 @@ def _vendor_pattern(aliases: tuple[str, ...]) -> str:
 def vendor(c: Column, vendors=rules.VENDORS) -> Column:
     """Struct (raw, normalized) of the vendor that is named first; null without one."""
 
-    def found(text):
-        own = [F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("normalized"), F.regexp_extract(text, p, 0).alias("raw"))) for k, (name, aliases) in enumerate(vendors) for p in [_vendor_pattern(aliases)]]
-        # one pattern for all aliases rules most texts out
-        return F.when(has(text, _vendor_pattern(tuple(a for _, aliases in vendors for a in aliases))), F.array_min(F.filter(F.array(*own), lambda x: x.isNotNull())))
+    def found(x):
+        text, low = x["text"], x["low"]
+        own = [F.when(holds_stem(low, "|".join(aliases)) & has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("normalized"), F.regexp_extract(text, p, 0).alias("raw"))) for k, (name, aliases) in enumerate(vendors) for p in [_vendor_pattern(aliases)]]
+        # letters that an alias begins with, or else none is there
+        return F.when(holds_stem(low, "|".join(a for _, aliases in vendors for a in aliases)), F.array_min(F.filter(F.array(*own), lambda x: x.isNotNull())))
 
+    both = lambda text: F.struct(text.alias("text"), folded(text).alias("low"))
     named = lambda first: F.when(first.isNotNull(), F.struct(compact(first["raw"]).alias("raw"), first["normalized"].alias("normalized")))
-    return let(let(F.translate(c, "ёЁ", "еЕ"), found), named)
+    return let(let(let(F.translate(c, "ёЁ", "еЕ"), both), found), named)
 
 
 def normalize_vendor(c: Column, vendors=rules.VENDORS) -> Column:
@@ -71,22 +75,27 @@ def normalize_vendor(c: Column, vendors=rules.VENDORS) -> Column:
     return let(F.nullif(compact(strip(c, " @")), F.lit("")), named)
 
 
-def article(c: Column) -> Column:
+def has_article(c: Column, low: Column | None = None) -> Column:
+    """Whether an article number is given; ``low``: c folded."""
+    return contains_any(folded(c) if low is None else low, ARTICLE_STEMS) & has(c, ARTICLE)
+
+
+def article(c: Column, low: Column | None = None) -> Column:
     """Struct (article_id, raw, vendor_raw, vendor_normalized, marketplace) of the first article number."""
 
     def found(raw_vendor):
         own = F.struct(raw_vendor.alias("raw"), F.when(raw_vendor.isNotNull(), normalize_vendor(raw_vendor)).alias("normalized"))
-        return F.when(has(c, ARTICLE), let(F.when(raw_vendor.isNotNull(), own).otherwise(vendor(c)), parts))
+        return let(F.when(raw_vendor.isNotNull(), own).otherwise(vendor(c)), parts)
 
     def parts(v):
         marketplace = F.when(v["normalized"].isin(*rules.MARKETPLACES), v["normalized"])
         return F.struct(F.regexp_extract(c, ARTICLE, 2).alias("article_id"), compact(F.regexp_extract(c, ARTICLE, 0)).alias("raw"), compact(v["raw"]).alias("vendor_raw"), v["normalized"].alias("vendor_normalized"), marketplace.alias("marketplace"))
 
-    return let(first_match(c, ARTICLE, 1), found)
+    return F.when(has_article(c, low), let(first_match(c, ARTICLE, 1), found))
 
 
-def promo_code(c: Column) -> Column:
-    return first_match(c, PROMO, 1)
+def promo_code(c: Column, low: Column | None = None) -> Column:
+    return F.when(F.contains(folded(c) if low is None else low, F.lit("промокод")), first_match(c, PROMO, 1))
 
 
 def promo_line(owner: str = "") -> str:
@@ -147,26 +156,32 @@ def item_triggers(c: Column) -> Column:
     return F.regexp_count(c, F.lit(f"(?iU)\\b({rules.ITEM_START})\\b"))
 
 
-def rooms(c: Column) -> Column:
-    own = F.filter(F.array(*(F.when(has(c, word_pattern(p)), F.lit(n)) for n, p in rules.ROOMS)), lambda x: x.isNotNull())
-    return F.when(has(c, word_pattern("|".join(p for _, p in rules.ROOMS))), own).otherwise(F.array().cast("array<string>"))
+def rooms(c: Column, low: Column | None = None) -> Column:
+    """Rooms that are named, in order; ``low``: c folded."""
+    if low is None:
+        return let(folded(c), lambda own: rooms(c, own))
+    own = F.filter(F.array(*(F.when(has_word(c, p, low), F.lit(n)) for n, p in rules.ROOMS)), lambda x: x.isNotNull())
+    return F.when(holds_stem(low, "|".join(p for _, p in rules.ROOMS)), own).otherwise(F.array().cast("array<string>"))
 
 
-def non_target_rooms(c: Column) -> Column:
-    return F.filter(rooms(c), lambda x: x.isin(*rules.NON_TARGET_ROOMS))
+def non_target_rooms(c: Column, low: Column | None = None) -> Column:
+    return F.filter(rooms(c, low), lambda x: x.isin(*rules.NON_TARGET_ROOMS))
 
 
-def lighting(c: Column) -> Column:
-    return has(c, word_pattern(rules.LIGHTING))
+def lighting(c: Column, low: Column | None = None) -> Column:
+    return has_word(c, rules.LIGHTING, folded(c) if low is None else low)
 
 
-def lighting_or_decor(c: Column) -> Column:
-    return lighting(c) | has(c, word_pattern(rules.DECOR))
+def lighting_or_decor(c: Column, low: Column | None = None) -> Column:
+    low = folded(c) if low is None else low
+    return lighting(c, low) | has_word(c, rules.DECOR, low)
 
 
 def remove_parsed(c: Column) -> Column:
     """Prices, article numbers and promo codes become spaces; lines stay lines."""
-    own = reduce(lambda x, p: F.regexp_replace(x, p, " "), (PRICE, ARTICLE, PROMO), price_text(c))
+    replaced = lambda x, p: F.regexp_replace(x, p, " ")
+    others = lambda x: F.when(contains_any(folded(x), ARTICLE_STEMS), reduce(replaced, (ARTICLE, PROMO), x)).otherwise(x)
+    own = let(replaced(price_text(c), PRICE), others)
     return F.array_join(F.transform(lines(own), compact), "\n")
 
 

@@ -1,21 +1,27 @@
 """Fact extraction: text -> evidence blocks -> facts, as projections and explodes.
 
-Parsing (price, article, vendor, rooms, item heads) happens once for each block; the extractors are CASE ladders over
-the parsed fields. The only shuffles are the removal of repeated facts and the total order that gives ids.
+Parsing (price, article, vendor, rooms, item heads) happens once for each distinct block, whatever the number of posts
+that hold it; the extractors are CASE ladders over the parsed fields. Posts get the facts of their blocks by a join. Other
+shuffles are the removal of repeated facts and the total order that gives ids.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import parse as P
-from ..functions.text import blank_to_null, clean_optional, compact, confidence_label, confidence_rank, contains_any, has, let, lines, match_form, sha256, strip, word_count_over, word_pattern
+from ..functions.text import blank_to_null, clean_optional, compact, confidence_label, confidence_rank, contains_any, folded, has, has_word, holds_stem, let, lines, match_form, sha256, strip, word_count_over, word_pattern
 
 _STARTS = f"(?iU)\\b({rules.LINE_START})\\b"
 _GOES_ON = r"(?iU)\b(арт\.?|код|руб|₽|промокод)\b"
 _EDGES = " \t-*•"
+#: Control characters and white space other than spaces and line ends, and line ends without another beside them.
+_UNEVEN = r"[\x00-\x09\x0B-\x1F\x7F-\xA0\u1680\u180E\u2000-\u206F\u3000\uFEFF]|(?<!\n)\n(?!\n)"
 
 
 def evidence_blocks(text: Column) -> Column:
@@ -38,7 +44,11 @@ def evidence_blocks(text: Column) -> Column:
 
     every = F.flatten(F.transform(own, lambda ls: F.concat(F.array(F.array_join(ls, "\n")), windows(ls))))
     distinct = lambda kept: let(F.transform(kept, compact), lambda keys: F.filter(kept, lambda b, i: F.array_position(keys, F.get(keys, i)) == i + 1))
-    return let(F.filter(every, lambda b: F.length(compact(b)) >= 3), distinct)
+    # Where each paragraph is a line as it should be, it is a block, its own compacted text and holds no window.
+    plain = F.array_distinct(F.filter(F.split(text, "\n"), lambda b: F.length(b) >= 3))
+    at_ends = [test(text, F.lit(x)) for x in " *•-" for test in (F.startswith, F.endswith)]
+    uneven = contains_any(text, ("  ", *(y for x in " *•-" for y in (f"{x}\n", f"\n{x}")))) | F.coalesce(reduce(or_, at_ends), F.lit(False)) | has(text, _UNEVEN)
+    return F.when(~uneven, plain).otherwise(let(F.filter(every, lambda b: F.length(compact(b)) >= 3), distinct))
 
 
 def bundle_texts(block: Column) -> Column:
@@ -47,34 +57,39 @@ def bundle_texts(block: Column) -> Column:
     return let(own, lambda ls: F.when(F.size(ls) <= 2, F.array_union(ls, F.array(compact(block)))).otherwise(ls))
 
 
-def heads(text: Column) -> Column:
-    """Item heads of a line in order of their first place: array of struct (at, head, category, times)."""
+def heads(text: Column, low: Column) -> Column:
+    """Item heads of a line in order of their first place: array of struct (at, head, category, times). ``low``: it folded."""
     found = []
     for head, category, forms in rules.BUNDLE_HEADS:
         p = word_pattern(forms)
-        found.append(F.when(has(text, p), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(head).alias("head"), F.lit(category).alias("category"), F.regexp_count(text, F.lit(p)).alias("times"))))
+        found.append(F.when(has_word(text, forms, low), F.struct(F.regexp_instr(text, F.lit(p)).alias("at"), F.lit(head).alias("head"), F.lit(category).alias("category"), F.regexp_count(text, F.lit(p)).alias("times"))))
     none = F.array().cast("array<struct<at:int,head:string,category:string,times:int>>")
-    return F.when(has(text, word_pattern("|".join(p for _, _, p in rules.BUNDLE_HEADS))), F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))).otherwise(none)
+    return F.when(holds_stem(low, "|".join(p for _, _, p in rules.BUNDLE_HEADS)), F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))).otherwise(none)
 
 
 def bundle(candidate: Column) -> Column:
     """Struct (quote, heads, category, rooms) of a line that sells several items at once; null otherwise."""
-    listed, word = has(candidate, f"(?iU){rules.BUNDLE_LIST}"), has(candidate, word_pattern(rules.BUNDLE_WORDS))
-    sold = has(P.price_text(candidate), P.PRICE) | has(candidate, P.ARTICLE) | P.vendor(candidate).isNotNull()
+    listed = has(candidate, f"(?iU){rules.BUNDLE_LIST}")
+    sold = has(P.price_text(candidate), P.PRICE) | P.has_article(candidate) | P.vendor(candidate).isNotNull()
 
     def of(x):
-        own, names, rooms = x["own"], x["names"], x["rooms"]
+        own, names, rooms, low = x["own"], x["names"], x["rooms"], x["low"]
         only = lambda *h: F.size(F.array_except(names, F.array(*map(F.lit, h)))) == 0
         exempt = only("кухня", "фасады") | F.array_contains(names, "фартук") | (F.contains(match_form(candidate), F.lit("столешниц")) & only("кухня", "стол"))
         times = F.aggregate(own, F.lit(0), lambda a, y: a + y["times"])
-        many_rooms = F.size(rooms) >= 2
-        tests = lambda t: ((F.size(names) >= 2) & (t["listed"] | t["word"] | t["sold"])) | t["word"] | (many_rooms & (times >= 2) & (t["listed"] | t["sold"])) | (many_rooms & t["sold"])
-        accepted = let(F.struct(listed.alias("listed"), word.alias("word"), sold.alias("sold")), tests)
+        many, many_rooms = F.size(names) >= 2, F.size(rooms) >= 2
+        tests = lambda t: ((many | (many_rooms & (times >= 2))) & (t["listed"] | t["sold"])) | (many_rooms & t["sold"])
+        several = F.when(many | many_rooms, let(F.struct(listed.alias("listed"), sold.alias("sold")), tests)).otherwise(False)
         first = F.get(own, F.lit(0))["category"]
         category = F.when((first == "living_room_furniture") & F.array_contains(rooms, "hallway"), "hallway").otherwise(first)
-        return F.when((F.size(own) > 0) & ~exempt & accepted, F.struct(candidate.alias("quote"), names.alias("heads"), category.alias("category"), rooms.alias("rooms")))
+        return F.when(~exempt & (has_word(candidate, rules.BUNDLE_WORDS, low) | several), F.struct(candidate.alias("quote"), names.alias("heads"), category.alias("category"), rooms.alias("rooms")))
+
+    def with_heads(x):
+        own, low = x["own"], x["low"]
+        named = F.struct(own.alias("own"), F.transform(own, lambda y: y["head"]).alias("names"), P.rooms(candidate, low).alias("rooms"), low.alias("low"))
+        return F.when(F.size(own) > 0, let(named, of))
 
-    return let(let(heads(candidate), lambda own: F.struct(own.alias("own"), F.transform(own, lambda y: y["head"]).alias("names"), P.rooms(candidate).alias("rooms"))), of)
+    return let(let(folded(candidate), lambda low: F.struct(heads(candidate, low).alias("own"), low.alias("low"))), with_heads)
 
 
 _FIELDS = ("category", "item_type", "item_name", "model", "material", "finish", "color", "room", "method", "hint", "extra", "note", "quote")
@@ -89,10 +104,11 @@ def _fact(category: str | Column, item_type: str | Column, method: str, hint: st
 _SURFACE = "line mentions sofa only as surrounding context"
 
 
-def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> list[Column]:
+def _extractors(b: Column, low: Column, fold: Column, text: Column, p: dict[str, Column]) -> list[Column]:
     """A struct or null of each of the seven product extractors. Words, kinds, methods and notes in it are fixed values."""
     none = F.lit(None)
-    word = lambda forms: has(b, word_pattern(forms))
+    word = lambda forms: has_word(b, forms, fold)
+    sofa_like = lambda pattern: F.contains(fold, F.lit("диван")) & has(b, pattern)
     inside = lambda *parts: contains_any(low, parts)
     with_ = lambda keys, body: let(P.descriptor(text, keys), body)
     priced = F.when(p["price"].isNotNull() | p["article"].isNotNull(), "high").otherwise("medium")
@@ -128,9 +144,9 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
     named = with_(rules.KEYWORDS["sofa"], lambda v: let(P.model_material_color(v), lambda m: whole(v, m)))
     around = _fact("sofas", "sofa_context_match", "sofa_context_review", extra=True, note=_SURFACE)
     sofa = (
-        F.when(~word(r"диван(?:ы|а)?|софа|диван-кровать|кровать-диван"), F.when(word("диваном|дивана|диване") & (decor | has(b, beside + r"|с)\s+диван")), around))
-        .when(has(b, beside + r")\s+диван"), around)
-        .when(has(b, r"(?iU)\bкровать\b.{0,40}\bс\s+диван") & ~has(b, r"(?iU)^\s*диван[-\s]?кровать\b"), _fact("sofas", "sofa_context_match", "sofa_bed_context_review", extra=True, note="bed line mentions sofa as part of another item"))
+        F.when(~word(r"диван(?:ы|а)?|софа|диван-кровать|кровать-диван"), F.when(word("диваном|дивана|диване") & (decor | sofa_like(beside + r"|с)\s+диван")), around))
+        .when(sofa_like(beside + r")\s+диван"), around)
+        .when(sofa_like(r"(?iU)\bкровать\b.{0,40}\bс\s+диван") & ~has(b, r"(?iU)^\s*диван[-\s]?кровать\b"), _fact("sofas", "sofa_context_match", "sofa_bed_context_review", extra=True, note="bed line mentions sofa as part of another item"))
         .otherwise(named)
     )
 
@@ -139,7 +155,8 @@ def _extractors(b: Column, low: Column, text: Column, p: dict[str, Column]) -> l
     chair = F.when(inside("стул", "кресл"), with_(rules.KEYWORDS["chair"], lambda v, k=kind: let(P.model_material_color(v), lambda m: seat(k, v, m))))
 
     floor = inside("плитка на полу", "плитка на пол", "плитка для пола", "на полу керамогранит", "керамогранит на полу", "напольное покрытие", "покрытие пола", "кварцвинил", "кварц винил", "spc", "ламинат", "паркет")
-    floor = floor | has(low, r"(?U)(плитк|керамогранит).{0,60}(на\s+полу|на\s+пол|для\s+пола)") | has(low, r"(?U)(на\s+полу|на\s+пол|для\s+пола).{0,60}(плитк|керамогранит)")
+    tiled = has(low, r"(?U)(плитк|керамогранит).{0,60}(на\s+полу|на\s+пол|для\s+пола)") | has(low, r"(?U)(на\s+полу|на\s+пол|для\s+пола).{0,60}(плитк|керамогранит)")
+    floor = floor | (inside("плитк", "керамогранит") & tiled)
     other = p["non_target"]
     elsewhere = F.size(other) > 0
     kind = F.when(inside("кварцвинил", "кварц винил"), "flooring_quartz_vinyl").when(inside("spc", "ламинат"), "flooring_laminate").when(inside("паркет"), "flooring_parquet").when(inside("плитк", "керамогранит"), "flooring_tile").when(inside("напольн"), "flooring_material").otherwise("flooring_unclear")
@@ -168,38 +185,64 @@ def confidence_of(hint: Column, extra: Column, details: Column, sold: Column) ->
 
 def parsed_blocks(posts: DataFrame, owner: str = "") -> DataFrame:
     """One row for each evidence block of posts (message_id, date, text, source_scope, first_photo_path)."""
-    own = posts.withColumns({"project_name": P.project_name(F.col("text")), "source_text_hash": sha256(F.col("text"))})
-    own = own.select("*", F.posexplode(evidence_blocks(F.col("text"))).alias("block_no", "block"))
-    return own.withColumn("low", match_form(F.col("block")))
+    own = posts.withColumns({"project_name": clean_optional(P.project_name(F.col("text"))), "source_text_hash": sha256(F.col("text")), "first_photo_path": clean_optional(F.col("first_photo_path"))})
+    return own.select("*", F.posexplode(evidence_blocks(F.col("text"))).alias("block_no", "block")).drop("text")
+
 
+def _parsed(quote: Column, low: Column) -> dict[str, Column]:
+    return {"price": P.price(quote), "article": P.article(quote, low), "vendor": P.vendor(quote), "promo_code": P.promo_code(quote, low), "prices": P.price_count(quote), "non_target": P.non_target_rooms(quote, low)}
 
-def _parsed(quote: Column) -> dict[str, Column]:
-    return {"price": P.price(quote), "article": P.article(quote), "vendor": P.vendor(quote), "promo_code": P.promo_code(quote), "prices": P.price_count(quote), "rooms": P.rooms(quote), "non_target": P.non_target_rooms(quote)}
+
+#: A block that is more than one in so many of all is a frequent one; there are fewer than that.
+FREQUENT = 1000
 
 
 def extract_facts(posts: DataFrame, owner: str = "") -> DataFrame:
     """Facts of posts (message_id, date, text, source_scope, first_photo_path), not yet deduplicated, with ``ord``.
 
     Every block gives its wall colours; a bundle gives one reviewable fact and nothing else, any other block one fact
-    of each extractor that applies. A null or blank text gives none.
+    of each extractor that applies. A null or blank text gives none. Each distinct block is parsed once. Facts of frequent
+    blocks are broadcast to the posts; other blocks meet theirs by their hash and text, so that no task has many of one.
     """
-    blocks = parsed_blocks(posts.where(blank_to_null(F.col("text")).isNotNull()), owner)
-    b, low = F.col("block"), F.col("low")
-    parsed = _parsed(b) | {"lighting": P.lighting(b), "decor": P.lighting_or_decor(b), "codes": P.color_codes(b), "brand": P.brand(b), "clean": P.descriptor_text(b, owner)}
-    blocks = blocks.withColumns({f"p_{k}": v for k, v in parsed.items()})
-    blocks = blocks.withColumn("bundle", F.get(F.filter(F.transform(bundle_texts(b), bundle), lambda x: x.isNotNull()), F.lit(0)))
+    rows = parsed_blocks(posts.where(blank_to_null(F.col("text")).isNotNull()), owner)
+    # The text depends on the count, so that no filter on it goes below the shuffle, which all branches share.
+    distinct = rows.groupBy("block").agg(F.count("*").alias("_copies")).select(F.when(F.col("_copies") > 0, F.col("block")).alias("block"), "_copies")
+    spark = posts.sparkSession
+    # Parsing takes far longer than moving the distinct blocks: over all cores, however small they are.
+    distinct = distinct.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "block")
+    total = distinct.agg(F.sum("_copies")).scalar()
+    frequent, other = distinct.where(F.col("_copies") * FREQUENT > total), distinct.where(F.col("_copies") * FREQUENT <= total)
+    hashed = lambda df: df.withColumn("_hash", F.xxhash64("block"))
+    rest = hashed(rows.join(F.broadcast(frequent.select("block")), "block", "left_anti"))
+    out = rows.join(F.broadcast(_block_facts(frequent, owner)), "block").unionByName(rest.join(hashed(_block_facts(other, owner)), ["_hash", "block"]).drop("_hash"))
+    return out.select("message_id", "date", "source_scope", "project_name", *_BLOCK_FIELDS, "source_text_hash", "first_photo_path", F.struct("block_no", "kind", "n").alias("ord"))
+
+
+def _block_facts(blocks: DataFrame, owner: str) -> DataFrame:
+    """Facts of distinct blocks: block, kind (0 for wall colours), n and the fields that hang on the block alone."""
+    b, low, fold = F.col("block"), F.col("low"), F.col("fold")
+    blocks = blocks.select("block", match_form(b).alias("low"), folded(b).alias("fold"))
+    parsed = _parsed(b, fold) | {"lighting": P.lighting(b, fold), "decor": P.lighting_or_decor(b, fold), "clean": P.descriptor_text(b, owner)}
+    own = blocks.withColumns({f"p_{k}": v for k, v in parsed.items()})
+    own = own.withColumn("bundle", F.get(F.filter(F.transform(bundle_texts(b), bundle), lambda x: x.isNotNull()), F.lit(0)))
     p = {k: F.col(f"p_{k}") for k in ("price", "article", "vendor", "non_target", "lighting", "decor")}
     note = F.concat(F.lit("bundle purchase: detected item heads "), F.array_join("bundle.heads", ", "), F.when(F.size("bundle.rooms") > 0, F.concat(F.lit("; room contexts "), F.array_join("bundle.rooms", ", "))).otherwise(""))
     names = F.array_join("bundle.heads", ", ")
     as_bundle = _fact(F.col("bundle.category"), "bundle_purchase", "bundle_purchase", extra=True, note=note, item_name=names, room=F.nullif(F.array_join("bundle.rooms", ","), F.lit("")), quote=F.col("bundle.quote"))
     kind = "array<struct<" + ",".join(f"{n}:{'boolean' if n == 'extra' else 'string'}" for n in _FIELDS) + ">>"
-    products = F.when(F.col("bundle").isNotNull(), F.array(as_bundle)).otherwise(F.filter(F.array(*_extractors(b, low, F.col("p_clean"), p)), lambda x: x.isNotNull())).cast(kind)
-    found = blocks.select("*", F.posexplode(products).alias("fact_no", "f")).withColumn("quoted", F.coalesce("f.quote", "block"))
-    other = _parsed(F.col("quoted"))
-    found = found.withColumns({f"q_{k}": F.when(F.col("f.quote").isNull(), F.col(f"p_{k}")).otherwise(v) for k, v in other.items()})
+    products = F.when(F.col("bundle").isNotNull(), F.array(as_bundle)).otherwise(F.filter(F.array(*_extractors(b, low, fold, F.col("p_clean"), p)), lambda x: x.isNotNull())).cast(kind)
+    found = own.select("*", F.posexplode(products).alias("n", "f")).withColumn("quoted", F.coalesce("f.quote", "block"))
+    again = _parsed(F.col("quoted"), folded(F.col("quoted")))
+    found = found.withColumns({f"q_{k}": F.when(F.col("f.quote").isNull(), F.col(f"p_{k}")).otherwise(v) for k, v in again.items()})
     return _assemble(found, owner).unionByName(_wall_colors(blocks, owner))
 
 
+_BLOCK_FIELDS = (
+    "category", "item_type", "item_name", "vendor_raw", "vendor_normalized", "brand_raw", "brand_normalized", "model", "material", "finish", "color", "color_code", "article_id", "marketplace",
+    "price_value", "price_currency", "price_unit", "promo_code", "room_context", "evidence_quote", "extraction_method", "confidence", "needs_review", "notes",
+)
+
+
 def _assemble(found: DataFrame, owner: str) -> DataFrame:
     f, q = (lambda n: F.col(f"f.{n}")), (lambda n: F.col(f"q_{n}"))
     vendor_raw = F.coalesce(q("vendor.raw"), q("article.vendor_raw"))
@@ -230,27 +273,28 @@ def _assemble(found: DataFrame, owner: str) -> DataFrame:
     final = F.when((F.col("_rank") == 2) & (f("extra") | noted), 1).otherwise(F.col("_rank"))
     c = clean_optional
     return out.select(
-        "message_id", "date", "source_scope", c(F.col("project_name")).alias("project_name"), f("category").alias("category"), f("item_type").alias("item_type"), c(f("item_name")).alias("item_name"),
+        "block", F.lit(1).alias("kind"), "n", f("category").alias("category"), f("item_type").alias("item_type"), c(f("item_name")).alias("item_name"),
         c(vendor_raw).alias("vendor_raw"), c(vendor_name).alias("vendor_normalized"), F.lit(None).cast("string").alias("brand_raw"), F.lit(None).cast("string").alias("brand_normalized"),
         c(f("model")).alias("model"), c(f("material")).alias("material"), c(f("finish")).alias("finish"), c(f("color")).alias("color"), F.lit(None).cast("string").alias("color_code"),
         c(q("article.article_id")).alias("article_id"), q("article.marketplace").alias("marketplace"), q("price.value").cast("decimal(12,2)").alias("price_value"), q("price.currency").alias("price_currency"), q("price.unit").alias("price_unit"), q("promo_code").alias("promo_code"),
         c(F.coalesce(f("room"), F.get(other, F.lit(0)))).alias("room_context"), F.col("_quote").alias("evidence_quote"), f("method").alias("extraction_method"), confidence_label(final).alias("confidence"), (f("extra") | noted | (final == 0)).alias("needs_review"),
-        c(F.array_join("_notes", "; ")).alias("notes"), "source_text_hash", c(F.col("first_photo_path")).alias("first_photo_path"), F.struct("block_no", F.lit(1).alias("kind"), F.col("fact_no").alias("n")).alias("ord"),
+        c(F.array_join("_notes", "; ")).alias("notes"),
     )
 
 
 def _wall_colors(blocks: DataFrame, owner: str) -> DataFrame:
     low, none = F.col("low"), F.lit(None).cast("string")
-    own = blocks.where(contains_any(low, ("цвет стен", "стены цвет", "краска", "tikkurila", "dulux", "v33", "ral"))).select("*", F.posexplode("p_codes").alias("fact_no", "code"))
+    own = blocks.where(contains_any(low, ("цвет стен", "стены цвет", "краска", "tikkurila", "dulux", "v33", "ral"))).withColumn("p_brand", P.brand(F.col("block")))
+    own = own.select("*", F.posexplode(P.color_codes(F.col("block"))).alias("n", "code"))
     quote = P.quote_of(F.col("block"), F.col("code"), owner)
     sure = F.contains(low, F.lit("цвет стен")) | F.col("p_brand").isNotNull() | F.startswith("code", F.lit("RAL"))
     accent = F.contains(match_form(quote), F.lit("акцент"))
     c = clean_optional
     return own.select(
-        "message_id", "date", "source_scope", c(F.col("project_name")).alias("project_name"), F.lit("wall_colors").alias("category"), F.when(accent, "wall_color_accent").otherwise("wall_color").alias("item_type"), none.alias("item_name"),
+        "block", F.lit(0).alias("kind"), "n", F.lit("wall_colors").alias("category"), F.when(accent, "wall_color_accent").otherwise("wall_color").alias("item_type"), none.alias("item_name"),
         none.alias("vendor_raw"), none.alias("vendor_normalized"), F.col("p_brand.raw").alias("brand_raw"), F.col("p_brand.normalized").alias("brand_normalized"), none.alias("model"), none.alias("material"), F.when(F.contains(low, F.lit("symphony")), "Symphony").alias("finish"), none.alias("color"), c(F.col("code")).alias("color_code"),
         none.alias("article_id"), none.alias("marketplace"), F.lit(None).cast("decimal(12,2)").alias("price_value"), none.alias("price_currency"), none.alias("price_unit"), none.alias("promo_code"), none.alias("room_context"), quote.alias("evidence_quote"), F.lit("regex:wall_color_code").alias("extraction_method"),
-        F.when(sure, "high").otherwise("medium").alias("confidence"), (~sure).alias("needs_review"), none.alias("notes"), "source_text_hash", c(F.col("first_photo_path")).alias("first_photo_path"), F.struct("block_no", F.lit(0).alias("kind"), F.col("fact_no").alias("n")).alias("ord"),
+        F.when(sure, "high").otherwise("medium").alias("confidence"), (~sure).alias("needs_review"), none.alias("notes"),
     )
 
 

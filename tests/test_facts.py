@@ -117,3 +117,26 @@ def test_scopes(spark):
     posts = spark.createDataFrame([(1, "2024", "Артикулы проекта", None), (2, "2024", "Кухня фасады", None), (3, "2024", "погода", None), (4, "2024", None, None)], "message_id long, date string, text string, first_photo_path string").withColumn("photo_count", F.lit(0))
     ids = lambda scope, **k: [r.message_id for r in X.source_posts(posts, scope, **k).orderBy("message_id").collect()]
     assert ids("all_text") == [1, 2, 3] and ids("project_articles") == [1] and ids("candidates") == [2] and ids("all_text", limit=2) == [1, 2]
+
+
+def test_each_distinct_block_is_parsed_once(spark, capsys):
+    """Posts share their blocks: frequent ones, rare ones and one that a post holds twice."""
+    price = lambda i: f"Стул Loft {5000 + i} ₽"
+    posts = spark.range(2500).selectExpr("id AS message_id", "'2026' AS date", "concat_ws('\n\n', 'Комод Malm 7 990₽', concat('Стул Loft ', 5000 + id div 2, ' ₽'), 'Комод Malm  7 990₽') AS text", "'all_text' AS source_scope", "CAST(NULL AS string) AS first_photo_path")
+    found = X.extract_facts(posts)
+    found.explain()
+    assert "HashAggregate(keys=[block" in capsys.readouterr().out
+    rows = found.collect()
+    assert sorted((r.message_id, r.item_type, r.evidence_quote, int(r.price_value)) for r in rows) == sorted(x for i in range(2500) for x in ((i, "chest", "Комод Malm 7 990₽", 7990), (i, "chair", price(i // 2), 5000 + i // 2)))
+    assert all(a.ord < b.ord for a in rows for b in rows[:50] if a.message_id == b.message_id and a.item_type == "chest" and b.item_type == "chair")
+
+
+def test_stems_rule_out_only_what_cannot_match(spark):
+    from oreloom.functions import text as T
+
+    assert T.stems(r"стол(?:ы|а)?|кварц[\s-]?винил|wb|леруа(?!\s*мерлен)|ab?c|(?:x|y)z") == ("стол", "кварц", "wb", "леруа", "a", "")
+    words = ["DİVAN", "dıvan", "DIVAN", "ОБУВНИЦА", "wıldberrieſ", "диваны", "иванов"]
+    row = spark.createDataFrame([(w,) for w in words], "w string")
+    forms = r"divan|обувниц(?:а|ы)?|wildberries|диван(?:ы)?"
+    got = row.select("w", T.has_word(F.col("w"), forms, T.folded(F.col("w"))).alias("fast"), T.has(F.col("w"), T.word_pattern(forms)).alias("plain")).collect()
+    assert all(r.fast == r.plain for r in got) and [r.plain for r in got] == [True] * 6 + [False]
